@@ -46,8 +46,9 @@ def ordered_context(df: DataFrame, shifts: dict | None = None, running: dict | N
 
     shifts:  ``{name: (column, offset, default)}``; offset -k is the k-th
              previous row, +k the k-th next; default fills beyond the scope.
-    running: ``{name: int column expression}``; the sum over all earlier rows
-             of the scope (exclusive), 0 for the first row.
+    running: ``{name: expr}`` or ``{name: ('sum'|'max', expr)}``; the sum
+             (0 when empty) or max (null when empty) over all earlier rows
+             of the scope, excluding the row itself.
     """
     shifts = shifts or {}
     running = running or {}
@@ -55,10 +56,11 @@ def ordered_context(df: DataFrame, shifts: dict | None = None, running: dict | N
     reach = max([abs(o) for _, o, _ in shifts.values()] + [0])
     src = df
     run_cols = {}
-    for i, (name, expr) in enumerate(running.items()):
+    for i, (name, spec) in enumerate(running.items()):
+        how, expr = spec if isinstance(spec, tuple) else ("sum", spec)
         c = f"_run{i}"
         src = src.withColumn(c, expr.cast("long"))
-        run_cols[name] = c
+        run_cols[name] = (c, how)
     h = _halo(src, pos, reach, block)
     w = Window.partitionBy(*scope, _BLK).orderBy(pos)
     exprs = []
@@ -75,22 +77,29 @@ def ordered_context(df: DataFrame, shifts: dict | None = None, running: dict | N
             e = F.coalesce(e, F.lit(default))
         exprs.append(e.alias(name))
     wrun = w.rowsBetween(Window.unboundedPreceding, -1)
-    for name, c in run_cols.items():
-        exprs.append(F.coalesce(F.sum(F.when(F.col(_HOME), F.col(c)).otherwise(F.lit(0))).over(wrun),
-                                F.lit(0)).alias(f"_in_{name}"))
+    agg = {"sum": F.sum, "max": F.max}
+    for name, (c, how) in run_cols.items():
+        # halo rows from the previous block sort first; they are masked out
+        home_only = F.when(F.col(_HOME), F.col(c))
+        exprs.append(agg[how](home_only).over(wrun).alias(f"_in_{name}"))
     out = h.select("*", *exprs).where(F.col(_HOME)).drop(_HOME)
     if run_cols:
         totals = (src.withColumn(_BLK, F.floor(F.col(pos) / F.lit(block)).cast("long"))
                      .groupBy(*scope, _BLK)
-                     .agg(*[F.sum(c).alias(f"_t_{name}") for name, c in run_cols.items()]))
+                     .agg(*[agg[how](c).alias(f"_t_{name}") for name, (c, how) in run_cols.items()]))
         wb = Window.partitionBy(*scope).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
         offsets = totals.select(*scope, _BLK, *[
-            F.coalesce(F.sum(f"_t_{name}").over(wb), F.lit(0)).alias(f"_off_{name}") for name in run_cols])
+            agg[how](f"_t_{name}").over(wb).alias(f"_off_{name}") for name, (c, how) in run_cols.items()])
         out = out.join(offsets, on=[*scope, _BLK], how="left")
-        for name in run_cols:
-            out = out.withColumn(name, (F.col(f"_in_{name}") + F.coalesce(F.col(f"_off_{name}"), F.lit(0))))
+        for name, (c, how) in run_cols.items():
+            inner, outer = F.col(f"_in_{name}"), F.col(f"_off_{name}")
+            if how == "sum":
+                val = F.coalesce(inner, F.lit(0)) + F.coalesce(outer, F.lit(0))
+            else:  # running max: null when no earlier row has a value
+                val = F.greatest(inner, outer)
+            out = out.withColumn(name, val)
         out = out.drop(*[f"_in_{n}" for n in run_cols], *[f"_off_{n}" for n in run_cols])
-    return out.drop(_BLK, *run_cols.values())
+    return out.drop(_BLK, *[c for c, _ in run_cols.values()])
 
 
 # --------------------------------------------------------------------------

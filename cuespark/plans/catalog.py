@@ -210,3 +210,236 @@ def flags_by_lang(feats: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_tokens"), s("punct").alias("punct"), s("prefix").alias("prefix"),
         s("suffix").alias("suffix"), s("infix").alias("infix"), s("match_one").alias("match_one"),
         s("sbs_count").alias("sbs_count"), s(F.when(F.col("sbs_count") > 0, 1).otherwise(0)).alias("n_sbs"))
+
+
+# --------------------------------------------------------------------------
+# P2-P5, P8, A6, A7
+# --------------------------------------------------------------------------
+
+from ..operators import sentences as S  # noqa: E402
+
+PAIR_NAMES = ["token", "lemma", "pos", "punct", "sbs_count", "prev_tok_cue"]
+
+
+@register("select_features")
+def q_select_features(spark, sf_dir):
+    f = R.features(spark, sf_dir)
+    return f.select("doc_id", "token_id", F.array_join(S.feature_pairs(PAIR_NAMES), " ").alias("feats"))
+
+
+@register("features_and_labels")
+def q_features_and_labels(spark, sf_dir):
+    x = S.features_and_labels(R.features(spark, sf_dir), PAIR_NAMES)
+    return x.select("doc_id", "token_id", F.array_join("feats", " ").alias("feats"), "label")
+
+
+@register("features_only")
+def q_features_only(spark, sf_dir):
+    x = S.features_only(R.features(spark, sf_dir), ["lemma", "prev", "next", "match_multi"])
+    return x.select("doc_id", "token_id", F.array_join("feats", " ").alias("feats"))
+
+
+@register("get_label")
+def q_get_label(spark, sf_dir):
+    return S.get_label(R.features(spark, sf_dir))
+
+
+@register("first_n_tokens")
+def q_first_n(spark, sf_dir):
+    return S.first_n(_tok(spark, sf_dir).select("doc_id", "tok_id", "token"), 40000)
+
+
+def _sentences(spark, sf_dir, keep_tail):
+    s = S.sentences(R.gold(spark, sf_dir), cols=("token", "label"), keep_tail=keep_tail)
+    return s.select("doc_id", "sent_seq", "piece", "start", "n_tokens", F.array_join("token", " ").alias("tokens"),
+                    F.array_join("label", " ").alias("labels"))
+
+
+@register("sentences")
+def q_sentences(spark, sf_dir):
+    return _sentences(spark, sf_dir, True)
+
+
+@register("sentences_drop_tail")
+def q_sentences_drop_tail(spark, sf_dir):
+    return _sentences(spark, sf_dir, False)
+
+
+@register("token_list")
+def q_token_list(spark, sf_dir):
+    t = S.token_list(_tok(spark, sf_dir))
+    return t.select("doc_id", "block", "n_tokens", F.array_join("tokens", " ").alias("tokens"))
+
+
+# --------------------------------------------------------------------------
+# J1, J2, S6, J3, J4, M1
+# --------------------------------------------------------------------------
+
+from ..operators import annotate as An  # noqa: E402
+from ..operators import vectors as V  # noqa: E402
+
+
+@register("join_annotations")
+def q_join_annotations(spark, sf_dir):
+    tok = _tok(spark, sf_dir).select("doc_id", "tok_id", "token")
+    ann = An.annotate_rules(_tok(spark, sf_dir)).select("doc_id", "tok_id", "lemma", "pos")
+    return An.join_annotations(tok, ann).select("doc_id", "tok_id", "token", "lemma", "pos")
+
+
+def tagged_sample(spark, sf_dir):
+    """Tagged token table for the dictionary annotator: tokens of the
+    documents listed in ``labels``, tagged with the suffix rules except that a
+    word after an article is tagged NN."""
+    g = R.gold(spark, sf_dir)
+    labelled = load_table(spark, sf_dir, "labels").select("doc_id")
+    g = g.join(labelled, "doc_id", "left_semi")
+    tag = F.when(F.col("prev_token").isin("the", "a"), F.lit("NN")).otherwise(F.col("pos"))
+    return g.select("token", "lemma", tag.alias("pos"))
+
+
+@register("annotate_lexicon")
+def q_annotate_lexicon(spark, sf_dir):
+    annotator = An.build_annotator(tagged_sample(spark, sf_dir))
+    out = An.annotate_by_lexicon(_tok(spark, sf_dir), annotator)
+    return out.select("doc_id", "tok_id", "token", "lemma", "pos")
+
+
+def _vsum(c):
+    return F.round(F.aggregate(c, F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double")), 5)
+
+
+def _emb(spark, sf_dir):
+    return V.vectors_by_frequency(_tok(spark, sf_dir), load_table(spark, sf_dir, "embeddings"))
+
+
+@register("scan_embeddings")
+def q_scan_embeddings(spark, sf_dir):
+    e = _emb(spark, sf_dir)
+    return e.select("word", "vec_id", F.size("embedding").alias("dims"), _vsum(F.col("embedding")).alias("vsum"),
+                    _vsum(F.transform("embedding", lambda x: x * x)).alias("vsumsq"))
+
+
+@register("embedding_lookup")
+def q_embedding_lookup(spark, sf_dir):
+    emb = _emb(spark, sf_dir)
+    dim = V.vector_dim(emb)
+    x = V.embed(R.tokens(spark, sf_dir), "lemma", emb, dim, out="vec")
+    return x.select("doc_id", "tok_id", "lemma", F.size("vec").alias("dims"), _vsum(F.col("vec")).alias("vsum"))
+
+
+@register("embedding_context")
+def q_embedding_context(spark, sf_dir):
+    emb = _emb(spark, sf_dir)
+    dim = V.vector_dim(emb)
+    x = V.embed_context(C.prev_next_lemma(R.tokens(spark, sf_dir)), emb, ["lemma", "prev", "next"], dim)
+    return x.select("doc_id", "tok_id", F.size("dense").alias("dims"), _vsum(F.col("dense")).alias("vsum"),
+                    _vsum(F.slice("dense", dim + 1, dim)).alias("vsum_prev"))
+
+
+ONE_HOT_NAMES = ["lemma", "pos", "prefix", "sbs_count", "prev_tok_cue"]
+
+
+@register("one_hot")
+def q_one_hot(spark, sf_dir):
+    return V.vocabulary_table(R.features(spark, sf_dir), ONE_HOT_NAMES)
+
+
+# --------------------------------------------------------------------------
+# A8-A14, J5, J7, P6, P7, P9, M14
+# --------------------------------------------------------------------------
+
+from ..operators import evaluate as Ev  # noqa: E402
+
+SYSTEMS = {"sys_a": "sys_a", "sys_b": "sys_b"}
+
+
+def _pairs(spark, sf_dir):
+    return Ev.stack_systems(R.gold(spark, sf_dir), SYSTEMS)
+
+
+def _conf(spark, sf_dir):
+    return Ev.confusion(_pairs(spark, sf_dir))
+
+
+def _r6(df, cols):
+    for c in cols:
+        df = df.withColumn(c, F.round(F.col(c), 6))
+    return df
+
+
+@register("confusion_counts")
+def q_confusion_counts(spark, sf_dir):
+    return _conf(spark, sf_dir).select("system", "gold", "pred", "n")
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return Ev.confusion_matrix(_conf(spark, sf_dir))
+
+
+@register("pr_stats")
+def q_pr_stats(spark, sf_dir):
+    return Ev.pr_stats(_conf(spark, sf_dir))
+
+
+@register("prf")
+def q_prf(spark, sf_dir):
+    return _r6(Ev.prf(_conf(spark, sf_dir), with_avg=False), ["precision", "recall", "fscore"])
+
+
+@register("macro_avg")
+def q_macro_avg(spark, sf_dir):
+    p = Ev.prf(_conf(spark, sf_dir))
+    return _r6(p.where(F.col("class") == "avg"), ["precision", "recall", "fscore"])
+
+
+@register("classification_report")
+def q_report(spark, sf_dir):
+    return _r6(Ev.classification_report(_conf(spark, sf_dir)), ["precision", "recall", "f1", "support"])
+
+
+@register("distinct_classes")
+def q_classes(spark, sf_dir):
+    return Ev.gold_classes(_conf(spark, sf_dir))
+
+
+@register("evaluate_systems")
+def q_evaluate_systems(spark, sf_dir):
+    return _r6(Ev.prf(_conf(spark, sf_dir)), ["precision", "recall", "fscore"])
+
+
+@register("score_lookup")
+def q_score_lookup(spark, sf_dir):
+    long = Ev.scores_long(Ev.prf(_conf(spark, sf_dir)))
+    return _r6(Ev.score(long, "sys_a", "O", "f-score"), ["value"])
+
+
+@register("filter_mismatch")
+def q_filter_mismatch(spark, sf_dir):
+    p = _pairs(spark, sf_dir)
+    return p.where(F.col("gold") != F.col("pred")).select("system", "doc_id", "tok_id", "gold", "pred")
+
+
+def _sys_b_pred(spark, sf_dir):
+    return R.gold(spark, sf_dir).select("doc_id", F.col("tok_id").alias("token_id"), F.col("sys_b").alias("pred"))
+
+
+@register("error_rows")
+def q_error_rows(spark, sf_dir):
+    return Ev.error_rows(R.features(spark, sf_dir), _sys_b_pred(spark, sf_dir), keys=("doc_id", "token_id"))
+
+
+@register("filter_category")
+def q_filter_category(spark, sf_dir):
+    return Ev.error_rows(R.features(spark, sf_dir), _sys_b_pred(spark, sf_dir), keys=("doc_id", "token_id"),
+                         category="I-NEG")
+
+
+@register("gold_vs_system")
+def q_gold_vs_system(spark, sf_dir):
+    g = R.gold(spark, sf_dir)
+    last = g.where(F.col("token") == ".").groupBy("doc_id").agg(F.max("tok_id").alias("_last"))
+    sa = (g.join(last, "doc_id", "inner").where(F.col("tok_id") <= F.col("_last"))
+           .select("doc_id", "tok_id", F.lit("sys_a").alias("system"), F.col("sys_a").alias("pred")))
+    sb = g.select("doc_id", "tok_id", F.lit("sys_b").alias("system"), F.col("sys_b").alias("pred"))
+    return Ev.unpaired(g, sa.unionByName(sb), ["sys_a", "sys_b"])

@@ -203,3 +203,168 @@ ORACLE["flags_by_lang"] = q("""SELECT lang, count(*) AS n_tokens, CAST(sum(punct
   CAST(sum(match_one) AS BIGINT) AS match_one, CAST(sum(sbs_count) AS BIGINT) AS sbs_count,
   CAST(sum(CASE WHEN sbs_count > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_sbs
   FROM features GROUP BY lang""")
+
+# --------------------------------------------------------------------------
+# P2-P5, P8, A6, A7
+# --------------------------------------------------------------------------
+
+
+def pairs_sql(names, alias=""):
+    a = f"{alias}." if alias else ""
+    return " || ' ' || ".join(f"'{n}=' || CAST({a}{n} AS VARCHAR)" for n in names)
+
+
+PAIR_NAMES = ["token", "lemma", "pos", "punct", "sbs_count", "prev_tok_cue"]
+ORACLE["select_features"] = q(f"SELECT doc_id, token_id, {pairs_sql(PAIR_NAMES)} AS feats FROM features")
+ORACLE["features_and_labels"] = q(f"SELECT doc_id, token_id, {pairs_sql(PAIR_NAMES)} AS feats, negcuelabel AS label FROM features")
+ORACLE["features_only"] = q(f"SELECT doc_id, token_id, {pairs_sql(['lemma', 'prev', 'next', 'match_multi'])} AS feats FROM features")
+ORACLE["get_label"] = q("SELECT doc_id, token_id, negcuelabel AS label FROM features")
+ORACLE["first_n_tokens"] = q("SELECT doc_id, tok_id, token FROM tok ORDER BY doc_id, tok_id LIMIT 40000")
+
+_SENT = f"""sp AS (
+  SELECT *, CAST(coalesce(sum(CASE WHEN token = '.' THEN 1 ELSE 0 END)
+                 OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS sent_seq,
+    coalesce(max(CASE WHEN token = '.' THEN tok_id END)
+             OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1, 0) AS sent_start
+  FROM feat)"""
+
+
+def _sentences_sql(keep_tail: bool) -> str:
+    tail = "" if keep_tail else """ WHERE tok_id <= (SELECT max(tok_id) FROM feat f2 WHERE f2.doc_id = sp.doc_id AND f2.token = '.')"""
+    return q(f""", {_SENT}
+SELECT doc_id, sent_seq, CAST((tok_id - sent_start) // 1024 AS INTEGER) AS piece, min(tok_id) AS start,
+  count(*) AS n_tokens, string_agg(token, ' ' ORDER BY tok_id) AS tokens, string_agg(label, ' ' ORDER BY tok_id) AS labels
+FROM sp{tail} GROUP BY doc_id, sent_seq, piece""")
+
+
+ORACLE["sentences"] = _sentences_sql(True)
+ORACLE["sentences_drop_tail"] = _sentences_sql(False)
+ORACLE["token_list"] = q("""SELECT doc_id, CAST(tok_id // 4096 AS INTEGER) AS block, count(*) AS n_tokens,
+  string_agg(token, ' ' ORDER BY tok_id) AS tokens FROM tok GROUP BY doc_id, block""")
+
+# --------------------------------------------------------------------------
+# J1, J2, S6, J3, J4, M1
+# --------------------------------------------------------------------------
+
+ORACLE["join_annotations"] = q("SELECT doc_id, tok_id, token, lemma, pos FROM ann")
+ORACLE["annotate_lexicon"] = q(""", tagged AS (
+  SELECT token, lemma, CASE WHEN prev_token IN ('the', 'a') THEN 'NN' ELSE pos END AS pos
+  FROM feat WHERE doc_id IN (SELECT doc_id FROM labels)
+), dict AS (
+  SELECT token, lemma, pos FROM (
+    SELECT token, lemma, pos, row_number() OVER (PARTITION BY token ORDER BY n DESC, pos, lemma) AS rn
+    FROM (SELECT token, pos, lemma, count(*) AS n FROM tagged GROUP BY token, pos, lemma)) WHERE rn = 1
+)
+SELECT a.doc_id, a.tok_id, a.token, coalesce(d.lemma, a.lemma) AS lemma, coalesce(d.pos, a.pos) AS pos
+FROM ann a LEFT JOIN dict d ON d.token = a.token""")
+
+_EMB = """, emb AS (
+  SELECT word, vec_id, embedding FROM (
+    SELECT token AS word, CAST(row_number() OVER (ORDER BY count(*) DESC, token) - 1 AS BIGINT) AS vec_id
+    FROM tok GROUP BY token) JOIN embeddings USING (vec_id)
+)"""
+
+
+def vsum(e: str) -> str:
+    return f"round(list_sum(list_transform({e}, lambda x: CAST(x AS DOUBLE))), 5)"
+
+
+def zeros_or(e: str) -> str:
+    return f"coalesce({e}, list_transform(range(64), lambda i: CAST(0 AS FLOAT)))"
+
+
+ORACLE["scan_embeddings"] = q(_EMB + f"""
+SELECT word, vec_id, CAST(len(embedding) AS INTEGER) AS dims, {vsum('embedding')} AS vsum,
+  round(list_sum(list_transform(embedding, lambda x: CAST(x * x AS DOUBLE))), 5) AS vsumsq FROM emb""")
+ORACLE["embedding_lookup"] = q(_EMB + f"""
+SELECT a.doc_id, a.tok_id, a.lemma, CAST(len({zeros_or('e.embedding')}) AS INTEGER) AS dims,
+  {vsum(zeros_or('e.embedding'))} AS vsum
+FROM ann a LEFT JOIN emb e ON e.word = a.lemma""")
+ORACLE["embedding_context"] = q(_EMB + f"""
+SELECT c.doc_id, c.tok_id, CAST(192 AS INTEGER) AS dims,
+  {vsum(f"list_concat({zeros_or('e1.embedding')}, {zeros_or('e2.embedding')}, {zeros_or('e3.embedding')})")} AS vsum,
+  {vsum(zeros_or('e2.embedding'))} AS vsum_prev
+FROM ctx c LEFT JOIN emb e1 ON e1.word = c.lemma LEFT JOIN emb e2 ON e2.word = c.prev LEFT JOIN emb e3 ON e3.word = c.next""")
+
+_OH = ["lemma", "pos", "prefix", "sbs_count", "prev_tok_cue"]
+ORACLE["one_hot"] = q(f"""SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS idx FROM (
+  SELECT DISTINCT unnest([{', '.join(f"'{n}=' || CAST({n} AS VARCHAR)" for n in _OH)}]) AS term FROM features)""")
+
+# --------------------------------------------------------------------------
+# A8-A14, J5, J7, P6, P7, P9, M14
+# --------------------------------------------------------------------------
+
+_EVAL = """, pairs AS (
+  SELECT doc_id, tok_id, label AS gold, 'sys_a' AS system, sys_a AS pred FROM feat
+  UNION ALL SELECT doc_id, tok_id, label, 'sys_b', sys_b FROM feat
+), conf AS (
+  SELECT system, gold, pred, count(*) AS n FROM pairs GROUP BY system, gold, pred
+), cls AS (
+  SELECT system, gold AS class, CASE WHEN gold = pred THEN n ELSE 0 END AS tp, 0 AS fp,
+         CASE WHEN gold <> pred THEN n ELSE 0 END AS fn, 1 AS is_gold FROM conf
+  UNION ALL
+  SELECT system, pred, 0, CASE WHEN gold <> pred THEN n ELSE 0 END, 0, 0 FROM conf
+), st AS (
+  SELECT system, class, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn,
+         CAST(max(is_gold) AS INTEGER) AS is_gold FROM cls GROUP BY system, class
+), stats AS (
+  SELECT system, class, tp, fp, fn,
+    CAST(CASE WHEN is_gold = 1 THEN sum(tp) OVER (PARTITION BY system) - tp ELSE 0 END AS BIGINT) AS tn,
+    CAST(sum(tp + fn) OVER (PARTITION BY system) - tp - fp - fn AS BIGINT) AS tn_full, is_gold FROM st
+), pr AS (
+  SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS p,
+            CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS r FROM stats
+), prf AS (
+  SELECT system, class, p AS precision, r AS recall, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END AS fscore
+  FROM pr WHERE is_gold = 1
+), prf_avg AS (
+  SELECT * FROM prf UNION ALL
+  SELECT system, 'avg', avg(precision), avg(recall), avg(fscore) FROM prf GROUP BY system
+), rep AS (
+  SELECT system, class, p AS precision, r AS recall, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END AS f1,
+         CAST(tp + fn AS DOUBLE) AS support, tp FROM pr
+), rep_sum AS (
+  SELECT system, sum(support) AS n, sum(tp) AS tp, avg(precision) AS mp, avg(recall) AS mr, avg(f1) AS mf,
+         sum(precision * support) AS wp, sum(recall * support) AS wr, sum(f1 * support) AS wf FROM rep GROUP BY system
+), report AS (
+  SELECT system, class, precision, recall, f1, support FROM rep
+  UNION ALL SELECT system, 'accuracy', tp / n, tp / n, tp / n, tp / n FROM rep_sum
+  UNION ALL SELECT system, 'macro avg', mp, mr, mf, n FROM rep_sum
+  UNION ALL SELECT system, 'weighted avg', wp / n, wr / n, wf / n, n FROM rep_sum
+)"""
+
+
+def r6(*cols):
+    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+
+
+ORACLE["confusion_counts"] = q(_EVAL + " SELECT system, gold, pred, n FROM conf")
+ORACLE["confusion_matrix"] = q(_EVAL + """ SELECT system, gold,
+  CAST(coalesce(sum(CASE WHEN pred = 'B-NEG' THEN n END), 0) AS BIGINT) AS "B-NEG",
+  CAST(coalesce(sum(CASE WHEN pred = 'I-NEG' THEN n END), 0) AS BIGINT) AS "I-NEG",
+  CAST(coalesce(sum(CASE WHEN pred = 'O' THEN n END), 0) AS BIGINT) AS "O"
+  FROM conf GROUP BY system, gold""")
+ORACLE["pr_stats"] = q(_EVAL + " SELECT system, class, tp, fp, fn, tn, tn_full, is_gold FROM stats")
+ORACLE["prf"] = q(_EVAL + f" SELECT system, class, {r6('precision', 'recall', 'fscore')} FROM prf")
+ORACLE["macro_avg"] = q(_EVAL + f" SELECT system, class, {r6('precision', 'recall', 'fscore')} FROM prf_avg WHERE class = 'avg'")
+ORACLE["classification_report"] = q(_EVAL + f" SELECT system, class, {r6('precision', 'recall', 'f1', 'support')} FROM report")
+ORACLE["distinct_classes"] = q(_EVAL + " SELECT DISTINCT system, gold AS class FROM conf")
+ORACLE["evaluate_systems"] = q(_EVAL + f" SELECT system, class, {r6('precision', 'recall', 'fscore')} FROM prf_avg")
+ORACLE["score_lookup"] = q(_EVAL + """ SELECT system, class, 'f-score' AS metric, round(fscore, 6) AS value FROM prf_avg
+  WHERE system = 'sys_a' AND class = 'O'""")
+ORACLE["filter_mismatch"] = q(_EVAL + " SELECT system, doc_id, tok_id, gold, pred FROM pairs WHERE gold <> pred")
+_ERR = """ SELECT f.*, s.sys_b AS predictedlabel FROM features f JOIN feat s ON s.doc_id = f.doc_id AND s.tok_id = f.token_id
+  WHERE f.negcuelabel <> s.sys_b"""
+ORACLE["error_rows"] = q(_ERR.replace("f.*", "f.* EXCLUDE (lang)"))
+ORACLE["filter_category"] = q(_ERR.replace("f.*", "f.* EXCLUDE (lang)") + " AND f.negcuelabel = 'I-NEG'")
+ORACLE["gold_vs_system"] = q(""", last AS (SELECT doc_id, max(tok_id) AS last_dot FROM feat WHERE token = '.' GROUP BY doc_id),
+sysrows AS (
+  SELECT f.doc_id, f.tok_id, 'sys_a' AS system FROM feat f JOIN last l ON l.doc_id = f.doc_id WHERE f.tok_id <= l.last_dot
+  UNION ALL SELECT doc_id, tok_id, 'sys_b' FROM feat
+), g AS (SELECT doc_id, tok_id, s.system FROM feat, (VALUES ('sys_a'), ('sys_b')) s(system))
+SELECT coalesce(g.system, r.system) AS system,
+  CAST(sum(CASE WHEN g.doc_id IS NOT NULL AND r.doc_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS paired,
+  CAST(sum(CASE WHEN r.doc_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS gold_only,
+  CAST(sum(CASE WHEN g.doc_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS sys_only
+FROM g FULL JOIN sysrows r ON g.doc_id = r.doc_id AND g.tok_id = r.tok_id AND g.system = r.system
+GROUP BY 1""")
