@@ -191,4 +191,4 @@ def error_rows(gold: DataFrame, pred: DataFrame, keys=("doc_id", "tok_id"), gold
     out = gold.join(p, on=list(keys), how="inner").where(F.col(gold_col) != F.col("predictedlabel"))
     if category is not None:
         out = out.where(F.col(gold_col) == F.lit(category))
-    return out
+    return out.select(*gold.columns, "predictedlabel")

@@ -443,3 +443,110 @@ def q_gold_vs_system(spark, sf_dir):
            .select("doc_id", "tok_id", F.lit("sys_a").alias("system"), F.col("sys_a").alias("pred")))
     sb = g.select("doc_id", "tok_id", F.lit("sys_b").alias("system"), F.col("sys_b").alias("pred"))
     return Ev.unpaired(g, sa.unionByName(sb), ["sys_a", "sys_b"])
+
+
+# --------------------------------------------------------------------------
+# Written under the shared checkpoint folder, read back
+# --------------------------------------------------------------------------
+
+from pyspark.sql import types as Ty  # noqa: E402
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import conll as IO  # noqa: E402
+
+
+def _raw_token_table(spark, sf_dir):
+    g = C.sentence_seq(R.gold(spark, sf_dir))
+    return g.select("doc_id", F.col("sent_seq").alias("sentence_id"), F.col("tok_id").alias("token_id"),
+                    "token", "label")
+
+
+@register("scan_tokens")
+def q_scan_tokens(spark, sf_dir):
+    path = scratch_path(spark, "tokens")
+    IO.write_token_lines(_raw_token_table(spark, sf_dir), path)
+    return IO.read_tokens(spark, path)
+
+
+@register("drop_blank_rows")
+def q_drop_blank(spark, sf_dir):
+    path = scratch_path(spark, "tokens")
+    IO.write_token_lines(_raw_token_table(spark, sf_dir), path)
+    x = IO.read_lines_drop_blank(spark, path)
+    return x.select(F.col("c0").cast("long").alias("doc_id"), F.col("c1").cast("int").alias("sentence_id"),
+                    F.col("c2").cast("int").alias("token_id"), F.col("c3").alias("token"), F.col("c4").alias("label"))
+
+
+def _written_features(spark, sf_dir):
+    path = scratch_path(spark, "features")
+    IO.write_features(R.features(spark, sf_dir), path)
+    return path
+
+
+@register("write_features")
+def q_write_features(spark, sf_dir):
+    return IO.read_features(spark, _written_features(spark, sf_dir))
+
+
+@register("scan_features")
+def q_scan_features(spark, sf_dir):
+    return IO.read_features(spark, _written_features(spark, sf_dir)).where(F.col("negcuelabel") != "O")
+
+
+@register("scan_label_column")
+def q_scan_labels(spark, sf_dir):
+    return IO.read_labels(spark, _written_features(spark, sf_dir))
+
+
+def _predictions(spark, sf_dir):
+    f = R.features(spark, sf_dir)
+    g = R.gold(spark, sf_dir).select("doc_id", F.col("tok_id").alias("token_id"), "sys_a", "sys_b")
+    x = f.join(g, ["doc_id", "token_id"])
+    return Ev.stack_systems(x, SYSTEMS, gold="negcuelabel", keys=("doc_id", "token_id", "token")) \
+        .withColumnRenamed("gold", "negcuelabel").withColumnRenamed("pred", "predicted")
+
+
+PRED_SCHEMA = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("token_id", Ty.IntegerType()),
+                             Ty.StructField("token", Ty.StringType()), Ty.StructField("negcuelabel", Ty.StringType()),
+                             Ty.StructField("predicted", Ty.StringType())])
+
+
+@register("write_predictions")
+def q_write_predictions(spark, sf_dir):
+    base = scratch_path(spark, "predictions")
+    IO.write_predictions(_predictions(spark, sf_dir), base, by=("system",))
+    return IO.read_systems(spark, base, PRED_SCHEMA.add("system", Ty.StringType()))
+
+
+@register("scan_systems")
+def q_scan_systems(spark, sf_dir):
+    base = scratch_path(spark, "predictions")
+    IO.write_system_files(_predictions(spark, sf_dir), base, "run")
+    return IO.read_system_files(spark, base, "run", PRED_SCHEMA).select(
+        "system", "doc_id", "token_id", "token", "negcuelabel", "predicted")
+
+
+@register("write_errors")
+def q_write_errors(spark, sf_dir):
+    path = scratch_path(spark, "errors")
+    err = Ev.error_rows(R.features(spark, sf_dir), _sys_b_pred(spark, sf_dir), keys=("doc_id", "token_id"))
+    IO.write_errors(err, path)
+    schema = IO.FEATURE_SCHEMA.add("predictedlabel", Ty.StringType())
+    return IO.read_tsv(spark, path, schema)
+
+
+CONTEXT_SCHEMA = Ty.StructType([Ty.StructField(c, Ty.StringType()) for c in ("token", "prev", "next")] +
+                               [Ty.StructField(c, Ty.IntegerType()) for c in ("infix", "match_one", "match_multi")])
+
+
+@register("write_context_features")
+def q_write_context(spark, sf_dir):
+    tok = _tok(spark, sf_dir)
+    ctx = C.context_tokens(tok, wrap=True)
+    ctx = C.match_multi(ctx, TEST_MULTI_WORD_CUES, mode="span")
+    out = ctx.select("token", F.col("prev_token").alias("prev"), F.col("next_token").alias("next"),
+                     T.has_neg_infix("token").alias("infix"), T.match_one("token", TEST_ONE_WORD_CUES).alias("match_one"),
+                     "match_multi")
+    path = scratch_path(spark, "context")
+    IO.write_context(out, path)
+    return IO.read_tsv(spark, path, CONTEXT_SCHEMA, header=False)

@@ -368,3 +368,32 @@ SELECT coalesce(g.system, r.system) AS system,
   CAST(sum(CASE WHEN g.doc_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS sys_only
 FROM g FULL JOIN sysrows r ON g.doc_id = r.doc_id AND g.tok_id = r.tok_id AND g.system = r.system
 GROUP BY 1""")
+
+# --------------------------------------------------------------------------
+# S1-S5, K1-K4 (round trips: the read-back equals the written relation)
+# --------------------------------------------------------------------------
+
+_RAW = f""" SELECT doc_id, CAST(coalesce(sum(CASE WHEN token = '.' THEN 1 ELSE 0 END)
+    OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS sentence_id,
+  tok_id AS token_id, token, label FROM feat"""
+ORACLE["scan_tokens"] = q(_RAW)
+ORACLE["drop_blank_rows"] = q(_RAW)
+_FEAT17 = ("doc_id, sentence_id, token_id, token, lemma, prev, next, pos, punct, prefix, suffix, infix, "
+           "prev_tok_cue, sbs_count, match_one, match_multi, negcuelabel")
+ORACLE["write_features"] = q(f"SELECT {_FEAT17} FROM features")
+ORACLE["scan_features"] = q(f"SELECT {_FEAT17} FROM features WHERE negcuelabel <> 'O'")
+ORACLE["scan_label_column"] = q("SELECT doc_id, token_id, negcuelabel FROM features")
+_PRED = """ SELECT {name_a} AS system, f.doc_id, f.token_id, f.token, f.negcuelabel, s.sys_a AS predicted
+  FROM features f JOIN feat s ON s.doc_id = f.doc_id AND s.tok_id = f.token_id
+  UNION ALL SELECT {name_b}, f.doc_id, f.token_id, f.token, f.negcuelabel, s.sys_b
+  FROM features f JOIN feat s ON s.doc_id = f.doc_id AND s.tok_id = f.token_id"""
+ORACLE["write_predictions"] = q(_PRED.format(name_a="'sys-a'", name_b="'sys-b'"))
+ORACLE["scan_systems"] = q(_PRED.format(name_a="'run-sys-a'", name_b="'run-sys-b'"))
+ORACLE["write_errors"] = q(_ERR.replace("f.*", "f.* EXCLUDE (lang)"))
+ORACLE["write_context_features"] = q(f"""SELECT token,
+  coalesce(lag(token) OVER ({W}), last_tok) AS prev, coalesce(lead(token) OVER ({W}), second_tok, first_tok) AS next,
+  {flag(infix_cond('token'))} AS infix, {flag(f'token IN {lst(TEST_ONE_WORD_CUES)}')} AS match_one,
+  {multi_sql(span_forms_sql(), TEST_MULTI_WORD_CUES)} AS match_multi
+  FROM ctx JOIN (SELECT doc_id, arg_max(token, tok_id) AS last_tok,
+                        max(CASE WHEN tok_id = 1 THEN token END) AS second_tok,
+                        max(CASE WHEN tok_id = 0 THEN token END) AS first_tok FROM tok GROUP BY doc_id) e USING (doc_id)""")
