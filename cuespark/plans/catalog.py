@@ -451,7 +451,7 @@ def q_gold_vs_system(spark, sf_dir):
 
 from pyspark.sql import types as Ty  # noqa: E402
 
-from ..session import scratch_path  # noqa: E402
+from ..session import materialize, scratch_path  # noqa: E402
 from ..sources import conll as IO  # noqa: E402
 
 
@@ -550,3 +550,106 @@ def q_write_context(spark, sf_dir):
     path = scratch_path(spark, "context")
     IO.write_context(out, path)
     return IO.read_tsv(spark, path, CONTEXT_SCHEMA, header=False)
+
+
+# --------------------------------------------------------------------------
+# Learning operators (rows-only checks)
+# --------------------------------------------------------------------------
+
+from . import models as M  # noqa: E402
+
+# Iteration caps for the registered runs; the API defaults keep the
+# original caps.  Every row of the whole table is used.
+Q_ITER = 30
+
+
+def _split_features(spark, sf_dir):
+    return materialize(M.split_documents(R.features(spark, sf_dir)), "features")
+
+
+def _predict_query(spark, sf_dir, kind):
+    f = _split_features(spark, sf_dir)
+    model = M.train(f.where(F.col("split") == "train"), kind=kind, max_iter=Q_ITER)
+    return model.predict(f).select("doc_id", "token_id", "split", "negcuelabel", "predicted")
+
+
+@register("train_svm")
+def q_train_svm(spark, sf_dir):
+    return _predict_query(spark, sf_dir, "svm")
+
+
+@register("train_logreg")
+def q_train_logreg(spark, sf_dir):
+    return _predict_query(spark, sf_dir, "logreg")
+
+
+@register("train_nb")
+def q_train_nb(spark, sf_dir):
+    return _predict_query(spark, sf_dir, "nb")
+
+
+def _emb_features(spark, sf_dir):
+    f = _split_features(spark, sf_dir)
+    emb = materialize(_emb(spark, sf_dir), "vectors")
+    return f, emb, V.vector_dim(emb)
+
+
+@register("train_embeddings")
+def q_train_embeddings(spark, sf_dir):
+    f, emb, dim = _emb_features(spark, sf_dir)
+    model = M.train_embeddings(f.where(F.col("split") == "train"), emb, dim, kind="svm", max_iter=Q_ITER)
+    return model.predict(f).select("doc_id", "token_id", "split", "negcuelabel", "predicted")
+
+
+def _vector_summary(x):
+    from pyspark.ml.functions import vector_to_array
+    arr = vector_to_array("x")
+    return x.select("doc_id", "token_id", F.size(arr).alias("dims"),
+                    F.size(F.filter(arr, lambda v: v != 0)).alias("nnz"))
+
+
+@register("embedding_features")
+def q_embedding_features(spark, sf_dir):
+    f, emb, dim = _emb_features(spark, sf_dir)
+    _, one_hot_names = S.split_features(R.FEATURE_NAMES, "train")
+    enc = V.one_hot_encoder(V.vocabulary(f, one_hot_names))
+    return _vector_summary(M.embedding_vectors(f, R.FEATURE_NAMES, emb, dim, enc))
+
+
+@register("combine_vectors")
+def q_combine_vectors(spark, sf_dir):
+    f, emb, dim = _emb_features(spark, sf_dir)
+    names = ["lemma", "pos", "prefix", "suffix"]
+    enc = V.one_hot_encoder(V.vocabulary(f, ["pos", "prefix", "suffix"]))
+    x = V.embed_context(f, emb, names, dim, out="dense")
+    x = enc.transform(x.withColumn("feats", S.feature_pairs(["pos", "prefix", "suffix"])))
+    return _vector_summary(V.combine(x, "onehot", "dense", "x"))
+
+
+@register("predict")
+def q_predict(spark, sf_dir):
+    f = _split_features(spark, sf_dir)
+    model = M.train(f.where(F.col("split") == "train"), kind="nb")
+    return model.predict(f.where(F.col("split") == "test")).select(*R.FEATURE_COLUMNS, "predicted")
+
+
+@register("attach_predictions")
+def q_attach(spark, sf_dir):
+    f = _split_features(spark, sf_dir)
+    model = M.train(f.where(F.col("split") == "train"), ["lemma", "pos", "prev_tok_cue"], kind="nb")
+    pred = model.predict(f).select("doc_id", "token_id", "predicted")
+    return f.join(pred, ["doc_id", "token_id"]).select(*R.FEATURE_COLUMNS, "predicted")
+
+
+@register("tune_svm")
+def q_tune_svm(spark, sf_dir):
+    f = _split_features(spark, sf_dir).where(F.col("split") == "train")
+    _, results = M.tune_svm(f, ["lemma", "pos", "prefix", "suffix", "prev_tok_cue"], max_iter=10)
+    return spark.createDataFrame(results, "c double, tol double, macro_f1 double")
+
+
+@register("pick_dense_onehot")
+def q_pick_dense_onehot(spark, sf_dir):
+    _, one_hot = S.split_features(R.FEATURE_NAMES, "train")
+    f = R.features(spark, sf_dir)
+    return f.select("doc_id", "token_id", F.array_join(S.feature_pairs(one_hot), " ").alias("onehot_feats"))

@@ -397,3 +397,6 @@ ORACLE["write_context_features"] = q(f"""SELECT token,
   FROM ctx JOIN (SELECT doc_id, arg_max(token, tok_id) AS last_tok,
                         max(CASE WHEN tok_id = 1 THEN token END) AS second_tok,
                         max(CASE WHEN tok_id = 0 THEN token END) AS first_tok FROM tok GROUP BY doc_id) e USING (doc_id)""")
+
+_ONEHOT_TRAIN = ["pos", "punct", "prefix", "suffix", "infix", "sbs_count", "match_one", "match_multi", "prev_tok_cue"]
+ORACLE["pick_dense_onehot"] = q(f"SELECT doc_id, token_id, {pairs_sql(_ONEHOT_TRAIN)} AS onehot_feats FROM features")

@@ -78,3 +78,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     intermediate tables (never a machine-local folder on a cluster)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as parquet under the shared checkpoint folder and return
+    the re-read table: lineage is cut (a lost executor re-reads files instead
+    of recomputing the plan) and later scans prune columns."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
