@@ -8,7 +8,7 @@ runtime instead of trusting a guess.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,6 +107,20 @@ def one_hot_encoder(vocab: list[str], input_col: str = "feats", output_col: str
     return CountVectorizerModel.from_vocabulary(vocab, inputCol=input_col, outputCol=output_col, binary=True)
 
 
+def fit_one_hot(df: DataFrame, names, input_col: str = "feats", output_col: str = "onehot",
+                max_vocab: int = 1 << 22) -> CountVectorizerModel:
+    """M1 (fit): binary one-hot encoder over every ``name=value`` term seen
+    in ``df``.  The vocabulary is counted and kept on the JVM side (no
+    round trip through Python); the number of distinct terms is checked
+    first so the encoder never silently drops terms."""
+    terms = df.select(feature_pairs(names).alias(input_col))
+    n = terms.select(F.explode(input_col)).distinct().count()
+    if n > max_vocab:
+        raise ValueError(f"one-hot vocabulary has {n} terms (> {max_vocab}); use hashed features")
+    cv = CountVectorizer(inputCol=input_col, outputCol=output_col, vocabSize=max(n, 1), minDF=1.0, binary=True)
+    return cv.fit(terms)
+
+
 def combine(df: DataFrame, onehot: str | None = "onehot", dense: str = "dense", out: str = "features") -> DataFrame:
     """M6: one-hot vector followed by the dense vector (dense alone when
     there is no one-hot feature)."""

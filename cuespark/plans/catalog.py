@@ -612,7 +612,7 @@ def _vector_summary(x):
 def q_embedding_features(spark, sf_dir):
     f, emb, dim = _emb_features(spark, sf_dir)
     _, one_hot_names = S.split_features(R.FEATURE_NAMES, "train")
-    enc = V.one_hot_encoder(V.vocabulary(f, one_hot_names))
+    enc = V.fit_one_hot(f, one_hot_names)
     return _vector_summary(M.embedding_vectors(f, R.FEATURE_NAMES, emb, dim, enc))
 
 
@@ -620,7 +620,7 @@ def q_embedding_features(spark, sf_dir):
 def q_combine_vectors(spark, sf_dir):
     f, emb, dim = _emb_features(spark, sf_dir)
     names = ["lemma", "pos", "prefix", "suffix"]
-    enc = V.one_hot_encoder(V.vocabulary(f, ["pos", "prefix", "suffix"]))
+    enc = V.fit_one_hot(f, ["pos", "prefix", "suffix"])
     x = V.embed_context(f, emb, names, dim, out="dense")
     x = enc.transform(x.withColumn("feats", S.feature_pairs(["pos", "prefix", "suffix"])))
     return _vector_summary(V.combine(x, "onehot", "dense", "x"))
@@ -697,3 +697,30 @@ def q_predict_tagger(spark, sf_dir):
 def q_tune_tagger(spark, sf_dir):
     f = _split_features(spark, sf_dir).where(F.col("split") == "train")
     return spark.createDataFrame(TG.tune_tagger(f, TAGGER_NAMES, n_folds=3, max_iter=10))
+
+
+# --------------------------------------------------------------------------
+# M13 ablation; stateless features on a stream
+# --------------------------------------------------------------------------
+
+from . import ablation as Ab  # noqa: E402
+
+
+@register("feature_ablation")
+def q_feature_ablation(spark, sf_dir):
+    """All 26 distinct feature sets, trained on the train split and scored
+    on the test split in one grouped job (complement naive Bayes here; the
+    SVM, tagger and vector models run through ``models=``)."""
+    f = _split_features(spark, sf_dir)
+    train, test = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
+    pred = Ab.ablate(train, test, models=("nb",), concurrency=4)
+    return _r6(Ab.score_runs(pred, test), ["precision", "recall", "fscore"])
+
+
+@register("stream_token_features")
+def q_stream_token_features(spark, sf_dir):
+    import os
+    from ..streaming.features import run_token_features
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    run_token_features(spark, os.path.join(sf_dir, "documents.parquet*"), sink, ckpt, TEST_ONE_WORD_CUES)
+    return spark.read.parquet(sink)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sentences import feature_pairs, split_features
-from ..operators.vectors import combine, embed_context, one_hot_encoder, vocabulary
+from ..operators.vectors import combine, embed_context, fit_one_hot
 from .relations import FEATURE_NAMES
 
 KEYS = ("doc_id", "token_id")
@@ -100,8 +100,7 @@ def train(df: DataFrame, names=FEATURE_NAMES, kind: str = "svm", label: str = LA
           reg: float = 0.0, tol: float = 1e-4, parallelism: int = 3, max_vocab: int = 1 << 22) -> TokenModel:
     """M2 / M3 / M4: fit a one-hot token classifier on ``names``."""
     names = list(names)
-    vocab = vocabulary(df, names, max_vocab)
-    enc = one_hot_encoder(vocab)
+    enc = fit_one_hot(df, names, max_vocab=max_vocab)
     labels = _labels(df, label)
     x = enc.transform(df.select(feature_pairs(names).alias("feats"), F.col(label)))
     x = _indexed(x.select(F.col("onehot").alias("x", metadata={}), label), labels, label).select("x", "y")
@@ -134,7 +133,7 @@ def train_embeddings(df: DataFrame, emb: DataFrame, dim: int, names=FEATURE_NAME
         raise ValueError("naive Bayes cannot take (possibly negative) word vectors")
     names = list(names)
     _, one_hot_names = split_features(names, "train")
-    enc = one_hot_encoder(vocabulary(df, one_hot_names)) if one_hot_names else None
+    enc = fit_one_hot(df, one_hot_names) if one_hot_names else None
     labels = _labels(df, label)
     x = _indexed(embedding_vectors(df, names, emb, dim, enc), labels, label).select("x", "y")
     x = x.persist(StorageLevel.MEMORY_AND_DISK)
@@ -175,7 +174,7 @@ def tune_svm(df: DataFrame, names=FEATURE_NAMES, label: str = LABEL, cs=(0.01, 0
     """Grid over C x tol scored by macro F1 with document-grouped folds.
     Spark's LinearSVC has the hinge loss only, so the loss axis collapses."""
     names = list(names)
-    enc = one_hot_encoder(vocabulary(df, names))
+    enc = fit_one_hot(df, names)
     labels = _labels(df, label)
     fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(n_folds)).cast("int")
     x = enc.transform(df.select(fold.alias("fold"), feature_pairs(names).alias("feats"), F.col(label)))

@@ -400,3 +400,8 @@ ORACLE["write_context_features"] = q(f"""SELECT token,
 
 _ONEHOT_TRAIN = ["pos", "punct", "prefix", "suffix", "infix", "sbs_count", "match_one", "match_multi", "prev_tok_cue"]
 ORACLE["pick_dense_onehot"] = q(f"SELECT doc_id, token_id, {pairs_sql(_ONEHOT_TRAIN)} AS onehot_feats FROM features")
+
+ORACLE["stream_token_features"] = q(f"""SELECT doc_id, tok_id, token, lemma, pos,
+  {flag(f'contains({PUNCT}, token)')} AS punct, {flag(prefix_any('token'))} AS prefix,
+  {flag("suffix(token, 'less')")} AS suffix, {flag(infix_cond('token'))} AS infix,
+  {flag(f'token IN {lst(TEST_ONE_WORD_CUES)}')} AS match_one, {strip_sql('token')} AS stripped FROM ann""")
