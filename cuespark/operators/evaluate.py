@@ -100,11 +100,13 @@ def pr_stats(conf: DataFrame, system: str = "system") -> DataFrame:
     hit = F.col("gold") == F.col("pred")
     n = F.col("n")
     z = F.lit(0).cast("long")
-    as_gold = conf.select(*keys, F.col("gold").alias("class"), F.when(hit, n).otherwise(z).alias("tp"),
-                          z.alias("fp"), F.when(hit, z).otherwise(n).alias("fn"), F.lit(1).alias("is_gold"))
-    as_pred = conf.select(*keys, F.col("pred").alias("class"), z.alias("tp"),
-                          F.when(hit, z).otherwise(n).alias("fp"), z.alias("fn"), F.lit(0).alias("is_gold"))
-    s = (as_gold.unionByName(as_pred).groupBy(*keys, "class")
+    # each count contributes to its gold class and to its predicted class:
+    # two entries per row from one pass (no union, so conf is read once)
+    as_gold = F.struct(F.col("gold").alias("class"), F.when(hit, n).otherwise(z).alias("tp"), z.alias("fp"),
+                       F.when(hit, z).otherwise(n).alias("fn"), F.lit(1).alias("is_gold"))
+    as_pred = F.struct(F.col("pred").alias("class"), z.alias("tp"), F.when(hit, z).otherwise(n).alias("fp"),
+                       z.alias("fn"), F.lit(0).alias("is_gold"))
+    s = (conf.select(*keys, F.inline(F.array(as_gold, as_pred))).groupBy(*keys, "class")
          .agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"),
               F.max("is_gold").alias("is_gold")))
     w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))

@@ -27,10 +27,7 @@ def lexicon(tokens: DataFrame, n: int = NGRAM_SIZE, by_pos: bool = True, token:
     once for each word-initial n-gram of size 1..min(n, len); tokens of at
     most ``n`` characters therefore count twice for themselves."""
     keys = [pos] if by_pos else []
-    types = type_counts(tokens, token, pos if by_pos else None)
-    grams = types.select(F.explode(F.concat(F.array(F.col(token)), start_ngrams(token, n))).alias("gram"),
-                         *keys, "n")
-    return grams.groupBy("gram", *keys).agg(F.sum("n").cast("long").alias("n"))
+    return lexicon_from_types(type_counts(tokens, token, pos if by_pos else None), n, token, keys)
 
 
 def affixed_types(tokens: DataFrame, token: str = "token", pos: str | None = "pos") -> DataFrame:
@@ -41,28 +38,38 @@ def affixed_types(tokens: DataFrame, token: str = "token", pos: str | None = "po
                   .where(F.length("base") > 0))
 
 
+def lexicon_from_types(types: DataFrame, n: int = NGRAM_SIZE, token: str = "token", keys=("pos",)) -> DataFrame:
+    """A1 from a type-count table ``(token, keys..., n)``."""
+    grams = types.select(F.explode(F.concat(F.array(F.col(token)), start_ngrams(token, n))).alias("gram"),
+                         *keys, "n")
+    return grams.groupBy("gram", *keys).agg(F.sum("n").cast("long").alias("n"))
+
+
 def sbs_counts(tokens: DataFrame, lex: DataFrame | None = None, n: int = NGRAM_SIZE,
                token: str = "token", pos: str = "pos") -> DataFrame:
     """A3 per type: ``(token, pos, sbs_count)`` for affixed types only - the
     sum over the word-initial n-grams of the stripped token of
-    ``lexicon[(gram, pos)]``."""
-    lex = lexicon(tokens, n, True, token, pos) if lex is None else lex
-    grams = affixed_types(tokens, token, pos).select(
-        token, pos, F.explode(start_ngrams("base", n)).alias("gram"))
+    ``lexicon[(gram, pos)]``.  Lexicon and affixed types both come from one
+    type-count aggregate of ``tokens``."""
+    types = type_counts(tokens, token, pos)
+    lex = lexicon_from_types(types, n, token, (pos,)) if lex is None else lex
+    affixed = (types.select(token, pos).withColumn("base", strip_affix(token))
+                    .where(F.length("base") > 0))
+    grams = affixed.select(token, pos, F.explode(start_ngrams("base", n)).alias("gram"))
     return (grams.join(lex, on=["gram", pos], how="left")
                  .groupBy(token, pos)
                  .agg(F.sum(F.coalesce(F.col("n"), F.lit(0))).cast("long").alias("sbs_count")))
 
 
 def with_sbs_count(tokens: DataFrame, lex: DataFrame | None = None, n: int = NGRAM_SIZE,
-                   token: str = "token", pos: str = "pos") -> DataFrame:
+                   token: str = "token", pos: str = "pos", types_from: DataFrame | None = None) -> DataFrame:
     """A3: attach ``sbs_count`` (0 for tokens without affix).
 
     The per-type table is joined back on ``(token, pos)``; it is a small
     fraction of the token table, and AQE turns the join into a broadcast when
     its measured size allows, or splits skewed partitions otherwise.
     """
-    per_type = sbs_counts(tokens, lex, n, token, pos)
+    per_type = sbs_counts(tokens if types_from is None else types_from, lex, n, token, pos)
     return (tokens.join(per_type, on=[token, pos], how="left")
                   .withColumn("sbs_count", F.coalesce(F.col("sbs_count"), F.lit(0).cast("long"))))
 

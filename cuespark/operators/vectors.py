@@ -44,30 +44,39 @@ def read_vector_table(spark, path: str, fmt: str = "parquet", word: str = "word"
 
 
 def vector_dim(emb: DataFrame, vec: str = "embedding") -> int:
-    """Width of the vectors (one row is read)."""
+    """Width of the vectors (one row is read; pass the raw vector table)."""
     row = emb.select(F.size(vec)).first()
     return int(row[0]) if row else 0
 
 
+def needed_vectors(df: DataFrame, cols, emb: DataFrame, vec: str = "embedding") -> DataFrame:
+    """The vectors of the distinct words occurring in ``cols`` (one pass
+    over ``df`` and a semi join), typically far smaller than the table."""
+    words = df.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("word")).distinct()
+    return emb.join(words, on="word", how="left_semi").select("word", F.col(vec).alias("_v"))
+
+
 def embed(df: DataFrame, col: str, emb: DataFrame, dim: int, out: str | None = None,
-          vec: str = "embedding") -> DataFrame:
+          vec: str = "embedding", found: DataFrame | None = None) -> DataFrame:
     """Attach the vector of ``col`` (zeros when the word is unknown)."""
     out = out or f"{col}_vec"
-    words = df.select(F.col(col).alias("word")).distinct()
-    found = words.join(emb.select("word", F.col(vec).alias("_v")), on="word", how="inner")
+    found = needed_vectors(df, [col], emb, vec) if found is None else found
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
-    return (df.join(found.withColumnRenamed("word", col), on=col, how="left")
-              .withColumn(out, F.coalesce(F.col("_v"), zeros)).drop("_v"))
+    look = found.select(F.col("word").alias(col), F.col("_v").alias(f"_v_{out}"))
+    return (df.join(look, on=col, how="left")
+              .withColumn(out, F.coalesce(F.col(f"_v_{out}"), zeros)).drop(f"_v_{out}"))
 
 
 def embed_context(df: DataFrame, emb: DataFrame, names, dim: int, out: str = "dense",
                   lemma: str = "lemma", prev: str = "prev", nxt: str = "next") -> DataFrame:
     """Lemma vector, followed by the prev and/or next vector when those
-    features are selected."""
+    features are selected.  The needed vectors are found once for all three
+    columns; each column is then a left join against that small table."""
     parts = [lemma] + [c for c, n in ((prev, "prev"), (nxt, "next")) if n in names]
+    found = needed_vectors(df, parts, emb)
     x = df
     for c in parts:
-        x = embed(x, c, emb, dim, out=f"_e_{c}")
+        x = embed(x, c, emb, dim, out=f"_e_{c}", found=found)
     return x.withColumn(out, F.concat(*[F.col(f"_e_{c}") for c in parts])).drop(*[f"_e_{c}" for c in parts])
 
 

@@ -14,7 +14,7 @@ from ..functions import text as T
 from ..functions.cues import MULTI_WORD_CUES, ONE_WORD_CUES, TEST_MULTI_WORD_CUES, TEST_ONE_WORD_CUES
 from ..operators import context as C
 from ..operators import lexicon as L
-from ..sources.documents import documents_tokens, load_table, token_counts, tokenize
+from ..sources.documents import documents_tokens, load_table, spread, token_counts, tokenize
 from . import relations as R
 
 QUERIES = {}
@@ -33,7 +33,7 @@ def _tok(spark, sf_dir):
 
 def _raw_tok(spark, sf_dir):
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return tokenize(docs, keep=("doc_id",), lowercase=False)
+    return tokenize(spread(docs), keep=("doc_id",), lowercase=False)
 
 
 # --------------------------------------------------------------------------
@@ -156,7 +156,7 @@ def q_context_tokens(spark, sf_dir):
 
 @register("corpus_position")
 def q_corpus_position(spark, sf_dir):
-    docs = load_table(spark, sf_dir, "documents")
+    docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
     sizes = token_counts(docs)
     return C.corpus_position(_tok(spark, sf_dir), sizes).select("doc_id", "tok_id", "corpus_pos")
 
@@ -319,10 +319,14 @@ def q_scan_embeddings(spark, sf_dir):
                     _vsum(F.transform("embedding", lambda x: x * x)).alias("vsumsq"))
 
 
+def _dim(spark, sf_dir):
+    return V.vector_dim(load_table(spark, sf_dir, "embeddings"))
+
+
 @register("embedding_lookup")
 def q_embedding_lookup(spark, sf_dir):
     emb = _emb(spark, sf_dir)
-    dim = V.vector_dim(emb)
+    dim = _dim(spark, sf_dir)
     x = V.embed(R.tokens(spark, sf_dir), "lemma", emb, dim, out="vec")
     return x.select("doc_id", "tok_id", "lemma", F.size("vec").alias("dims"), _vsum(F.col("vec")).alias("vsum"))
 
@@ -330,7 +334,7 @@ def q_embedding_lookup(spark, sf_dir):
 @register("embedding_context")
 def q_embedding_context(spark, sf_dir):
     emb = _emb(spark, sf_dir)
-    dim = V.vector_dim(emb)
+    dim = _dim(spark, sf_dir)
     x = V.embed_context(C.prev_next_lemma(R.tokens(spark, sf_dir)), emb, ["lemma", "prev", "next"], dim)
     return x.select("doc_id", "tok_id", F.size("dense").alias("dims"), _vsum(F.col("dense")).alias("vsum"),
                     _vsum(F.slice("dense", dim + 1, dim)).alias("vsum_prev"))
@@ -591,7 +595,7 @@ def q_train_nb(spark, sf_dir):
 def _emb_features(spark, sf_dir):
     f = _split_features(spark, sf_dir)
     emb = materialize(_emb(spark, sf_dir), "vectors")
-    return f, emb, V.vector_dim(emb)
+    return f, emb, _dim(spark, sf_dir)
 
 
 @register("train_embeddings")

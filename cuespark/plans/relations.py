@@ -99,7 +99,8 @@ def features_from_tokens(tok: DataFrame, one_cues=ONE_WORD_CUES, multi_cues=MULT
              "infix": has_neg_infix(t), "match_one": match_one(t, one_cues),
              "match_multi": F.when(hit, F.lit(1)).otherwise(F.lit(0))}
     out = ctx.select("*", *[v.alias(k) for k, v in flags.items()])
-    out = with_sbs_count(out)
+    # the lexicon needs only (token, pos): count types from the pre-window table
+    out = with_sbs_count(out, types_from=tok)
     return out.select(
         "doc_id", F.col("sentence_id").cast("int").alias("sentence_id"), F.col("tok_id").alias("token_id"),
         "token", "lemma", "prev", "next", "pos", "punct", "prefix", "suffix", "infix", "prev_tok_cue",

@@ -25,6 +25,17 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Hash-spread rows over the cluster when the scan produced fewer
+    partitions than there are task slots (e.g. one large row group).  A
+    scan of many files is already split and is returned unchanged, so no
+    shuffle is added at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, key)
+
+
 def tokenize(df: DataFrame, text_col: str = "text", keep=("doc_id", "lang"),
              pattern: str = TOKEN_PATTERN, lowercase: bool = True) -> DataFrame:
     """``(keep..., tok_id int, token string)`` for every token of every text.
@@ -49,4 +60,4 @@ def token_counts(df: DataFrame, text_col: str = "text", keep=("doc_id",),
 def documents_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``tok``: the token relation over the ``documents`` table."""
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return tokenize(docs)
+    return tokenize(spread(docs))
