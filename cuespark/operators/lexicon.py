@@ -53,9 +53,9 @@ def sbs_counts(tokens: DataFrame, lex: DataFrame | None = None, n: int = NGRAM_S
     type-count aggregate of ``tokens``."""
     types = type_counts(tokens, token, pos)
     lex = lexicon_from_types(types, n, token, (pos,)) if lex is None else lex
-    affixed = (types.select(token, pos).withColumn("base", strip_affix(token))
-                    .where(F.length("base") > 0))
-    grams = affixed.select(token, pos, F.explode(start_ngrams("base", n)).alias("gram"))
+    # tokens without affix strip to '' and explode no n-grams; no filter, so
+    # both branches share the same type-count exchange
+    grams = types.select(token, pos, F.explode(start_ngrams(strip_affix(token), n)).alias("gram"))
     return (grams.join(lex, on=["gram", pos], how="left")
                  .groupBy(token, pos)
                  .agg(F.sum(F.coalesce(F.col("n"), F.lit(0))).cast("long").alias("sbs_count")))

@@ -74,6 +74,10 @@ def embed_context(df: DataFrame, emb: DataFrame, names, dim: int, out: str = "de
     columns; each column is then a left join against that small table."""
     parts = [lemma] + [c for c, n in ((prev, "prev"), (nxt, "next")) if n in names]
     found = needed_vectors(df, parts, emb)
+    if len(parts) > 1:
+        # read by every lookup: written once instead of recomputed per join
+        from ..session import materialize
+        found = materialize(found, "vectors-needed")
     x = df
     for c in parts:
         x = embed(x, c, emb, dim, out=f"_e_{c}", found=found)

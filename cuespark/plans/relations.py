@@ -4,10 +4,11 @@
 ``gold``      + prev_token and gold / system label columns (test annotation)
 ``features``  the 17-column feature table
 
-The feature table is built with one ordered-context shuffle (neighbour
-lemmas, +-3 neighbour tokens, sentence numbers and the previous label all
-come from the same block window) plus the lexicon aggregate and its
-per-type join.
+From document text the feature table needs no shuffle for context: the
+neighbour tokens and sentence numbers come from each document's token
+array.  From an arbitrary token table (e.g. read from files) one
+ordered-context shuffle (block windows) provides them.  Either way the
+lexicon aggregate and its per-type join are the only other data movement.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import functions as F
 
 from ..functions.cues import MULTI_WORD_CUES, ONE_WORD_CUES, TEST_MULTI_WORD_CUES, TEST_ONE_WORD_CUES
 from ..functions.text import has_neg_infix, has_neg_prefix, has_neg_suffix, is_punct, match_one
-from ..operators.annotate import annotate_rules
-from ..operators.context import literal_forms, ordered_context, span_forms
+from ..operators.annotate import annotate_rules, rule_lemma, rule_pos
+from ..operators.context import literal_forms, ordered_context, span_forms, tokenize_with_context
 from ..operators.lexicon import with_sbs_count
-from ..sources.documents import documents_tokens
+from ..sources.documents import documents_tokens, load_table, spread
 
 FEATURE_COLUMNS = ["doc_id", "sentence_id", "token_id", "token", "lemma", "prev", "next", "pos", "punct",
                    "prefix", "suffix", "infix", "prev_tok_cue", "sbs_count", "match_one", "match_multi",
@@ -59,9 +60,16 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate_rules(documents_tokens(spark, sf_dir))
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(load_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``feat``: tokens + prev_token + label, sys_a, sys_b (one context pass)."""
-    t = ordered_context(tokens(spark, sf_dir), {"prev_token": ("token", -1, None)})
+    """``feat``: tokens + prev_token + label, sys_a, sys_b; the previous token
+    comes from the document's token array (no shuffle)."""
+    t = tokenize_with_context(_documents(spark, sf_dir), reach=1, end_token=None)
+    t = (annotate_rules(t).withColumn("prev_token", F.when(F.col("tok_id") > 0, F.col("_p1")))
+         .drop("_p1", "_f1"))
     tok, prev = F.col("token"), F.col("prev_token")
     return (t.withColumn("label", gold_rule(tok, prev))
              .withColumn("sys_a", sys_a_rule(tok, prev))
@@ -83,6 +91,11 @@ def features_from_tokens(tok: DataFrame, one_cues=ONE_WORD_CUES, multi_cues=MULT
     if label_rule is None:
         shifts["prev_tok_cue"] = ("label", -1, "0")
     ctx = ordered_context(tok, shifts, running={"sentence_id": (F.col("token") == ".").cast("int")})
+    return _finish(ctx, one_cues, multi_cues, multi_mode, label_rule, keep_extra, types_from=tok)
+
+
+def _finish(ctx: DataFrame, one_cues, multi_cues, multi_mode, label_rule, keep_extra,
+            types_from: DataFrame | None = None) -> DataFrame:
     t = F.col("token")
     p = {k: F.col(f"_p{k}") for k in (1, 2, 3)}
     f = {k: F.col(f"_f{k}") for k in (1, 2, 3)}
@@ -99,15 +112,35 @@ def features_from_tokens(tok: DataFrame, one_cues=ONE_WORD_CUES, multi_cues=MULT
              "infix": has_neg_infix(t), "match_one": match_one(t, one_cues),
              "match_multi": F.when(hit, F.lit(1)).otherwise(F.lit(0))}
     out = ctx.select("*", *[v.alias(k) for k, v in flags.items()])
-    # the lexicon needs only (token, pos): count types from the pre-window table
-    out = with_sbs_count(out, types_from=tok)
+    # the lexicon needs only (token, pos): count types before any shuffle
+    types = ctx.select("token", "pos") if types_from is None else types_from
+    out = with_sbs_count(out, types_from=types)
     return out.select(
         "doc_id", F.col("sentence_id").cast("int").alias("sentence_id"), F.col("tok_id").alias("token_id"),
         "token", "lemma", "prev", "next", "pos", "punct", "prefix", "suffix", "infix", "prev_tok_cue",
         "sbs_count", "match_one", "match_multi", F.col("label").alias("negcuelabel"), *keep_extra)
 
 
+def features_from_documents(docs: DataFrame, one_cues=ONE_WORD_CUES, multi_cues=MULTI_WORD_CUES,
+                            multi_mode: str = "span", label_rule=gold_rule, keep_extra=(),
+                            lemma_fn=rule_lemma, pos_fn=rule_pos) -> DataFrame:
+    """The 17-column feature table straight from document text.
+
+    Neighbours and sentence numbers come from each document's token array
+    (no shuffle); lemma and tag are token-level functions, so the previous
+    and next lemma are the lemma of the neighbour token.  Only the lexicon
+    aggregate and its per-type join move data.
+    """
+    ctx = tokenize_with_context(docs, keep=("doc_id", "lang"), reach=3, end_token=".")
+    ctx = (ctx.withColumn("lemma", lemma_fn(F.col("token"))).withColumn("pos", pos_fn(F.col("token")))
+              .withColumn("prev", F.when(F.col("tok_id") > 0, lemma_fn(F.col("_p1"))).otherwise(F.lit("")))
+              .withColumn("next", F.when(F.length("_f1") > 0, lemma_fn(F.col("_f1"))).otherwise(F.lit("")))
+              .withColumnRenamed("sent_seq", "sentence_id"))
+    return _finish(ctx, one_cues, multi_cues, multi_mode, label_rule, keep_extra)
+
+
 def features(spark: SparkSession, sf_dir: str, one_cues=TEST_ONE_WORD_CUES, multi_cues=TEST_MULTI_WORD_CUES,
              multi_mode: str = "span", keep_extra=()) -> DataFrame:
     """Feature table of the test corpus (test cue lists by default)."""
-    return features_from_tokens(tokens(spark, sf_dir), one_cues, multi_cues, multi_mode, gold_rule, keep_extra)
+    return features_from_documents(_documents(spark, sf_dir), one_cues, multi_cues, multi_mode, gold_rule,
+                                   keep_extra)

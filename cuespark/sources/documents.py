@@ -25,15 +25,16 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Hash-spread rows over the cluster when the scan produced fewer
-    partitions than there are task slots (e.g. one large row group).  A
-    scan of many files is already split and is returned unchanged, so no
-    shuffle is added at scale."""
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over the cluster when the scan produced fewer partitions
+    than there are task slots (e.g. one large row group).  A scan of many
+    files is already split and is returned unchanged, so no shuffle is added
+    at scale.  Round-robin (not hashing on a key) so that later block
+    windows still get their own (key, block) exchange."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
-    return df.repartition(slots, key)
+    return df.repartition(slots)
 
 
 def tokenize(df: DataFrame, text_col: str = "text", keep=("doc_id", "lang"),
