@@ -15,6 +15,7 @@ from ..functions.cues import MULTI_WORD_CUES, ONE_WORD_CUES, TEST_MULTI_WORD_CUE
 from ..operators import context as C
 from ..operators import lexicon as L
 from ..sources.documents import documents_tokens, load_table, spread, token_counts, tokenize
+from ..session import apply_runtime_defaults
 from . import relations as R
 
 QUERIES = {}
@@ -22,8 +23,12 @@ QUERIES = {}
 
 def register(name):
     def deco(fn):
-        QUERIES[name] = fn
-        return fn
+        def run(spark, sf_dir):
+            apply_runtime_defaults(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
+        return run
     return deco
 
 

@@ -21,7 +21,7 @@ from ..functions.text import has_neg_infix, has_neg_prefix, has_neg_suffix, is_p
 from ..operators.annotate import annotate_rules, rule_lemma, rule_pos
 from ..operators.context import literal_forms, ordered_context, span_forms, tokenize_with_context
 from ..operators.lexicon import with_sbs_count
-from ..sources.documents import documents_tokens, load_table, spread
+from ..sources.documents import documents_tokens, load_table, spread, tokenize
 
 FEATURE_COLUMNS = ["doc_id", "sentence_id", "token_id", "token", "lemma", "prev", "next", "pos", "punct",
                    "prefix", "suffix", "infix", "prev_tok_cue", "sbs_count", "match_one", "match_multi",
@@ -132,11 +132,13 @@ def features_from_documents(docs: DataFrame, one_cues=ONE_WORD_CUES, multi_cues=
     aggregate and its per-type join move data.
     """
     ctx = tokenize_with_context(docs, keep=("doc_id", "lang"), reach=3, end_token=".")
+    # type counts need only the tokens: a plain tokenize, not the context arrays
+    types = tokenize(docs, keep=()).select("token", pos_fn(F.col("token")).alias("pos"))
     ctx = (ctx.withColumn("lemma", lemma_fn(F.col("token"))).withColumn("pos", pos_fn(F.col("token")))
               .withColumn("prev", F.when(F.col("tok_id") > 0, lemma_fn(F.col("_p1"))).otherwise(F.lit("")))
               .withColumn("next", F.when(F.length("_f1") > 0, lemma_fn(F.col("_f1"))).otherwise(F.lit("")))
               .withColumnRenamed("sent_seq", "sentence_id"))
-    return _finish(ctx, one_cues, multi_cues, multi_mode, label_rule, keep_extra)
+    return _finish(ctx, one_cues, multi_cues, multi_mode, label_rule, keep_extra, types_from=types)
 
 
 def features(spark: SparkSession, sf_dir: str, one_cues=TEST_ONE_WORD_CUES, multi_cues=TEST_MULTI_WORD_CUES,
