@@ -165,17 +165,21 @@ def match_multi(df: DataFrame, cues, mode: str = "span", token: str = "token", n
                 scope=("doc_id",), pos: str = "tok_id") -> DataFrame:
     """W5 (``mode='span'``) / W4 (``mode='literal'``): 1 when any 2-4 token
     window around the row equals a multi-word cue.  Missing neighbours are
-    ''; the row's own window test is an ``InSet`` over literals."""
+    ''; each test is an ``InSet`` over literals.  ``cues`` may be a dict
+    ``{output column: cue list}`` to test several lists in the same pass."""
+    lists = cues if isinstance(cues, dict) else {name: cues}
     ctx = _neighbour_tokens(df, token, scope, pos)
     t = F.col(token)
     p = {k: F.col(f"_p{k}") for k in (1, 2, 3)}
     f = {k: F.col(f"_f{k}") for k in (1, 2, 3)}
     forms = span_forms(t, p, f) if mode == "span" else literal_forms(t, p, f)
-    cues = list(cues)
-    hit = forms[0].isin(cues)
-    for e in forms[1:]:
-        hit = hit | e.isin(cues)
-    out = ctx.withColumn(name, F.when(hit, F.lit(1)).otherwise(F.lit(0)))
+    out = ctx
+    for col_name, cue_list in lists.items():
+        cue_list = list(cue_list)
+        hit = forms[0].isin(cue_list)
+        for e in forms[1:]:
+            hit = hit | e.isin(cue_list)
+        out = out.withColumn(col_name, F.when(hit, F.lit(1)).otherwise(F.lit(0)))
     return out.drop(*[f"_p{k}" for k in (1, 2, 3)], *[f"_f{k}" for k in (1, 2, 3)])
 
 

@@ -120,18 +120,30 @@ def one_hot_encoder(vocab: list[str], input_col: str = "feats", output_col: str
     return CountVectorizerModel.from_vocabulary(vocab, inputCol=input_col, outputCol=output_col, binary=True)
 
 
+def distinct_terms(df: DataFrame, names) -> DataFrame:
+    """Every distinct ``name=value`` term: a distinct per column (only that
+    column is read) with the name prefixed afterwards, then a union."""
+    parts = [df.select(F.col(n).cast("string").alias("_v")).distinct()
+               .select(F.concat(F.lit(f"{n}="), F.col("_v")).alias("term")) for n in names]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def fit_one_hot(df: DataFrame, names, input_col: str = "feats", output_col: str = "onehot",
                 max_vocab: int = 1 << 22) -> CountVectorizerModel:
     """M1 (fit): binary one-hot encoder over every ``name=value`` term seen
-    in ``df``.  The vocabulary is counted and kept on the JVM side (no
-    round trip through Python); the number of distinct terms is checked
-    first so the encoder never silently drops terms."""
-    terms = df.select(feature_pairs(names).alias(input_col))
-    n = terms.select(F.explode(input_col)).distinct().count()
-    if n > max_vocab:
-        raise ValueError(f"one-hot vocabulary has {n} terms (> {max_vocab}); use hashed features")
-    cv = CountVectorizer(inputCol=input_col, outputCol=output_col, vocabSize=max(n, 1), minDF=1.0, binary=True)
-    return cv.fit(terms)
+    in ``df``.  The vocabulary is built from the distinct values of each
+    column and fitted on the JVM side (no round trip through Python); its
+    size is read back and checked, so the encoder never drops terms."""
+    terms = distinct_terms(df, names).select(F.array("term").alias(input_col))
+    cv = CountVectorizer(inputCol=input_col, outputCol=output_col, vocabSize=max_vocab + 1, minDF=1.0, binary=True)
+    model = cv.fit(terms)
+    size = len(model._java_obj.vocabulary())
+    if size > max_vocab:
+        raise ValueError(f"one-hot vocabulary has more than {max_vocab} terms; use hashed features")
+    return model
 
 
 def combine(df: DataFrame, onehot: str | None = "onehot", dense: str = "dense", out: str = "features") -> DataFrame:

@@ -134,8 +134,7 @@ def q_prev_label(spark, sf_dir):
 
 def _multi(spark, sf_dir, mode):
     tok = _tok(spark, sf_dir)
-    out = C.match_multi(tok, TEST_MULTI_WORD_CUES, mode=mode)
-    out = C.match_multi(out, MULTI_WORD_CUES, mode=mode, name="match_multi_ref")
+    out = C.match_multi(tok, {"match_multi": TEST_MULTI_WORD_CUES, "match_multi_ref": MULTI_WORD_CUES}, mode=mode)
     return out.select("doc_id", "tok_id", "token", "match_multi", "match_multi_ref")
 
 
