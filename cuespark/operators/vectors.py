@@ -88,7 +88,7 @@ def vocabulary(df: DataFrame, names, max_size: int = 1 << 22) -> list[str]:
     """M1 vocabulary: every distinct ``name=value`` in sorted order (the
     column order of a dictionary vectoriser).  The list is needed on the
     driver to build the encoder, so its size is checked first."""
-    terms = df.select(F.explode(feature_pairs(names)).alias("term")).distinct()
+    terms = distinct_terms(df, names)
     n = terms.count()
     if n > max_size:
         raise ValueError(f"one-hot vocabulary has {n} terms (> {max_size}); use hashed features")

@@ -339,7 +339,7 @@ def q_embedding_lookup(spark, sf_dir):
 def q_embedding_context(spark, sf_dir):
     emb = _emb(spark, sf_dir)
     dim = _dim(spark, sf_dir)
-    x = V.embed_context(C.prev_next_lemma(R.tokens(spark, sf_dir)), emb, ["lemma", "prev", "next"], dim)
+    x = V.embed_context(R.lemma_context(spark, sf_dir), emb, ["lemma", "prev", "next"], dim)
     return x.select("doc_id", "tok_id", F.size("dense").alias("dims"), _vsum(F.col("dense")).alias("vsum"),
                     _vsum(F.slice("dense", dim + 1, dim)).alias("vsum_prev"))
 

@@ -76,6 +76,15 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
              .withColumn("sys_b", sys_b_rule(tok, prev)))
 
 
+def lemma_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens with rule lemma/pos and the previous / next lemma ('' at the
+    document edges), from the document token arrays (no shuffle)."""
+    t = annotate_rules(tokenize_with_context(_documents(spark, sf_dir), reach=1, end_token=None))
+    return (t.withColumn("prev", F.when(F.col("tok_id") > 0, rule_lemma(F.col("_p1"))).otherwise(F.lit("")))
+             .withColumn("next", F.when(F.length("_f1") > 0, rule_lemma(F.col("_f1"))).otherwise(F.lit("")))
+             .drop("_p1", "_f1"))
+
+
 def features_from_tokens(tok: DataFrame, one_cues=ONE_WORD_CUES, multi_cues=MULTI_WORD_CUES,
                          multi_mode: str = "span", label_rule=gold_rule, keep_extra=()) -> DataFrame:
     """The 17-column feature table from a token table with lemma and pos.
