@@ -21,14 +21,12 @@ def vectors_by_frequency(tokens: DataFrame, vectors: DataFrame, token: str = "to
     """S6 for the test tables: ``(word, vec_id, embedding)`` where the word of
     frequency rank r (count desc, word asc) gets vector ``vec_id = r``.
 
-    Only as many words as there are vectors can get one, so the ranking is a
-    top-k (k = number of vectors) rather than a global sort of all words.
+    Words are ranked with a distributed sort (no single-partition window,
+    no limit); the inner join with the vector table keeps the ranks that
+    have a vector.
     """
-    k = vectors.count()
-    ranked = (tokens.groupBy(token).agg(F.count(F.lit(1)).alias("_n"))
-                    .orderBy(F.desc("_n"), F.asc(token)).limit(k))
-    w = Window.orderBy(F.desc("_n"), F.asc(token))  # over at most k rows
-    ranked = ranked.select(F.col(token).alias("word"), (F.row_number().over(w) - 1).cast("long").alias(vec_id))
+    counts = tokens.groupBy(F.col(token).alias("word")).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = rank_sorted(counts, [F.desc("_n"), F.asc("word")], name=vec_id).select("word", vec_id)
     return ranked.join(vectors.select(vec_id, vec), on=vec_id, how="inner").select("word", vec_id, vec)
 
 
@@ -97,21 +95,30 @@ def vocabulary(df: DataFrame, names, max_size: int = 1 << 22) -> list[str]:
 
 def vocabulary_table(df: DataFrame, names) -> DataFrame:
     """M1 as a table: ``(term, idx)`` with idx the rank in sorted order."""
-    terms = df.select(F.explode(feature_pairs(names)).alias("term")).distinct()
-    return rank_sorted(terms, "term")
-
-
-def rank_sorted(df: DataFrame, col: str, name: str = "idx") -> DataFrame:
-    """0-based rank of each (distinct) value of ``col`` without a
-    single-partition window: a range-partitioned sort numbers rows inside
-    each partition, and the per-partition counts (one row per partition) are
-    prefix-summed into offsets."""
-    s = df.orderBy(col).withColumn("_mid", F.monotonically_increasing_id())
-    s = s.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_r", F.col("_mid").bitwiseAND((1 << 33) - 1))
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("_pid", F.coalesce(F.sum("_c").over(w_off), F.lit(0)).alias("_off"))
-    return s.join(offs, "_pid").select(col, (F.col("_off") + F.col("_r")).cast("long").alias(name))
+    return rank_sorted(distinct_terms(df, names), "term")
+
+
+def rank_sorted(df: DataFrame, order, name: str = "idx") -> DataFrame:
+    """0-based position of each row in ``order`` (a column name or a list of
+    sort expressions; ties must not occur), without a single-partition
+    window.
+
+    The range-partitioned sort is written once under the shared checkpoint
+    folder; part files are numbered in sort order and keep row order, so
+    rank = (rows in earlier files) + row index in the file.  The per-file
+    counts are one row per file.  Reading fixed files keeps the numbering
+    stable when tasks are retried.
+    """
+    from ..session import materialize
+    keys = [order] if isinstance(order, str) else list(order)
+    s = materialize(df.orderBy(*keys), "ranked")
+    s = s.select("*", F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long").alias("_part"),
+                 F.col("_metadata.row_index").alias("_r"))
+    counts = s.groupBy("_part").agg(F.count(F.lit(1)).alias("_c"))
+    w_off = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_part", F.coalesce(F.sum("_c").over(w_off), F.lit(0)).alias("_off"))
+    out = s.join(offs, "_part").withColumn(name, (F.col("_off") + F.col("_r")).cast("long"))
+    return out.drop("_part", "_r", "_off")
 
 
 def one_hot_encoder(vocab: list[str], input_col: str = "feats", output_col: str = "onehot") -> CountVectorizerModel:

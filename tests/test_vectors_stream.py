@@ -48,3 +48,11 @@ def test_features_invariant_to_partition_count(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert len(a) > 0
+
+
+def test_rank_sorted_is_dense_and_ordered(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 5000, numPartitions=7).select(((F.col("id") * 37) % 5003).alias("k"))
+    rows = V.rank_sorted(df, [F.desc("k")]).orderBy("idx").collect()
+    assert [r.idx for r in rows] == list(range(5000))
+    assert [r.k for r in rows] == sorted((r.k for r in rows), reverse=True)
