@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest
-from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -143,30 +142,6 @@ def train_embeddings(df: DataFrame, emb: DataFrame, dim: int, names=FEATURE_NAME
     return TokenModel(kind, names, labels, enc, model, dense_names=["lemma", "prev", "next"], emb=emb, dim=dim)
 
 
-class MacroF1(Evaluator):
-    """Unweighted mean of per-class F1 over the classes present in the data
-    (Spark's evaluator offers per-label and weighted F1 only)."""
-
-    def __init__(self, labels: int):
-        super().__init__()
-        self.n = labels
-
-    def _evaluate(self, dataset):
-        conf = dataset.groupBy("y", "yhat").agg(F.count(F.lit(1)).alias("n"))
-        tp = F.sum(F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0))
-        by_true = conf.groupBy(F.col("y").alias("c")).agg(tp.alias("tp"), F.sum("n").alias("support"))
-        by_pred = conf.groupBy(F.col("yhat").alias("c")).agg(F.sum("n").alias("predicted"))
-        # classes of truth or prediction, as a macro average over labels does
-        s = by_true.join(by_pred, "c", "full").fillna(0)
-        p = F.when(F.col("predicted") == 0, 0.0).otherwise(F.col("tp") / F.col("predicted"))
-        r = F.when(F.col("support") == 0, 0.0).otherwise(F.col("tp") / F.col("support"))
-        f1 = F.when(p + r == 0, 0.0).otherwise(2 * p * r / (p + r))
-        return float(s.select(F.avg(f1)).first()[0] or 0.0)
-
-    def isLargerBetter(self):
-        return True
-
-
 def _macro_f1(conf_rows) -> float:
     """Macro F1 over the classes of truth or prediction from a tiny list of
     (true, predicted, count) rows."""

@@ -56,3 +56,13 @@ def test_rank_sorted_is_dense_and_ordered(spark):
     rows = V.rank_sorted(df, [F.desc("k")]).orderBy("idx").collect()
     assert [r.idx for r in rows] == list(range(5000))
     assert [r.k for r in rows] == sorted((r.k for r in rows), reverse=True)
+
+
+def test_read_vector_table_text(spark):
+    import os
+    path = scratch_path(spark, "vec-text")
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "v.txt"), "w") as fh:
+        fh.write("cat 1 2\n\ndog 3.5 -4\n")
+    rows = {r.word: list(r.embedding) for r in V.read_vector_table(spark, path, fmt="text").collect()}
+    assert rows == {"cat": [1.0, 2.0], "dog": [3.5, -4.0]}
