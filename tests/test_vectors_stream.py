@@ -60,7 +60,8 @@ def test_rank_sorted_is_dense_and_ordered(spark):
 
 def test_read_vector_table_text(spark):
     import os
-    path = scratch_path(spark, "vec-text")
+    from urllib.parse import urlparse
+    path = urlparse(scratch_path(spark, "vec-text")).path  # local folder in tests
     os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, "v.txt"), "w") as fh:
         fh.write("cat 1 2\n\ndog 3.5 -4\n")
