@@ -13,3 +13,11 @@ streaming/  the stateless token features applied to a streaming source
 """
 
 __version__ = "0.1.0"
+
+import sys  # noqa: E402
+
+from pyspark import cloudpickle  # noqa: E402
+
+# Functions of this package that run in Python workers travel with the job,
+# so executors need no installed copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
