@@ -21,3 +21,36 @@ its AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_i
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN pos USING (r) LEFT JOIN its USING (r)"""
+
+ORACLE["op5_line_frequency"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+win AS (SELECT r, unnest(list_transform(range(len(w) - 7), lambda i: {'i': i, 's': list_aggregate(w[i + 1 : i + 8], 'string_agg', ' ')})) AS x
+        FROM w WHERE len(w) > 8),
+again AS (SELECT r, x.i AS i FROM win QUALIFY count(*) OVER (PARTITION BY r, x.s) > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM again) GROUP BY r),
+ln AS (SELECT r, source, t, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+              lower(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS k FROM (SELECT r, source, t, unnest(l) AS line FROM w)),
+hosts AS (SELECT source, count(DISTINCT t) AS n FROM d GROUP BY source),
+freq AS (SELECT source, k FROM ln GROUP BY source, k HAVING count(DISTINCT t) > 10
+         AND count(DISTINCT t) > 0.005 * (SELECT n FROM hosts WHERE hosts.source IS NOT DISTINCT FROM ln.source)),
+cut AS (SELECT r, sum(n) AS n FROM ln JOIN freq ON ln.k = freq.k AND ln.source IS NOT DISTINCT FROM freq.source GROUP BY r),
+m AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(length(list_aggregate(w, 'string_agg', '')), 0)::BIGINT AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+             coalesce(rep.n, 0)::BIGINT AS n_repeat_words, (len(w) - coalesce(cut.n, 0))::BIGINT AS n_left
+      FROM w LEFT JOIN rep USING (r) LEFT JOIN cut USING (r)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_left,
+       NOT base_failed AND n_left >= 20 AND n_left >= n_words * 0.3 AS kept FROM b"""
+
+ORACLE["op7_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT r, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS p FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+f AS (SELECT key, min(doc_id) AS first_doc FROM k WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) < max(doc_id)),
+m AS (SELECT k.*, coalesce(k.doc_id > f.first_doc, false) AS gone FROM k LEFT JOIN f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r"""

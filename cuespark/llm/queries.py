@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from ..sources.documents import load_table, spread
-from . import arrow_tokens, decontaminate
+from . import arrow_tokens, decontaminate, line_dedup, line_frequency
 
 QUERIES = {}
 
@@ -34,3 +34,13 @@ def op3_decontaminate(spark, sf_dir):
 def op10_arrow_tokens(spark, sf_dir):
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
     return arrow_tokens.token_index(docs, tokenizer_file())
+
+
+@register
+def op5_line_frequency(spark, sf_dir):
+    return line_frequency.report(_documents(spark, sf_dir, "doc_id", "text", "source"))
+
+
+@register
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup.report(_documents(spark, sf_dir, "doc_id", "text"))
