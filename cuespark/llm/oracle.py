@@ -54,3 +54,18 @@ m AS (SELECT k.*, coalesce(k.doc_id > f.first_doc, false) AS gone FROM k LEFT JO
 SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r"""
+
+ORACLE["op9_fair_mix"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                  md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS total FROM d GROUP BY source),
+s1 AS (SELECT source, total, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w, 2 * total AS most FROM s0),
+s2 AS (SELECT *, (sum(total) OVER () * 1.5::DOUBLE - coalesce(sum(most) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level FROM s1
+       WINDOW b AS (ORDER BY most::DOUBLE / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s3 AS (SELECT *, least(most::DOUBLE, (SELECT max(level) FROM s2 WHERE most >= level * w) * w) AS target FROM s2),
+c AS (SELECT d.*, s3.total, s3.target, sum(size) OVER (PARTITION BY d.source ORDER BY k, size ROWS UNBOUNDED PRECEDING) AS upto
+      FROM d JOIN s3 ON d.source IS NOT DISTINCT FROM s3.source),
+e AS (SELECT r, k, size, source, CASE WHEN target > 0 THEN (x * total + upto)::DOUBLE / target ELSE 0 END AS f FROM c, (VALUES (0), (1)) AS t(x)),
+q AS (SELECT r, size, sum(size) OVER (ORDER BY f, k, source ROWS UNBOUNDED PRECEDING) <= 1.5 * (SELECT sum(total) FROM s0) AS fits FROM e),
+t AS (SELECT r, sum(CASE WHEN fits THEN size ELSE 0 END)::BIGINT AS taken FROM q GROUP BY r)
+SELECT doc_id, size, total AS source_size, target, taken FROM c JOIN t USING (r)"""

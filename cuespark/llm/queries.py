@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from ..sources.documents import load_table, spread
-from . import arrow_tokens, decontaminate, line_dedup, line_frequency
+from . import arrow_tokens, decontaminate, fair_mix, line_dedup, line_frequency
 
 QUERIES = {}
 
@@ -44,3 +44,8 @@ def op5_line_frequency(spark, sf_dir):
 @register
 def op7_line_dedup(spark, sf_dir):
     return line_dedup.report(_documents(spark, sf_dir, "doc_id", "text"))
+
+
+@register
+def op9_fair_mix(spark, sf_dir):
+    return fair_mix.report(_documents(spark, sf_dir, "doc_id", "text", "source"))
