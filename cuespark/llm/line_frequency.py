@@ -32,7 +32,7 @@ WINDOW = 8
 MIN_DOCS = 10         # a line in no more documents of its host is kept
 SHARE = 0.005         # nor one in no more than this share of its documents
 MIN_LEFT = 0.3        # least share of words that must be left
-BROADCAST_ROWS = 500_000  # rows of 8-byte keys, or of documents, that are broadcast at most
+BROADCAST_ROWS = 200_000  # frequent lines, or texts with some, that are broadcast at most
 SALTS = 16
 
 

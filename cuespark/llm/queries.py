@@ -3,8 +3,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..sources.documents import load_table, spread
-from . import arrow_tokens, decontaminate, fair_mix, line_dedup, line_frequency
+from . import arrow_tokens, decontaminate, fair_mix, line_dedup, line_frequency, url_templates
 
 QUERIES = {}
 
@@ -49,3 +51,22 @@ def op7_line_dedup(spark, sf_dir):
 @register
 def op9_fair_mix(spark, sf_dir):
     return fair_mix.report(_documents(spark, sf_dir, "doc_id", "text", "source"))
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def labelled_pages(spark, sf_dir):
+    """Pages with ``bad`` (1: of low quality or toxic) where the document
+    that their url ends in the number of has a label."""
+    pages = load_table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract("url", r"/([0-9]{1,18})(?:\.html|/)?(?:[?#].*)?$", 1)
+    pages = pages.withColumn("doc_id", F.when(number != "", number).cast("bigint"))
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    labels = load_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(bad).alias("bad"))
+    return pages.join(labels, "doc_id", "left").select("page_id", "url", "bad")
+
+
+@register
+def op8_url_templates(spark, sf_dir):
+    return url_templates.report(labelled_pages(spark, sf_dir), URL_RULES)
