@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.documents import load_table, spread
-from . import arrow_tokens, decontaminate, fair_mix, line_dedup, line_frequency, url_templates
+from . import arrow_tokens, decontaminate, fair_mix, line_dedup, line_frequency, secret_scan, url_templates
 
 QUERIES = {}
 
@@ -70,3 +70,8 @@ def labelled_pages(spark, sf_dir):
 @register
 def op8_url_templates(spark, sf_dir):
     return url_templates.report(labelled_pages(spark, sf_dir), URL_RULES)
+
+
+@register
+def op6_secret_scan(spark, sf_dir):
+    return secret_scan.report(_documents(spark, sf_dir, "doc_id", "text"))
