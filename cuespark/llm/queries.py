@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.documents import load_table, spread
-from . import arrow_tokens, decontaminate, fair_mix, line_dedup, line_frequency, secret_scan, url_templates
+from . import arrow_tokens, bag_minhash, decontaminate, fair_mix, line_dedup, line_frequency, secret_scan, url_templates
 
 QUERIES = {}
 
@@ -75,3 +75,8 @@ def op8_url_templates(spark, sf_dir):
 @register
 def op6_secret_scan(spark, sf_dir):
     return secret_scan.report(_documents(spark, sf_dir, "doc_id", "text"))
+
+
+@register
+def op2_bag_minhash(spark, sf_dir):
+    return bag_minhash.report(_documents(spark, sf_dir, "doc_id", "text"))
