@@ -101,3 +101,34 @@ FROM p2 JOIN t{depth} t ON t.host = p2.host AND t.segs = p2.segs JOIN v ON v.hos
 
 
 ORACLE["op8_url_templates"] = _url_templates()
+
+ORACLE["op1_chat_collapse"] = r"""
+WITH t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos, '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS said
+           FROM conversations),
+c AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY pos) AS l, count(*) AS n FROM t GROUP BY conv_id),
+w AS (SELECT min(conv_id) AS conv_id, l, n, count(*) AS copies FROM c GROUP BY l, n),
+p AS (SELECT DISTINCT l[:k] AS l FROM (SELECT l, unnest(range(1, n)) AS k FROM w)),
+m AS (SELECT conv_id, n, copies FROM w WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.l = w.l))
+SELECT conv_id, ((pos - 1) // 256)::INT AS piece, any_value(n)::BIGINT AS n_turns, any_value(copies)::BIGINT AS copies, string_agg(said, '' ORDER BY pos) AS text
+FROM m JOIN t USING (conv_id) GROUP BY conv_id, (pos - 1) // 256"""
+
+ORACLE["op4_warc"] = r"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+s AS (SELECT *, md5('response|' || page_id || '|' || coalesce(url, '')) AS m, regexp_replace(h, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<noscript\b.*?</noscript\s*>', ' ', 'g') AS v FROM p),
+b AS (SELECT *, regexp_replace(regexp_replace(v, '(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>', chr(10), 'g'),
+                              '<[a-zA-Z/!?][^>]*>', '', 'g') AS x FROM s),
+e AS (SELECT *, replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&#39;', ''''), '&amp;', '&') AS y,
+             trim(regexp_replace(replace(replace(replace(replace(regexp_extract(h, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS title,
+             lower(regexp_extract(h, '(?i)<html\b[^>]*?\blang=["'']?([A-Za-z-]+)', 1)) AS lang, regexp_extract_all(h, '(?i)<a\b[^>]*?\bhref=["'']([^"'']*)["'']', 1) AS hrefs FROM b),
+f AS (SELECT *, trim(regexp_replace(regexp_replace(y, '[ \t\x0b\f\r\x{A0}]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS plain,
+             list_transform(hrefs, lambda u: trim(regexp_replace(replace(replace(u, '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) AS links,
+             '<urn:uuid:' || m[1:8] || '-' || m[9:12] || '-' || m[13:16] || '-' || m[17:20] || '-' || m[21:32] || '>' AS rid, chr(13) || chr(10) AS nl, 'sha256:' || sha256(h) AS pd FROM e),
+g AS (SELECT *, md5('metadata|' || rid) AS mm, md5('conversion|' || rid) AS mc,
+             'title: ' || title || nl || 'language: ' || lang || nl || 'source-payload-digest: ' || pd || nl || 'source-header: HTTP/1.1 200 OK' || nl
+             || 'source-header: Content-Type: text/html; charset=utf-8' || nl || 'source-header: Content-Length: ' || strlen(h) || nl
+             || coalesce(list_aggregate(list_transform(links, lambda u: 'outlink: ' || u || nl), 'string_agg', ''), '') AS facts FROM f),
+i AS (SELECT *, '<urn:uuid:' || mm[1:8] || '-' || mm[9:12] || '-' || mm[13:16] || '-' || mm[17:20] || '-' || mm[21:32] || '>' AS im,
+             '<urn:uuid:' || mc[1:8] || '-' || mc[9:12] || '-' || mc[13:16] || '-' || mc[17:20] || '-' || mc[21:32] || '>' AS ic FROM g)
+SELECT page_id, 'metadata' AS warc_type, im AS record_id, rid AS refers_to, ic AS concurrent_to, url AS target_uri, '2000-01-01T00:00:00Z' AS date,
+       'application/warc-fields' AS content_type, pd AS payload_digest, 'sha256:' || sha256(facts) AS block_digest, strlen(facts)::BIGINT AS block_bytes FROM i
+UNION ALL SELECT page_id, 'conversion', ic, rid, im, url, '2000-01-01T00:00:00Z', 'text/plain; charset=utf-8', pd, 'sha256:' || sha256(plain), strlen(plain)::BIGINT FROM i"""

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.documents import load_table, spread
-from . import arrow_tokens, bag_minhash, decontaminate, fair_mix, line_dedup, line_frequency, secret_scan, url_templates
+from . import (arrow_tokens, bag_minhash, chat_collapse, decontaminate, fair_mix, line_dedup, line_frequency, secret_scan,
+               url_templates, warc)
 
 QUERIES = {}
 
@@ -80,3 +81,13 @@ def op6_secret_scan(spark, sf_dir):
 @register
 def op2_bag_minhash(spark, sf_dir):
     return bag_minhash.report(_documents(spark, sf_dir, "doc_id", "text"))
+
+
+@register
+def op1_chat_collapse(spark, sf_dir):
+    return chat_collapse.render(load_table(spark, sf_dir, "conversations"))
+
+
+@register
+def op4_warc(spark, sf_dir):
+    return warc.report(spread(load_table(spark, sf_dir, "pages")))
