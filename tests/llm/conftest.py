@@ -1,23 +1,8 @@
-import os
-import sys
-
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, ROOT)
-
-from cuespark.session import build_session  # noqa: E402
-
 DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    s = build_session("local[4]", 4, extra={"spark.driver.memory": "4g"})
-    yield s
-    s.stop()
-
-
 @pytest.fixture
 def make_docs(spark):
     """Documents from (doc_id, text) or (doc_id, text, source) tuples."""
