@@ -132,3 +132,49 @@ i AS (SELECT *, '<urn:uuid:' || mm[1:8] || '-' || mm[9:12] || '-' || mm[13:16] |
 SELECT page_id, 'metadata' AS warc_type, im AS record_id, rid AS refers_to, ic AS concurrent_to, url AS target_uri, '2000-01-01T00:00:00Z' AS date,
        'application/warc-fields' AS content_type, pd AS payload_digest, 'sha256:' || sha256(facts) AS block_digest, strlen(facts)::BIGINT AS block_bytes FROM i
 UNION ALL SELECT page_id, 'conversion', ic, rid, im, url, '2000-01-01T00:00:00Z', 'text/plain; charset=utf-8', pd, 'sha256:' || sha256(plain), strlen(plain)::BIGINT FROM i"""
+
+_PATTERNS = {"assign": r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
+             "access": "AKIA[A-Z0-9]{16,}", "hex": "[0-9a-f]{24,}", "markov": "[A-Za-z0-9+/_=-]{16,}"}
+
+
+def _spans(name: str, number: int, group: int, least: int) -> str:
+    """Matches of a pattern with their places: the lengths of the pieces
+    between matches and of the matches before."""
+    p = f"'{_PATTERNS[name]}'"
+    return f"""{name}_m AS (SELECT r, string_split_regex(t, {p}) AS g, regexp_extract_all(t, {p}, 0) AS m, regexp_extract_all(t, {p}, {group}) AS v
+             FROM d WHERE regexp_matches(t, {p})),
+{name} AS (SELECT r, x.s AS s, {number} AS k, x.s + length(x.m) AS e, x.v AS v FROM (SELECT r, unnest(list_transform(range(1, len(m) + 1), lambda i:
+             {{'s': list_sum(list_transform(g[:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[:i - 1], lambda y: length(y))), 0), 'm': m[i], 'v': v[i]}})) AS x
+             FROM {name}_m) WHERE length(x.v) >= {least})"""
+
+
+def _cut() -> str:
+    out = "t"
+    for k in ("assign", "access", "hex"):
+        out = f"regexp_replace({out}, '{_PATTERNS[k]}', ' ', 'g')"
+    return out
+
+
+ORACLE["op6_secret_scan"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+{_spans('assign', 0, 2, 6)},
+{_spans('access', 1, 0, 0)},
+{_spans('hex', 2, 0, 0)},
+{_spans('markov', 3, 0, 0)},
+base AS (FROM assign UNION ALL FROM access UNION ALL FROM hex),
+val AS (SELECT DISTINCT * FROM (SELECT true AS random, v FROM base UNION ALL SELECT false, unnest(regexp_extract_all({_cut()}, '[A-Za-z0-9+/_=-]{{8,}}')) FROM d)),
+ch AS (SELECT random, list_filter(string_split(v, ''), lambda c: c <> '' AND contains('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-', c)) AS c FROM val),
+pair AS (SELECT random, unnest(list_transform(range(1, len(c) + 1), lambda i: {{'a': CASE WHEN i = 1 THEN '' ELSE c[i - 1] END, 'b': c[i]}})) AS p FROM ch),
+cnt AS (SELECT random, p.a AS a, p.b AS b, count(*) AS n FROM pair GROUP BY ALL),
+tot AS (SELECT random, a, sum(n) AS n FROM cnt GROUP BY ALL),
+free AS (SELECT row_number() OVER () AS q, * FROM markov m WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = m.r AND b.s < m.e AND m.s < b.e)),
+step AS (SELECT q, unnest(list_transform(range(1, length(v) + 1), lambda i: {{'a': CASE WHEN i = 1 THEN '' ELSE v[i - 1] END, 'b': v[i]}})) AS p FROM free),
+llr AS (SELECT q, sum(ln((coalesce(rc.n, 0) + 0.1) / (coalesce(rt.n, 0) + 6.7)) - ln((coalesce(oc.n, 0) + 0.1) / (coalesce(ot.n, 0) + 6.7))) AS l FROM step
+        LEFT JOIN cnt rc ON rc.random AND rc.a = p.a AND rc.b = p.b LEFT JOIN cnt oc ON NOT oc.random AND oc.a = p.a AND oc.b = p.b
+        LEFT JOIN tot rt ON rt.random AND rt.a = p.a LEFT JOIN tot ot ON NOT ot.random AND ot.a = p.a GROUP BY q),
+spans AS (SELECT r, s, k, e FROM base UNION ALL SELECT r, s, k, e FROM free JOIN llr USING (q) WHERE l > 7.0),
+named AS (SELECT *, ['assign', 'access', 'hex', 'markov'][k + 1] || ':' || s || ':' || e AS x FROM spans),
+byrow AS (SELECT r, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS c, count(*) FILTER (k = 2) AS h,
+                 string_agg(x, ',' ORDER BY s, k, e) FILTER (k < 3) AS b, string_agg(x, ',' ORDER BY s, k, e) AS every FROM named GROUP BY r)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(c, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(every, '') AS spans FROM d LEFT JOIN byrow USING (r)"""
