@@ -473,7 +473,7 @@ def _raw_token_table(spark, sf_dir):
 def q_scan_tokens(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     IO.write_token_lines(_raw_token_table(spark, sf_dir), path)
-    return IO.read_tokens(spark, path)
+    return IO.read_tokens(spark, path, Ty.LongType())
 
 
 @register("drop_blank_rows")
@@ -493,45 +493,77 @@ def _written_features(spark, sf_dir):
 
 @register("write_features")
 def q_write_features(spark, sf_dir):
-    return IO.read_features(spark, _written_features(spark, sf_dir))
+    return IO.read_features(spark, _written_features(spark, sf_dir), Ty.LongType())
 
 
 @register("scan_features")
 def q_scan_features(spark, sf_dir):
-    return IO.read_features(spark, _written_features(spark, sf_dir)).where(F.col("negcuelabel") != "O")
+    return IO.read_features(spark, _written_features(spark, sf_dir), Ty.LongType())
 
 
 @register("scan_label_column")
 def q_scan_labels(spark, sf_dir):
-    return IO.read_labels(spark, _written_features(spark, sf_dir))
+    """S4 on a feature table: column found by the header's name."""
+    labels = IO.read_labels(spark, _written_features(spark, sf_dir))
+    return labels.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _predictions(spark, sf_dir):
+    """Feature rows with the labels of both rule systems: 18 columns."""
     f = R.features(spark, sf_dir)
     g = R.gold(spark, sf_dir).select("doc_id", F.col("tok_id").alias("token_id"), "sys_a", "sys_b")
     x = f.join(g, ["doc_id", "token_id"])
-    return Ev.stack_systems(x, SYSTEMS, gold="negcuelabel", keys=("doc_id", "token_id", "token")) \
-        .withColumnRenamed("gold", "negcuelabel").withColumnRenamed("pred", "predicted")
-
-
-PRED_SCHEMA = Ty.StructType([Ty.StructField("doc_id", Ty.LongType()), Ty.StructField("token_id", Ty.IntegerType()),
-                             Ty.StructField("token", Ty.StringType()), Ty.StructField("negcuelabel", Ty.StringType()),
-                             Ty.StructField("predicted", Ty.StringType())])
+    each = F.array(*[F.struct(F.lit(n).alias("system"), F.col(c).alias("predicted")) for n, c in SYSTEMS.items()])
+    return x.select(*R.FEATURE_COLUMNS, F.inline(each))
 
 
 @register("write_predictions")
 def q_write_predictions(spark, sf_dir):
+    """K2: fitted models' predictions, one table per (model, feature set):
+    the 17 input columns and the prediction."""
+    f = _split_features(spark, sf_dir)
+    base, parts = scratch_path(spark, "predictions"), []
+    for names in (["lemma", "pos"], ["lemma", "pos", "prev_tok_cue"]):
+        model = M.train(f.where(F.col("split") == "train"), names, kind="nb")
+        out = model.predict(f.where(F.col("split") == "test"))
+        parts.append(out.select(F.lit("nb").alias("model"), F.lit("_".join(names)).alias("feature_set"), *R.FEATURE_COLUMNS, "predicted"))
+    IO.write_predictions(parts[0].unionByName(parts[1]), base)
+    return IO.read_predictions(spark, base, Ty.LongType())
+
+
+def _system_files(spark, sf_dir):
     base = scratch_path(spark, "predictions")
-    IO.write_predictions(_predictions(spark, sf_dir), base, by=("system",))
-    return IO.read_systems(spark, base, PRED_SCHEMA.add("system", Ty.StringType()))
+    IO.write_system_files(materialize(_predictions(spark, sf_dir), "predictions"), base, "run", SYSTEMS)
+    return base
 
 
 @register("scan_systems")
 def q_scan_systems(spark, sf_dir):
-    base = scratch_path(spark, "predictions")
-    IO.write_system_files(_predictions(spark, sf_dir), base, "run")
-    return IO.read_system_files(spark, base, "run", PRED_SCHEMA).select(
-        "system", "doc_id", "token_id", "token", "negcuelabel", "predicted")
+    rows = IO.read_system_files(spark, _system_files(spark, sf_dir), "run", IO.feature_schema(Ty.LongType(), ("predicted",)))
+    return rows.select("system", "doc_id", "token_id", "token", "negcuelabel", "predicted")
+
+
+@register("evaluate_files")
+def q_evaluate_files(spark, sf_dir):
+    """M14 on files: every ``run*.txt`` prediction table joined with the gold
+    label column of the feature table (J7), ids as strings."""
+    systems = IO.read_system_files(spark, _system_files(spark, sf_dir), "run")
+    systems = systems.select("system", "doc_id", F.col("token_id").cast("int").alias("token_id"), "predicted")
+    gold = IO.read_labels(spark, _written_features(spark, sf_dir))
+    pairs = Ev.pair(gold, systems, keys=("doc_id", "token_id"), gold_col="negcuelabel", pred_col="predicted")
+    return _r6(Ev.prf(Ev.confusion(pairs)), ["precision", "recall", "fscore"])
+
+
+@register("preprocess_file")
+def q_preprocess_file(spark, sf_dir):
+    """The main pipeline: a labelled token file (six columns, string ids,
+    label last) -> features -> feature file."""
+    raw, out = scratch_path(spark, "labelled"), scratch_path(spark, "features")
+    named = _raw_token_table(spark, sf_dir).withColumn("doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")))
+    IO.write_token_lines(named.withColumn("c4", F.lit("_")), raw, ("doc_id", "sentence_id", "token_id", "token", "c4", "label"))
+    tok = An.annotate_rules(IO.read_tokens(spark, raw)).withColumnRenamed("token_id", "tok_id").drop("sentence_id")
+    IO.write_features(R.features_from_tokens(tok, TEST_ONE_WORD_CUES, TEST_MULTI_WORD_CUES, label_rule=None), out)
+    return IO.read_features(spark, out)
 
 
 @register("write_errors")
@@ -539,8 +571,7 @@ def q_write_errors(spark, sf_dir):
     path = scratch_path(spark, "errors")
     err = Ev.error_rows(R.features(spark, sf_dir), _sys_b_pred(spark, sf_dir), keys=("doc_id", "token_id"))
     IO.write_errors(err, path)
-    schema = IO.FEATURE_SCHEMA.add("predictedlabel", Ty.StringType())
-    return IO.read_tsv(spark, path, schema)
+    return IO.read_tsv(spark, path, IO.feature_schema(Ty.LongType(), ("predictedlabel",)))
 
 
 CONTEXT_SCHEMA = Ty.StructType([Ty.StructField(c, Ty.StringType()) for c in ("token", "prev", "next")] +

@@ -10,6 +10,12 @@ from ..functions.cues import (MULTI_WORD_CUES, NEG_PREFIXES, NEG_SUFFIX, ONE_WOR
                               TEST_MULTI_WORD_CUES, TEST_ONE_WORD_CUES, TOKEN_PATTERN)
 
 
+def once(body: str) -> str:
+    """A statement whose annotated tokens are computed once, not inlined into
+    each of its uses."""
+    return q(body).replace("ann AS (", "ann AS MATERIALIZED (").replace("feat AS (", "feat AS MATERIALIZED (")
+
+
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -247,7 +253,7 @@ ORACLE["token_list"] = q("""SELECT doc_id, CAST(tok_id // 4096 AS INTEGER) AS bl
 # --------------------------------------------------------------------------
 
 ORACLE["join_annotations"] = q("SELECT doc_id, tok_id, token, lemma, pos FROM ann")
-ORACLE["annotate_lexicon"] = q(""", tagged AS (
+ORACLE["annotate_lexicon"] = once(""", tagged AS (
   SELECT token, lemma, CASE WHEN prev_token IN ('the', 'a') THEN 'NN' ELSE pos END AS pos
   FROM feat WHERE doc_id IN (SELECT doc_id FROM labels)
 ), dict AS (
@@ -381,13 +387,14 @@ ORACLE["drop_blank_rows"] = q(_RAW)
 _FEAT17 = ("doc_id, sentence_id, token_id, token, lemma, prev, next, pos, punct, prefix, suffix, infix, "
            "prev_tok_cue, sbs_count, match_one, match_multi, negcuelabel")
 ORACLE["write_features"] = q(f"SELECT {_FEAT17} FROM features")
-ORACLE["scan_features"] = q(f"SELECT {_FEAT17} FROM features WHERE negcuelabel <> 'O'")
+ORACLE["scan_features"] = q(f"SELECT {_FEAT17} FROM features")
+ORACLE["preprocess_file"] = q(f"SELECT {_FEAT17} FROM features".replace("doc_id", "'doc-' || doc_id AS doc_id"))
+ORACLE["evaluate_files"] = ORACLE["evaluate_systems"].replace("'sys_a'", "'run-sys-a'").replace("'sys_b'", "'run-sys-b'")
 ORACLE["scan_label_column"] = q("SELECT doc_id, token_id, negcuelabel FROM features")
 _PRED = """ SELECT {name_a} AS system, f.doc_id, f.token_id, f.token, f.negcuelabel, s.sys_a AS predicted
   FROM features f JOIN feat s ON s.doc_id = f.doc_id AND s.tok_id = f.token_id
   UNION ALL SELECT {name_b}, f.doc_id, f.token_id, f.token, f.negcuelabel, s.sys_b
   FROM features f JOIN feat s ON s.doc_id = f.doc_id AND s.tok_id = f.token_id"""
-ORACLE["write_predictions"] = q(_PRED.format(name_a="'sys-a'", name_b="'sys-b'"))
 ORACLE["scan_systems"] = q(_PRED.format(name_a="'run-sys-a'", name_b="'run-sys-b'"))
 ORACLE["write_errors"] = q(_ERR.replace("f.*", "f.* EXCLUDE (lang)"))
 ORACLE["write_context_features"] = q(f"""SELECT token,

@@ -3,7 +3,9 @@ folder used for checkpoints and written intermediate tables."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -63,7 +65,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def apply_runtime_defaults(spark: SparkSession) -> None:
     """Set the runtime settings above where the session still has Spark's
-    own default (a value chosen by the user is kept)."""
+    own default (a value chosen by the user is kept).  They stay set: plans
+    are lazy, so the setting must hold when the caller runs the result."""
     for key, (spark_default, ours) in RUNTIME_DEFAULTS.items():
         try:
             current = spark.conf.get(key)
@@ -77,7 +80,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is used as
-    is.  Only when it is unset (local tests) a private folder is created.
+    is.  Only when it is unset on a ``local`` master (tests) a private folder
+    is created, and removed when the process ends; on a cluster every executor
+    would write to its own disk, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -90,7 +95,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - conf lookup raises when unset
             configured = None
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="cuespark-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

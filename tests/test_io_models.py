@@ -11,8 +11,8 @@ from cuespark.sources import conll as IO
 
 
 def test_token_lines_round_trip(spark):
-    rows = [(0, 0, 0, '"', "O"), (0, 0, 1, "\\", "O"), (0, 0, 2, ".", "O"), (0, 1, 3, "#x", "B-NEG")]
-    df = spark.createDataFrame(rows, IO.TOKEN_SCHEMA)
+    rows = [("a", 0, 0, '"', "O"), ("a", 0, 1, "\\", "O"), ("a", 0, 2, ".", "O"), ("a-1", 1, 3, "#x", "B-NEG")]
+    df = spark.createDataFrame(rows, IO.token_schema())
     path = scratch_path(spark, "t")
     IO.write_token_lines(df.withColumnRenamed("sentence_id", "sentence_id"), path)
     assert sorted(tuple(r) for r in IO.read_tokens(spark, path).collect()) == sorted(rows)
@@ -22,9 +22,9 @@ def test_token_lines_round_trip(spark):
 def test_feature_table_empty_strings_survive(spark):
     from cuespark.plans.relations import FEATURE_COLUMNS
     vals = {c: "" for c in FEATURE_COLUMNS}
-    vals.update(doc_id=1, sentence_id=0, token_id=0, token="a", punct=0, prefix=0, suffix=0, infix=0,
+    vals.update(doc_id="x1", sentence_id=0, token_id=0, token="a", punct=0, prefix=0, suffix=0, infix=0,
                 sbs_count=0, match_one=0, match_multi=0, negcuelabel="O", prev_tok_cue="0")
-    df = spark.createDataFrame([tuple(vals[c] for c in FEATURE_COLUMNS)], IO.FEATURE_SCHEMA)
+    df = spark.createDataFrame([tuple(vals[c] for c in FEATURE_COLUMNS)], IO.feature_schema())
     path = scratch_path(spark, "f")
     IO.write_features(df, path)
     back = IO.read_features(spark, path).first()
