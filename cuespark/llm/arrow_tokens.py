@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import uuid
 import zlib
 from itertools import chain
@@ -32,38 +34,106 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .textblocks import byte_table, span_hashes, text_blocks
 
 LENGTH = 2048   # ids of one sequence
 ROWS = 256      # sequences of one record batch
 END_ID = 2
-CACHE = 1 << 20  # pieces whose ids a task keeps
-
-# A piece is a run of white space with the word after it.  Byte-level BPE
-# splits its input before every white-space run at the latest, so the ids of
-# a text are those of its pieces, and equal pieces are encoded once.
-PIECE = re.compile(r"\s*\S+|\s+")
+CACHE = 1 << 22  # pieces whose ids a worker keeps during a job
+
+SPACE = byte_table([*range(0x09, 0x0E), 0x20])
+ALNUM = byte_table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)])
+PUNCT = byte_table(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray, punctuation: bool = True) -> np.ndarray:
+    """Where the rows of a block can be cut so that a byte-level BPE encodes
+    the parts to the ids of the whole: before a run of white space, and (if
+    ``punctuation``) between a letter or digit and ASCII punctuation, where
+    the tokenizer's own splitting rule always splits.  Only places where the
+    bytes before leave no doubt are taken."""
+    n = len(data)
+    before = np.zeros((3, n), dtype=np.uint8)  # the three bytes before each
+    for i in range(3):
+        before[i, i + 1:] = data[: max(n - i - 1, 0)]
+    b1, b2, b3 = before
+    # white space beyond ASCII: U+0085, 00A0, 1680, 2000-205F (with dashes and quotes), 3000; controls that some rules count in
+    doubt = ((b2 == 0xC2) & ((b1 == 0x85) | (b1 == 0xA0))) | ((b3 == 0xE1) & (b2 == 0x9A)) | ((b3 == 0xE2) & ((b2 == 0x80) | (b2 == 0x81))) \
+        | ((b3 == 0xE3) & (b2 == 0x80)) | ((b1 >= 0x1C) & (b1 <= 0x1F))
+    cut = SPACE[data] & ~SPACE[b1] & ~doubt
+    if punctuation:
+        cut |= PUNCT[data] & (ALNUM[b1] | ((b2 == 0xC3) & (b1 != 0x97) & (b1 != 0xB7)))
+    first = offsets[:-1][np.diff(offsets) > 0]
+    cut[first] = True
+    return np.flatnonzero(cut)
 
 
 class PieceEncoder:
     """Ids of whole texts by a byte-level BPE of the ``tokenizers`` library,
-    encoding each distinct piece once."""
+    which encodes each distinct piece once.  Pieces are told apart by 128
+    bits of hash."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        split = [PIECE.findall(t) for t in texts]
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = list(set(chain.from_iterable(split)).difference(known))
-        for piece, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[piece] = tuple(e.ids)
-        return [list(chain.from_iterable(map(known.__getitem__, s))) for s in split]
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._clear()
+
+    def _clear(self):
+        self.h1, self.h2 = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _whole(self, data, offsets):
+        raw = data.tobytes()
+        texts = [raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:])]
+        parts = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of a block, one after the other, and how many each
+        row has."""
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        raw = data.tobytes()
+        start = piece_starts(data, offsets, not any(t in raw for t in self.special))
+        h1, h2 = span_hashes(data, start, 0), span_hashes(data, start, 1)
+        one, first, which = np.unique(h1, return_index=True, return_inverse=True)
+        two = h2[first]
+        if len(self.h1) > CACHE:
+            self._clear()
+        at = np.searchsorted(self.h1, one)
+        known = at < len(self.h1)
+        known[known] = self.h1[at[known]] == one[known]
+        if (two[which] != h2).any() or (self.h2[at[known]] != two[known]).any():
+            return self._whole(data, offsets)  # 64 bits are shared by two pieces
+        new = np.flatnonzero(~known)
+        if len(new):
+            end = np.append(start[1:], len(data))
+            pieces = [raw[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())]
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            size = np.fromiter(map(len, made), np.int64, len(made))
+            where = len(self.ids) + np.cumsum(size) - size
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32, int(size.sum()))])
+            self.h1, self.h2 = np.insert(self.h1, at[new], one[new]), np.insert(self.h2, at[new], two[new])
+            self.at, self.size = np.insert(self.at, at[new], where), np.insert(self.size, at[new], size)
+            at = np.searchsorted(self.h1, one)
+        size = self.size[at][which]
+        upto = np.cumsum(size)
+        flat = self.ids[np.repeat(self.at[at][which] - (upto - size), size) + np.arange(upto[-1])]
+        rows = np.concatenate([[0], upto])[np.searchsorted(start, offsets)]
+        return flat, np.diff(rows)
+
+
+def _worker_encoder(path: str, job: str) -> PieceEncoder:
+    """The encoder of this job in this worker process, which runs several of
+    its tasks one after the other."""
+    state = sys.modules.setdefault("_cuespark_worker", types.ModuleType("_cuespark_worker")).__dict__
+    if state.get("job") != (job, path):
+        state["encoder"], state["job"] = PieceEncoder(path), (job, path)
+    return state["encoder"]
 
 
 def _sequences(length: int, wide: bool) -> pa.Schema:
@@ -88,13 +158,12 @@ class _Shard:
         self.waiting: list[np.ndarray] = []
         self.held = self.total = self.n_docs = 0
 
-    def add(self, doc_ids: list, encoded: list[np.ndarray]) -> None:
-        size = np.array([len(x) for x in encoded], dtype=np.int64)
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, size: np.ndarray) -> None:
         start = self.total + np.cumsum(size) - size
-        self.docs.write_batch(pa.record_batch([pa.array(doc_ids, pa.int64()), pa.array(start), pa.array(size)], schema=_DOCS))
-        self.waiting += encoded
-        self.held += int(size.sum())
-        self.total += int(size.sum())
+        self.docs.write_batch(pa.record_batch([doc_ids, pa.array(start), pa.array(size)], schema=_DOCS))
+        self.waiting.append(ids)
+        self.held += len(ids)
+        self.total += len(ids)
         self.n_docs += len(size)
         if self.held >= ROWS * self.length:
             self._flush(last=False)
@@ -122,29 +191,20 @@ class _Shard:
             self.store.move(self.temp + e, self.base + e)
 
 
-def _writer(folder: str, tokenizer: str, length: int, end_id: int):
+def _writer(folder: str, tokenizer: str, length: int, end_id: int, job: str):
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, shard = None, None
+        shard = None
         for batch in batches:
-            if encoder is None:
-                encoder = PieceEncoder(tokenizer)
+            encoder = _worker_encoder(tokenizer, job)
+            if shard is None:
                 wide = max(encoder.tokenizer.get_vocab_size(), end_id + 1) > 1 << 16
                 shard = _Shard(folder, TaskContext.get().partitionId(), length, wide)
-            ids = batch.column(0).to_pylist()
-            texts = pc.fill_null(batch.column(1), "").to_pylist()
-            a = 0
-            while a < len(texts):  # about 2 M characters, or one text, at a time
-                b, n = a, 0
-                while b < len(texts) and (b == a or n + len(texts[b]) <= 2_000_000):
-                    n, b = n + len(texts[b]), b + 1
-                encoded = []
-                for x in encoder.encode(texts[a:b]):
-                    x.append(end_id)
-                    encoded.append(np.array(x, dtype=shard.dtype))
-                shard.add(ids[a:b], encoded)
-                a = b
+            for first, n, data, offsets in text_blocks(batch.column(1)):
+                ids, size = encoder.encode(data, offsets)
+                ids = np.insert(ids, np.cumsum(size), end_id).astype(shard.dtype)
+                shard.add(batch.column(0).slice(first, n), ids, size + 1)
         if shard:
             shard.close()
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([shard.total], pa.int64()),
@@ -171,7 +231,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "do
     store.create_dir(f"{root.rstrip('/')}/shards", recursive=True)
     dealt = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     dealt = dealt.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id")
-    done = dealt.mapInArrow(_writer(f"{folder}/shards", tokenizer, length, end_id), "shard int, n_tokens bigint, n_docs bigint")
+    done = dealt.mapInArrow(_writer(f"{folder}/shards", tokenizer, length, end_id, uuid.uuid4().hex), "shard int, n_tokens bigint, n_docs bigint")
     done.write.mode("overwrite").parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 

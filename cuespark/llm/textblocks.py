@@ -52,8 +52,11 @@ def _byte_values() -> np.ndarray:
     return mix64(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 
 
-def _powers(n: int) -> np.ndarray:
-    p = np.full(n, 0x5851F42D4C957F2D, dtype=np.uint64)
+_BASES = (0x5851F42D4C957F2D, 0xD1342543DE82EF95)
+
+
+def _powers(n: int, base: int = 0) -> np.ndarray:
+    p = np.full(n, _BASES[base], dtype=np.uint64)
     p[0] = 1
     return np.multiply.accumulate(p)
 
@@ -77,6 +80,15 @@ def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES):
         a = b
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, base: int = 0) -> np.ndarray:
+    """64-bit hash of each of the spans that begin at ``start`` and together
+    cover the bytes; ``base``: one of two independent hashes."""
+    size = np.diff(np.append(start, len(data)))
+    at = np.arange(len(data), dtype=np.int32) - np.repeat(start, size).astype(np.int32)
+    v = _byte_values()[data] * _powers(int(size.max()), base)[at]
+    return mix64(np.add.reduceat(v, start) + size.astype(np.uint64))
+
+
 class Words:
     """Words of one block: byte ``start`` and ``end`` (exclusive), the first
     word index of every row in ``row_start`` (length rows + 1)."""

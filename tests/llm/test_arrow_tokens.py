@@ -14,10 +14,29 @@ TOK = Tokenizer.from_file(tokenizer_file())
 ENC = A.PieceEncoder(tokenizer_file())
 
 
+def encode(rows):
+    raw = [t.encode() for t in rows]
+    ids, size = ENC.encode(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)]))
+    return [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*" \n\t\r\xa0\u2003\u3000\u1680\u2014\x1c\x85ab's\u00e9\u00d7\u65e51\u00b2._-<|>", "<|endoftext|>"]), max_size=40).map("".join), min_size=1, max_size=5))
+def test_pieces_give_the_ids_of_the_whole_text(rows):
+    assert encode(rows) == [TOK.encode(t, add_special_tokens=False).ids for t in rows]
+
+
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from([*" \n\t\r\xa0\u2003\x1c\x85ab's\u00e9\u65e51._-<|>", "<|endoftext|>"]), max_size=60).map("".join))
-def test_pieces_give_the_ids_of_the_whole_text(text):
-    assert ENC.encode([text])[0] == TOK.encode(text, add_special_tokens=False).ids
+@given(st.lists(st.text(max_size=40), min_size=1, max_size=4))
+def test_any_text(rows):
+    assert encode(rows) == [TOK.encode(t, add_special_tokens=False).ids for t in rows]
+
+
+def test_shared_hashes_are_noticed(monkeypatch):
+    monkeypatch.setattr(A, "span_hashes", lambda data, start, base=0: np.zeros(len(start), np.uint64) if base == 0 else np.arange(len(start), dtype=np.uint64))
+    fresh = A.PieceEncoder(tokenizer_file())
+    monkeypatch.setitem(globals(), "ENC", fresh)
+    assert encode(["a bc def", "ghi jk"]) == [TOK.encode(t, add_special_tokens=False).ids for t in ("a bc def", "ghi jk")]
 
 
 def texts():
