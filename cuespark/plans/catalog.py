@@ -702,14 +702,11 @@ def q_pick_dense_onehot(spark, sf_dir):
 from . import tagger as TG  # noqa: E402
 
 TAGGER_NAMES = ["lemma", "pos", "prefix", "suffix", "infix", "match_one", "match_multi", "prev_tok_cue"]
-TAGGER_ITER = 25
 
 
 def _fit_tagger(spark, sf_dir, all_transitions=True):
     f = _split_features(spark, sf_dir)
-    model = TG.train_tagger(f.where(F.col("split") == "train"), TAGGER_NAMES, all_transitions=all_transitions,
-                            max_iter=TAGGER_ITER)
-    return f, model
+    return f, TG.train_tagger(f.where(F.col("split") == "train"), TAGGER_NAMES, all_transitions=all_transitions)
 
 
 @register("train_tagger")
@@ -717,26 +714,20 @@ def q_train_tagger(spark, sf_dir):
     """M9: the fitted weights as a table ``(term, label, weight)`` plus the
     transition, start and end weights."""
     _, m = _fit_tagger(spark, sf_dir)
-    V, L = len(m.vocab), len(m.labels)
-    W, A, s, e = TG._unpack(m.w, V, L)
-    rows = [(t, m.labels[j], float(W[i, j])) for i, t in enumerate(m.vocab) for j in range(L)]
-    rows += [(f"transition={m.labels[i]}", m.labels[j], float(A[i, j])) for i in range(L) for j in range(L)]
-    rows += [("start", m.labels[j], float(s[j])) for j in range(L)] + [("end", m.labels[j], float(e[j])) for j in range(L)]
-    return spark.createDataFrame(rows, "term string, label string, weight double")
+    return m.weights(spark)
 
 
 @register("predict_tagger")
 def q_predict_tagger(spark, sf_dir):
-    """Best label path for every sentence piece of the whole table."""
+    """Best label path for every sentence of the whole table."""
     f, m = _fit_tagger(spark, sf_dir)
-    pred = m.predict(f)
-    return f.select("doc_id", "token_id", "split", "negcuelabel").join(pred, ["doc_id", "token_id"])
+    return m.predict(f, carry=["split", "negcuelabel"])
 
 
 @register("tune_tagger")
 def q_tune_tagger(spark, sf_dir):
     f = _split_features(spark, sf_dir).where(F.col("split") == "train")
-    return spark.createDataFrame(TG.tune_tagger(f, TAGGER_NAMES, n_folds=3, max_iter=10))
+    return spark.createDataFrame(TG.tune_tagger(f, TAGGER_NAMES))
 
 
 # --------------------------------------------------------------------------

@@ -68,3 +68,52 @@ def test_tagger_learns(spark):
     assert pred.count() == df.count()
     acc = pred.select(F.avg((F.col("predicted") == F.col("negcuelabel")).cast("double"))).first()[0]
     assert acc == 1.0
+
+
+def _labelled(spark, n_docs=8):
+    """Documents of varied sentences; B-NEG after a full stop only, so that
+    O -> B-NEG never occurs inside a sentence."""
+    import random
+    rnd = random.Random(4)
+    rows = []
+    for d in range(n_docs):
+        i = 0
+        for s in range(6):
+            n = rnd.randint(2, 9)
+            for k in range(n):
+                tok = "." if k == n - 1 else rnd.choice(["no", "not", "cat", "dog", "runs"]) if k == 0 else rnd.choice(["cat", "dog", "runs", "the"])
+                lab = "B-NEG" if k == 0 and tok in ("no", "not") else "O"
+                rows.append((f"d{d}", s, i, tok, tok, "NN", lab))
+                i += 1
+    return spark.createDataFrame(rows, "doc_id string, sentence_id int, token_id int, token string, lemma string, pos string, negcuelabel string").repartition(3)
+
+
+def test_tagger_results_do_not_depend_on_piece_size(spark):
+    df = _labelled(spark)
+    fits = [TG.train_tagger(df, ["lemma"], max_iter=20, max_len=n) for n in (4, 1000)]
+    import numpy as np
+    assert np.isclose(fits[0].loss, fits[1].loss) and np.allclose(fits[0].w, fits[1].w, atol=1e-5)
+    paths = [sorted(tuple(r) for r in fits[0].predict(df, max_len=n, carry=["negcuelabel"]).collect()) for n in (3, 1000)]
+    assert paths[0] == paths[1] and len(paths[0]) == df.count()
+
+
+def test_unseen_transitions_stay_zero_across_sentences(spark):
+    df = _labelled(spark)
+    m = TG.train_tagger(df, ["lemma"], max_iter=20, all_transitions=False)
+    _, A, _, _ = TG._unpack(m.w, len(m.vocab), len(m.labels))
+    assert A[m.labels.index("O"), m.labels.index("B-NEG")] == 0
+    assert A[m.labels.index("B-NEG"), m.labels.index("O")] != 0
+    table = {(r.term, r.label): r.weight for r in m.weights(spark).collect()}
+    assert len(table) == (len(m.vocab) + len(m.labels) + 2) * len(m.labels)
+
+
+def test_tagger_cuts_sentences_itself_without_a_sentence_column(spark):
+    df = _labelled(spark)
+    rows = TG.tagger_sentences(df.drop("sentence_id"), ["lemma"]).collect()
+    want = TG.tagger_sentences(df, ["lemma"]).collect()
+    assert sorted((r.doc_id, tuple(r.ids)) for r in rows) == sorted((r.doc_id, tuple(r.ids)) for r in want)
+
+
+def test_tune_tagger_covers_the_grid(spark):
+    got = TG.tune_tagger(_labelled(spark), ["lemma"], n_folds=2, max_iter=5)
+    assert sorted(got.all_transitions) == [False, True] and got.macro_f1.between(0, 1).all()
