@@ -280,7 +280,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     # the texts of the documents in pairs, once per node
     ends = pairs.select("node").union(pairs.select("pivot")).distinct()
     rids = materialize(nodes.join(ends, "node", "left_semi").select(F.col("doc.rid").alias("rid")), "pair-rows")
-    texts = docs.select(row_id(F.col(doc_id), F.col(text)).alias("rid"), F.col(text).alias("text")).join(rids, "rid", "left_semi").select("text")
+    # (a merge join at every size: a broadcast would hold for few pairs only)
+    texts = docs.select(row_id(F.col(doc_id), F.col(text)).alias("rid"), F.col(text).alias("text")).join(rids.hint("merge"), "rid", "left_semi").select("text")
     made = texts.mapInArrow(_multiset_maker(SHINGLE), f"node {_NODE}, x array<bigint>, c array<int>")
     sets = materialize(made.dropDuplicates(["node"]), "multisets")
 
@@ -312,5 +313,5 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options
     stay = materialize(table.where("n > 0").groupBy("class_id").agg(F.min(F.struct("id", "rid")).alias("m")).select("m.rid"), "near-kept")
     rows = docs.select(row_id(F.col(doc_id), F.col(text)).alias("rid"), F.struct(*docs.columns).alias("row"))
     said = F.coalesce(F.col("row")[text].rlike(HAS_WORD), F.lit(False))
-    kept = rows.where(said).join(stay, "rid", "left_semi").dropDuplicates(["rid"])
+    kept = rows.where(said).join(stay.hint("merge"), "rid", "left_semi").dropDuplicates(["rid"])
     return kept.select("row.*").union(rows.where(~said).select("row.*"))
