@@ -82,14 +82,19 @@ def embed_context(df: DataFrame, emb: DataFrame, names, dim: int, out: str = "de
     return x.withColumn(out, F.concat(*[F.col(f"_e_{c}") for c in parts])).drop(*[f"_e_{c}" for c in parts])
 
 
-def vocabulary(df: DataFrame, names, max_size: int = 1 << 22) -> list[str]:
+# Terms that a solver can hold: its coefficients are dense vectors on the driver.
+MAX_VOCAB = 1 << 24
+
+
+def vocabulary(df: DataFrame, names, max_size: int = MAX_VOCAB) -> list[str]:
     """M1 vocabulary: every distinct ``name=value`` in sorted order (the
     column order of a dictionary vectoriser).  The list is needed on the
     driver to build the encoder, so its size is checked first."""
-    terms = distinct_terms(df, names)
+    from ..session import materialize
+    terms = materialize(distinct_terms(df, names), "terms")
     n = terms.count()
     if n > max_size:
-        raise ValueError(f"one-hot vocabulary has {n} terms (> {max_size}); use hashed features")
+        raise ValueError(f"one-hot vocabulary has {n} terms; the solver's dense coefficients hold {max_size}")
     return [r[0] for r in terms.orderBy("term").collect()]
 
 
@@ -104,15 +109,16 @@ def rank_sorted(df: DataFrame, order, name: str = "idx") -> DataFrame:
     window.
 
     The range-partitioned sort is written once under the shared checkpoint
-    folder; part files are numbered in sort order and keep row order, so
-    rank = (rows in earlier files) + row index in the file.  The per-file
+    folder; part files are numbered in sort order (task, then file of the task)
+    and keep row order, so rank = (rows in earlier files) + row index in the file.  The per-file
     counts are one row per file.  Reading fixed files keeps the numbering
     stable when tasks are retried.
     """
     from ..session import materialize
     keys = [order] if isinstance(order, str) else list(order)
     s = materialize(df.orderBy(*keys), "ranked")
-    s = s.select("*", F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long").alias("_part"),
+    s = s.select("*", F.struct(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long").alias("task"),
+                          F.regexp_extract(F.col("_metadata.file_name"), r"-c(\d+)\.", 1).cast("int").alias("file")).alias("_part"),
                  F.col("_metadata.row_index").alias("_r"))
     counts = s.groupBy("_part").agg(F.count(F.lit(1)).alias("_c"))
     w_off = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -121,12 +127,6 @@ def rank_sorted(df: DataFrame, order, name: str = "idx") -> DataFrame:
     return out.drop("_part", "_r", "_off")
 
 
-def one_hot_encoder(vocab: list[str], input_col: str = "feats", output_col: str = "onehot") -> CountVectorizerModel:
-    """M1: binary one-hot over ``name=value`` terms; unseen terms are ignored
-    when scoring."""
-    return CountVectorizerModel.from_vocabulary(vocab, inputCol=input_col, outputCol=output_col, binary=True)
-
-
 def distinct_terms(df: DataFrame, names) -> DataFrame:
     """Every distinct ``name=value`` term: a distinct per column (only that
     column is read) with the name prefixed afterwards, then a union."""
@@ -139,18 +139,18 @@ def distinct_terms(df: DataFrame, names) -> DataFrame:
 
 
 def fit_one_hot(df: DataFrame, names, input_col: str = "feats", output_col: str = "onehot",
-                max_vocab: int = 1 << 22) -> CountVectorizerModel:
+                max_vocab: int = MAX_VOCAB) -> CountVectorizerModel:
     """M1 (fit): binary one-hot encoder over every ``name=value`` term seen
-    in ``df``.  The vocabulary is built from the distinct values of each
-    column and fitted on the JVM side (no round trip through Python); its
-    size is read back and checked, so the encoder never drops terms."""
-    terms = distinct_terms(df, names).select(F.array("term").alias(input_col))
-    cv = CountVectorizer(inputCol=input_col, outputCol=output_col, vocabSize=max_vocab + 1, minDF=1.0, binary=True)
-    model = cv.fit(terms)
-    size = len(model._java_obj.vocabulary())
-    if size > max_vocab:
-        raise ValueError(f"one-hot vocabulary has more than {max_vocab} terms; use hashed features")
-    return model
+    in ``df``, columns in sorted order of the terms (the ranks of
+    ``vocabulary_table``); unseen terms are ignored when scoring."""
+    return CountVectorizerModel.from_vocabulary(vocabulary(df, names, max_vocab), inputCol=input_col, outputCol=output_col, binary=True)
+
+
+def vector_entries(x) -> tuple:
+    """Size, number of non-zero entries and indices (null for a dense one) of
+    a vector column, read from its sparse form without expanding it."""
+    v = F.unwrap_udt(x)
+    return (F.coalesce(v["size"], F.size(v["values"])), F.size(F.filter(v["values"], lambda a: a != 0)), v["indices"])
 
 
 def combine(df: DataFrame, onehot: str | None = "onehot", dense: str = "dense", out: str = "features") -> DataFrame:

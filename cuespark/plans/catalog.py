@@ -592,39 +592,38 @@ def q_write_context(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------
-# Learning operators (rows-only checks)
+# Learning operators.  Naive Bayes has a closed form, so
+# its predictions are compared row by row; of the iterative models the queries
+# return facts that SQL can count.
 # --------------------------------------------------------------------------
 
 from . import models as M  # noqa: E402
 
-# Iteration caps for the registered runs; the API defaults keep the
-# original caps.  Every row of the whole table is used.
-Q_ITER = 30
+LABELS = ["B-NEG", "I-NEG", "O"]
 
 
 def _split_features(spark, sf_dir):
     return materialize(M.split_documents(R.features(spark, sf_dir)), "features")
 
 
-def _predict_query(spark, sf_dir, kind):
-    f = _split_features(spark, sf_dir)
-    model = M.train(f.where(F.col("split") == "train"), kind=kind, max_iter=Q_ITER)
-    return model.predict(f).select("doc_id", "token_id", "split", "negcuelabel", "predicted")
-
-
-@register("train_svm")
-def q_train_svm(spark, sf_dir):
-    return _predict_query(spark, sf_dir, "svm")
+def prediction_facts(pred, by=("split",), label="negcuelabel"):
+    """Per group: rows, rows without a prediction, predictions outside the
+    label domain, and whether accuracy reaches the majority label's share."""
+    count = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("long")
+    majority = F.greatest(*[count(F.col(label) == v) for v in LABELS])
+    return pred.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), count(F.col("predicted").isNull()).alias("n_unpredicted"),
+                                 count(~F.col("predicted").isin(LABELS)).alias("n_foreign"),
+                                 (count(F.col("predicted") == F.col(label)) >= majority).alias("reaches_majority"))
 
 
-@register("train_logreg")
-def q_train_logreg(spark, sf_dir):
-    return _predict_query(spark, sf_dir, "logreg")
+def _predicted(spark, sf_dir, kind):
+    f = _split_features(spark, sf_dir)
+    return M.train(f.where(F.col("split") == "train"), kind=kind).predict(f)
 
 
 @register("train_nb")
 def q_train_nb(spark, sf_dir):
-    return _predict_query(spark, sf_dir, "nb")
+    return _predicted(spark, sf_dir, "nb").select("doc_id", "token_id", "split", "negcuelabel", "predicted")
 
 
 def _emb_features(spark, sf_dir):
@@ -633,25 +632,27 @@ def _emb_features(spark, sf_dir):
     return f, emb, _dim(spark, sf_dir)
 
 
-@register("train_embeddings")
-def q_train_embeddings(spark, sf_dir):
-    f, emb, dim = _emb_features(spark, sf_dir)
-    model = M.train_embeddings(f.where(F.col("split") == "train"), emb, dim, kind="svm", max_iter=Q_ITER)
-    return model.predict(f).select("doc_id", "token_id", "split", "negcuelabel", "predicted")
+def _vector_summary(x):
+    dims, entries, _ = V.vector_entries(F.col("x"))
+    return x.select("doc_id", "token_id", dims.alias("dims"), entries.alias("nnz"))
 
 
-def _vector_summary(x):
-    from pyspark.ml.functions import vector_to_array
-    arr = vector_to_array("x")
-    return x.select("doc_id", "token_id", F.size(arr).alias("dims"),
-                    F.size(F.filter(arr, lambda v: v != 0)).alias("nnz"))
+@register("one_hot_rows")
+def q_one_hot_rows(spark, sf_dir):
+    """M1 applied: the encoder of the train split on every row; a value that
+    the train split lacks has no index."""
+    f = _split_features(spark, sf_dir)
+    enc = V.fit_one_hot(f.where(F.col("split") == "train"), ONE_HOT_NAMES)
+    x = enc.transform(f.select("doc_id", "token_id", S.feature_pairs(ONE_HOT_NAMES).alias("feats")))
+    _, _, indices = V.vector_entries(F.col("onehot"))
+    return x.select("doc_id", "token_id", F.array_join(indices.cast("array<string>"), ",").alias("indices"))
 
 
 @register("embedding_features")
 def q_embedding_features(spark, sf_dir):
     f, emb, dim = _emb_features(spark, sf_dir)
     _, one_hot_names = S.split_features(R.FEATURE_NAMES, "train")
-    enc = V.fit_one_hot(f, one_hot_names)
+    enc = V.fit_one_hot(f.where(F.col("split") == "train"), one_hot_names)
     return _vector_summary(M.embedding_vectors(f, R.FEATURE_NAMES, emb, dim, enc))
 
 
@@ -659,7 +660,7 @@ def q_embedding_features(spark, sf_dir):
 def q_combine_vectors(spark, sf_dir):
     f, emb, dim = _emb_features(spark, sf_dir)
     names = ["lemma", "pos", "prefix", "suffix"]
-    enc = V.fit_one_hot(f, ["pos", "prefix", "suffix"])
+    enc = V.fit_one_hot(f.where(F.col("split") == "train"), ["pos", "prefix", "suffix"])
     x = V.embed_context(f, emb, names, dim, out="dense")
     x = enc.transform(x.withColumn("feats", S.feature_pairs(["pos", "prefix", "suffix"])))
     return _vector_summary(V.combine(x, "onehot", "dense", "x"))
@@ -672,22 +673,17 @@ def q_predict(spark, sf_dir):
     return model.predict(f.where(F.col("split") == "test")).select(*R.FEATURE_COLUMNS, "predicted")
 
 
+ATTACH_NAMES = ["lemma", "pos", "prev_tok_cue"]
+
+
 @register("attach_predictions")
 def q_attach(spark, sf_dir):
     f = _split_features(spark, sf_dir)
-    model = M.train(f.where(F.col("split") == "train"), ["lemma", "pos", "prev_tok_cue"], kind="nb")
+    model = M.train(f.where(F.col("split") == "train"), ATTACH_NAMES, kind="nb")
     pred = model.predict(f).select("doc_id", "token_id", "predicted")
     return f.join(pred, ["doc_id", "token_id"]).select(*R.FEATURE_COLUMNS, "predicted")
 
 
-@register("tune_svm")
-def q_tune_svm(spark, sf_dir):
-    f = _split_features(spark, sf_dir).where(F.col("split") == "train")
-    # the full C x tol grid, scored on one of the five document folds
-    _, results = M.tune_svm(f, ["lemma", "pos", "prefix", "suffix", "prev_tok_cue"], folds=(0,), max_iter=10)
-    return spark.createDataFrame(results, "c double, tol double, macro_f1 double")
-
-
 @register("pick_dense_onehot")
 def q_pick_dense_onehot(spark, sf_dir):
     _, one_hot = S.split_features(R.FEATURE_NAMES, "train")
@@ -696,12 +692,27 @@ def q_pick_dense_onehot(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------
-# Sequence tagger (rows-only checks)
+# Streaming: stateless features
 # --------------------------------------------------------------------------
 
+@register("stream_token_features")
+def q_stream_token_features(spark, sf_dir):
+    import os
+    from ..streaming.features import run_token_features
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    run_token_features(spark, os.path.join(sf_dir, "documents.parquet*"), sink, ckpt, TEST_ONE_WORD_CUES)
+    return spark.read.parquet(sink)
+
+
+# --------------------------------------------------------------------------
+# Iterative learning (M2, M3, M5, M9-M13), the longest queries last
+# --------------------------------------------------------------------------
+
+from . import ablation as Ab  # noqa: E402
 from . import tagger as TG  # noqa: E402
 
 TAGGER_NAMES = ["lemma", "pos", "prefix", "suffix", "infix", "match_one", "match_multi", "prev_tok_cue"]
+TUNE_NAMES = ["lemma", "pos", "prefix", "suffix", "prev_tok_cue"]
 
 
 def _fit_tagger(spark, sf_dir, all_transitions=True):
@@ -711,47 +722,58 @@ def _fit_tagger(spark, sf_dir, all_transitions=True):
 
 @register("train_tagger")
 def q_train_tagger(spark, sf_dir):
-    """M9: the fitted weights as a table ``(term, label, weight)`` plus the
-    transition, start and end weights."""
+    """M9: per label, the weights of the fitted model and their terms."""
     _, m = _fit_tagger(spark, sf_dir)
-    return m.weights(spark)
+    return m.weights(spark).groupBy("label").agg(F.count(F.lit(1)).alias("n_weights"), F.countDistinct("term").alias("n_terms"),
+                                                 F.max(F.col("weight") != 0).alias("fitted"))
 
 
 @register("predict_tagger")
 def q_predict_tagger(spark, sf_dir):
     """Best label path for every sentence of the whole table."""
     f, m = _fit_tagger(spark, sf_dir)
-    return m.predict(f, carry=["split", "negcuelabel"])
+    return prediction_facts(m.predict(f, carry=["split", "negcuelabel"]))
 
 
-@register("tune_tagger")
-def q_tune_tagger(spark, sf_dir):
-    f = _split_features(spark, sf_dir).where(F.col("split") == "train")
-    return spark.createDataFrame(TG.tune_tagger(f, TAGGER_NAMES))
+@register("train_svm")
+def q_train_svm(spark, sf_dir):
+    return prediction_facts(_predicted(spark, sf_dir, "svm"))
 
 
-# --------------------------------------------------------------------------
-# M13 ablation; stateless features on a stream
-# --------------------------------------------------------------------------
+@register("train_logreg")
+def q_train_logreg(spark, sf_dir):
+    return prediction_facts(_predicted(spark, sf_dir, "logreg"))
+
+
+@register("train_embeddings")
+def q_train_embeddings(spark, sf_dir):
+    f, emb, dim = _emb_features(spark, sf_dir)
+    model = M.train_embeddings(f.where(F.col("split") == "train"), emb, dim, kind="svm")
+    return prediction_facts(model.predict(f))
+
+
+@register("tune_svm")
+def q_tune_svm(spark, sf_dir):
+    """The C x tol grid over all folds of the train split."""
+    f = _split_features(spark, sf_dir).where(F.col("split") == "train")
+    _, results = M.tune_svm(f, TUNE_NAMES)
+    scores = spark.createDataFrame(results, "c double, tol double, n_folds int, macro_f1 double")
+    return scores.select("c", "tol", "n_folds", F.col("macro_f1").between(1e-9, 1).alias("scored"))
 
-from . import ablation as Ab  # noqa: E402
+
+@register("tune_tagger")
+def q_tune_tagger(spark, sf_dir):
+    f = _split_features(spark, sf_dir).where(F.col("split") == "train")
+    scores = spark.createDataFrame(TG.tune_tagger(f, TAGGER_NAMES))
+    return scores.select("all_transitions", F.col("macro_f1").between(1e-9, 1).alias("scored"))
 
 
 @register("feature_ablation")
 def q_feature_ablation(spark, sf_dir):
-    """All 26 distinct feature sets, trained on the train split and scored
-    on the test split in one grouped job (complement naive Bayes here; the
-    SVM, tagger and vector models run through ``models=``)."""
-    f = _split_features(spark, sf_dir)
+    """All 26 distinct feature sets x SVM, tagger and SVM with vectors,
+    trained on the train split, predicting the test split."""
+    f, emb, dim = _emb_features(spark, sf_dir)
     train, test = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
-    pred = Ab.ablate(train, test, models=("nb",), concurrency=4)
-    return _r6(Ab.score_runs(pred, test), ["precision", "recall", "fscore"])
-
-
-@register("stream_token_features")
-def q_stream_token_features(spark, sf_dir):
-    import os
-    from ..streaming.features import run_token_features
-    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    run_token_features(spark, os.path.join(sf_dir, "documents.parquet*"), sink, ckpt, TEST_ONE_WORD_CUES)
-    return spark.read.parquet(sink)
+    pred = Ab.ablate(train, test, emb=emb, dim=dim)
+    facts = prediction_facts(pred.join(test.select("doc_id", "token_id", "negcuelabel"), ["doc_id", "token_id"]), by=("model", "feature_set"))
+    return facts.select("model", "feature_set", Ab.leaks(F.col("feature_set")).alias("uses_gold_context"), "n_rows", "n_unpredicted", "n_foreign")

@@ -3,9 +3,11 @@
 Every model is a Spark ML estimator: the one-hot encoding is a
 ``CountVectorizerModel`` over ``name=value`` terms with a sorted, size-checked
 vocabulary; the classifiers are ``LinearSVC`` (one-vs-rest),
-multinomial ``LogisticRegression`` and complement ``NaiveBayes``.  Training
-vectors are persisted (memory, spilling to disk) for the iterative solvers
-and released afterwards.  Scoring is a ``transform``: row-wise, no shuffle.
+multinomial ``LogisticRegression`` and complement ``NaiveBayes``.  Rows with
+equal features and label are one weighted row, which leaves every objective
+as it is.  The penalty is liblinear's C = 1.  Training vectors are persisted
+(memory, spilling to disk) for the iterative solvers and released afterwards.
+Scoring is a ``transform``: row-wise, no shuffle.
 """
 
 from __future__ import annotations
@@ -18,38 +20,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sentences import feature_pairs, split_features
-from ..operators.vectors import combine, embed_context, fit_one_hot
+from ..operators.vectors import MAX_VOCAB, combine, embed_context, fit_one_hot
 from .relations import FEATURE_NAMES
 
 KEYS = ("doc_id", "token_id")
 LABEL = "negcuelabel"
 
-# Reference iteration caps (API defaults); queries may pass smaller values.
-MAX_ITER = {"svm": 4000, "logreg": 2000, "logreg_vectors": 3000, "nb": 1}
+# ---------------------------------------------------------------------------
+# Iteration caps, penalty and tuning grid of the original runs.
+# The solvers stop earlier, by their tolerance.
+# ---------------------------------------------------------------------------
+MAX_ITER = {"svm": 4000, "svm_tuning": 2000, "logreg": 2000, "logreg_vectors": 3000}
+C = 1.0
+GRID_C = (0.01, 0.1, 1.0)
+GRID_TOL = (1e-4, 1e-3, 1e-2, 1e-1)
+N_FOLDS = 5
 
 
-def split_documents(df: DataFrame, test_folds=(0,), n_folds: int = 5, seed: int = 17) -> DataFrame:
+def document_fold(n_folds: int = N_FOLDS, seed: int = 17, doc_id: str = "doc_id"):
+    """Fold of a row: a hash of its document id."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(doc_id).cast("string")))
+    return F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(n_folds)).cast("int")
+
+
+def split_documents(df: DataFrame, test_folds=(0,), n_folds: int = N_FOLDS, seed: int = 17) -> DataFrame:
     """Assign every row a fold by hashing its document id, and ``split`` =
     'test' for the given folds, else 'train'.  Both parts are kept."""
-    fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(n_folds)).cast("int")
-    return (df.withColumn("fold", fold)
+    return (df.withColumn("fold", document_fold(n_folds, seed))
               .withColumn("split", F.when(F.col("fold").isin(list(test_folds)), F.lit("test")).otherwise(F.lit("train"))))
 
 
 def _classifier(kind: str, max_iter: int | None, reg: float, tol: float, parallelism: int):
     if kind == "svm":
-        svc = LinearSVC(featuresCol="x", labelCol="y", maxIter=max_iter or MAX_ITER["svm"], regParam=reg, tol=tol)
-        return OneVsRest(classifier=svc, featuresCol="x", labelCol="y", predictionCol="yhat",
+        svc = LinearSVC(featuresCol="x", labelCol="y", weightCol="w", maxIter=max_iter or MAX_ITER["svm"], regParam=reg, tol=tol,
+                        standardization=False)
+        return OneVsRest(classifier=svc, featuresCol="x", labelCol="y", weightCol="w", predictionCol="yhat",
                          parallelism=parallelism)
     if kind == "logreg":
-        return LogisticRegression(featuresCol="x", labelCol="y", predictionCol="yhat", family="multinomial",
-                                  maxIter=max_iter or MAX_ITER["logreg"], regParam=reg, tol=tol)
+        return LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", predictionCol="yhat", family="multinomial",
+                                  maxIter=max_iter or MAX_ITER["logreg"], regParam=reg, tol=tol, standardization=False)
     if kind == "nb":
-        return NaiveBayes(featuresCol="x", labelCol="y", predictionCol="yhat", modelType="complement")
+        return NaiveBayes(featuresCol="x", labelCol="y", weightCol="w", predictionCol="yhat", modelType="complement")
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-def c_to_reg(c: float, n_rows: int) -> float:
+def c_to_reg(c: float, n_rows: float) -> float:
     """liblinear's C to Spark's regParam (objective scaled by 1/n)."""
     return 1.0 / (c * max(n_rows, 1))
 
@@ -94,20 +109,31 @@ def _indexed(df: DataFrame, labels: list, label: str) -> DataFrame:
     return df.withColumn("y", idx.cast("double"))
 
 
+def _distinct_rows(df: DataFrame, columns) -> DataFrame:
+    """Equal rows of ``columns`` as one row with weight ``w``."""
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("w"))
+
+
+def _fit(x: DataFrame, kind: str, max_iter, c: float, tol: float, parallelism: int):
+    """Fit on persisted weighted rows ``x, y, w``."""
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = x.agg(F.sum("w")).first()[0] or 0
+        return _classifier(kind, max_iter, c_to_reg(c, n), tol, parallelism).fit(x)
+    finally:
+        x.unpersist()
+
+
 def train(df: DataFrame, names=FEATURE_NAMES, kind: str = "svm", label: str = LABEL, max_iter: int | None = None,
-          reg: float = 0.0, tol: float = 1e-4, parallelism: int = 3, max_vocab: int = 1 << 22) -> TokenModel:
+          c: float = C, tol: float = 1e-4, parallelism: int = 3, max_vocab: int = MAX_VOCAB) -> TokenModel:
     """M2 / M3 / M4: fit a one-hot token classifier on ``names``."""
     names = list(names)
     enc = fit_one_hot(df, names, max_vocab=max_vocab)
     labels = _labels(df, label)
-    x = enc.transform(df.select(feature_pairs(names).alias("feats"), F.col(label)))
-    x = _indexed(x.select(F.col("onehot").alias("x", metadata={}), label), labels, label).select("x", "y")
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = _classifier(kind, max_iter, reg, tol, parallelism).fit(x)
-    finally:
-        x.unpersist()
-    return TokenModel(kind, names, labels, enc, model)
+    rows = _distinct_rows(df, [*names, label])
+    x = enc.transform(rows.select(feature_pairs(names).alias("feats"), F.col(label), "w"))
+    x = _indexed(x.select(F.col("onehot").alias("x", metadata={}), label, "w"), labels, label).select("x", "y", "w")
+    return TokenModel(kind, names, labels, enc, _fit(x, kind, max_iter, c, tol, parallelism))
 
 
 def embedding_vectors(df: DataFrame, names, emb: DataFrame, dim: int, encoder=None, variant: str = "train"):
@@ -123,7 +149,7 @@ def embedding_vectors(df: DataFrame, names, emb: DataFrame, dim: int, encoder=No
 
 
 def train_embeddings(df: DataFrame, emb: DataFrame, dim: int, names=FEATURE_NAMES, kind: str = "svm",
-                     label: str = LABEL, max_iter: int | None = None, reg: float = 0.0, tol: float = 1e-4,
+                     label: str = LABEL, max_iter: int | None = None, c: float = C, tol: float = 1e-4,
                      parallelism: int = 3) -> TokenModel:
     """M5: classifier on dense word vectors plus one-hot features.  Complement
     naive Bayes needs non-negative inputs and is refused for vectors."""
@@ -133,12 +159,10 @@ def train_embeddings(df: DataFrame, emb: DataFrame, dim: int, names=FEATURE_NAME
     _, one_hot_names = split_features(names, "train")
     enc = fit_one_hot(df, one_hot_names) if one_hot_names else None
     labels = _labels(df, label)
-    x = _indexed(embedding_vectors(df, names, emb, dim, enc), labels, label).select("x", "y")
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = _classifier(kind, max_iter or MAX_ITER["svm"], reg, tol, parallelism).fit(x)
-    finally:
-        x.unpersist()
+    columns = list(dict.fromkeys([*one_hot_names, "lemma", *(n for n in ("prev", "next") if n in names)]))
+    rows = _distinct_rows(df, [*columns, label])
+    x = _indexed(embedding_vectors(rows, names, emb, dim, enc), labels, label).select("x", "y", "w")
+    model = _fit(x, kind, max_iter or MAX_ITER["logreg_vectors" if kind == "logreg" else kind], c, tol, parallelism)
     return TokenModel(kind, names, labels, enc, model, dense_names=["lemma", "prev", "next"], emb=emb, dim=dim)
 
 
@@ -157,46 +181,45 @@ def _macro_f1(conf_rows) -> float:
     return sum(scores) / len(scores) if scores else 0.0
 
 
-def tune_svm(df: DataFrame, names=FEATURE_NAMES, label: str = LABEL, cs=(0.01, 0.1, 1.0),
-             tols=(1e-4, 1e-3, 1e-2, 1e-1), n_folds: int = 5, folds=None, max_iter: int = 2000,
-             parallelism: int = 4, seed: int = 29):
+def tune_svm(df: DataFrame, names=FEATURE_NAMES, label: str = LABEL, cs=GRID_C, tols=GRID_TOL, n_folds: int = N_FOLDS,
+             max_iter: int = MAX_ITER["svm_tuning"], parallelism: int = 4, seed: int = 29):
     """Grid over C x tol scored by macro F1 with document-grouped folds
     (hashed with their own seed, independent of ``split_documents``).
 
-    The one-hot vectors are encoded once and persisted; each (fold, grid
-    point) fit is submitted from a thread pool so Spark runs several at a
-    time; each score is computed from the confusion counts (at most
-    #classes^2 rows).  ``folds`` limits the validation folds used (all by
-    default).  Spark's LinearSVC has the hinge loss only, so the loss axis
-    collapses.  Returns the best model refitted on all rows and the scores.
+    The one-hot vectors are encoded once and persisted, equal rows of a fold
+    as one weighted row; each (fold, grid point) fit is submitted from a
+    thread pool so Spark runs several at a time; each score is computed from
+    the confusion counts (at most #classes^2 rows).  Spark's LinearSVC has the
+    hinge loss only, so the loss axis collapses.  Returns the best model
+    refitted on all rows and the scores.
     """
     from concurrent.futures import ThreadPoolExecutor
     names = list(names)
     enc = fit_one_hot(df, names)
     labels = _labels(df, label)
-    fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(n_folds)).cast("int")
-    x = enc.transform(df.select(fold.alias("fold"), feature_pairs(names).alias("feats"), F.col(label)))
-    x = _indexed(x.select("fold", F.col("onehot").alias("x", metadata={}), label), labels, label)
-    x = x.select("fold", "x", "y").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _distinct_rows(df.withColumn("fold", document_fold(n_folds, seed)), ["fold", *names, label])
+    x = enc.transform(rows.select("fold", feature_pairs(names).alias("feats"), F.col(label), "w"))
+    x = _indexed(x.select("fold", F.col("onehot").alias("x", metadata={}), label, "w"), labels, label)
+    x = x.select("fold", "x", "y", "w").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = x.count()
+        sizes = {r.fold: r.n for r in x.groupBy("fold").agg(F.sum("w").alias("n")).collect()}
         grid = [(c, t) for c in cs for t in tols]
-        folds = list(range(n_folds)) if folds is None else list(folds)
+        folds = sorted(sizes)
 
         def score(job):
             (c, t), k = job
-            clf = _classifier("svm", max_iter, c_to_reg(c, n), t, 1)
-            model = clf.fit(x.where(F.col("fold") != k))
+            n = sum(v for f, v in sizes.items() if f != k)
+            model = _classifier("svm", max_iter, c_to_reg(c, n), t, 1).fit(x.where(F.col("fold") != k))
             pred = model.transform(x.where(F.col("fold") == k))
-            conf = pred.groupBy("y", "yhat").agg(F.count(F.lit(1)).alias("n")).collect()
+            conf = pred.groupBy("y", "yhat").agg(F.sum("w").alias("n")).collect()
             return (c, t), _macro_f1([(r[0], r[1], r[2]) for r in conf])
 
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             out = list(pool.map(score, [(g, k) for g in grid for k in folds]))
         avg = {g: sum(v for gg, v in out if gg == g) / len(folds) for g in grid}
         best_c, best_t = max(grid, key=lambda g: avg[g])
-        best = _classifier("svm", max_iter, c_to_reg(best_c, n), best_t, parallelism).fit(x)
+        best = _classifier("svm", max_iter, c_to_reg(best_c, sum(sizes.values())), best_t, parallelism).fit(x)
     finally:
         x.unpersist()
-    results = [(float(c), float(t), float(avg[(c, t)])) for c, t in grid]
+    results = [(float(c), float(t), len(folds), float(avg[(c, t)])) for c, t in grid]
     return TokenModel("svm", names, labels, enc, best), results

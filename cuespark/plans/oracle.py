@@ -412,3 +412,81 @@ ORACLE["stream_token_features"] = q(f"""SELECT doc_id, tok_id, token, lemma, pos
   {flag(f'contains({PUNCT}, token)')} AS punct, {flag(prefix_any('token'))} AS prefix,
   {flag("suffix(token, 'less')")} AS suffix, {flag(infix_cond('token'))} AS infix,
   {flag(f'token IN {lst(TEST_ONE_WORD_CUES)}')} AS match_one, {strip_sql('token')} AS stripped FROM ann""")
+
+# --------------------------------------------------------------------------
+# Learning: split by a hash of the document id; naive Bayes in closed form,
+# counts for the iterative models
+# --------------------------------------------------------------------------
+
+_NAMES = ["token", "lemma", "prev", "next", "pos", "punct", "prefix", "suffix", "infix", "prev_tok_cue", "sbs_count", "match_one", "match_multi"]
+
+
+def _split_sql() -> str:
+    return """, sp AS MATERIALIZED (SELECT *, CASE WHEN ('0x' || substr(md5('17:' || doc_id), 1, 8))::BIGINT % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM features)"""
+
+
+def _terms(names) -> str:
+    return "[" + ", ".join(f"'{n}=' || CAST({n} AS VARCHAR)" for n in names) + "]"
+
+
+def _nb_sql(names, columns: str, where: str = "true", prefix: str = "") -> str:
+    """Complement naive Bayes: a class scores minus the log share that each
+    of the row's terms has among the rows of the other classes."""
+    return once(_split_sql() + f""", tr AS (SELECT unnest({_terms(names)}) AS term, negcuelabel AS y FROM sp WHERE split = 'train'),
+cnt AS (SELECT term, count(*) AS n, count(*) FILTER (y = 'B-NEG') AS b, count(*) FILTER (y = 'I-NEG') AS i, count(*) FILTER (y = 'O') AS o FROM tr GROUP BY term),
+tot AS (SELECT sum(n) AS n, sum(b) AS b, sum(i) AS i, sum(o) AS o, count(*) AS v FROM cnt),
+th AS (SELECT term, -ln((cnt.n - cnt.b + 1) / (tot.n - tot.b + v)) AS b, -ln((cnt.n - cnt.i + 1) / (tot.n - tot.i + v)) AS i,
+       -ln((cnt.n - cnt.o + 1) / (tot.n - tot.o + v)) AS o FROM cnt, tot),
+row_terms AS (SELECT doc_id, token_id, unnest({_terms(names)}) AS term FROM sp WHERE {where}),
+score AS (SELECT doc_id, token_id, coalesce(sum(b), 0) AS b, coalesce(sum(i), 0) AS i, coalesce(sum(o), 0) AS o FROM row_terms LEFT JOIN th USING (term) GROUP BY doc_id, token_id),
+out AS (SELECT doc_id, token_id, CASE WHEN b >= i AND b >= o THEN 'B-NEG' WHEN i >= o THEN 'I-NEG' ELSE 'O' END AS predicted FROM score)
+SELECT {prefix}{columns} FROM sp JOIN out USING (doc_id, token_id)""")
+
+
+ORACLE["train_nb"] = _nb_sql(_NAMES, "doc_id, token_id, split, negcuelabel, predicted")
+ORACLE["predict"] = _nb_sql(_NAMES, _FEAT17 + ", predicted", "split = 'test'")
+ORACLE["attach_predictions"] = _nb_sql(["lemma", "pos", "prev_tok_cue"], _FEAT17 + ", predicted")
+_TWO = [["lemma", "pos"], ["lemma", "pos", "prev_tok_cue"]]
+ORACLE["write_predictions"] = " UNION ALL ".join("SELECT * FROM (" + _nb_sql(n, _FEAT17 + ", predicted", "split = 'test'", f"'nb' AS model, '{'_'.join(n)}' AS feature_set, ") + ")" for n in _TWO)
+
+ORACLE["one_hot_rows"] = once(_split_sql() + f""", vocab AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM
+  (SELECT DISTINCT unnest({_terms(["lemma", "pos", "prefix", "sbs_count", "prev_tok_cue"])}) AS term FROM sp WHERE split = 'train')),
+rt AS (SELECT doc_id, token_id, unnest({_terms(["lemma", "pos", "prefix", "sbs_count", "prev_tok_cue"])}) AS term FROM sp)
+SELECT doc_id, token_id, coalesce(string_agg(idx::VARCHAR, ',' ORDER BY idx), '') AS indices FROM rt LEFT JOIN vocab USING (term) GROUP BY doc_id, token_id""")
+
+
+def _vector_sql(onehot, words) -> str:
+    joins = " ".join(f"LEFT JOIN nz {w}_ ON {w}_.word = sp.{w}" for w in words)
+    found = " + ".join(f"coalesce({w}_.n, 0)" for w in words)
+    return once(_EMB + _split_sql() + f""", nz AS (SELECT word, len(list_filter(embedding, lambda x: x <> 0)) AS n FROM emb),
+vocab AS (SELECT DISTINCT unnest({_terms(onehot)}) AS term FROM sp WHERE split = 'train'),
+rt AS (SELECT doc_id, token_id, unnest({_terms(onehot)}) AS term FROM sp),
+hot AS (SELECT doc_id, token_id, count(vocab.term) AS n FROM rt LEFT JOIN vocab USING (term) GROUP BY doc_id, token_id)
+SELECT sp.doc_id, sp.token_id, CAST({len(words)} * (SELECT max(len(embedding)) FROM embeddings) + (SELECT count(*) FROM vocab) AS INTEGER) AS dims,
+       CAST(hot.n + {found} AS INTEGER) AS nnz FROM sp JOIN hot USING (doc_id, token_id) {joins}""")
+
+
+ORACLE["embedding_features"] = _vector_sql(_ONEHOT_TRAIN, ["lemma", "prev", "next"])
+ORACLE["combine_vectors"] = _vector_sql(["pos", "prefix", "suffix"], ["lemma"])
+
+_FACTS = once(_split_sql() + """ SELECT split, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unpredicted, CAST(0 AS BIGINT) AS n_foreign, true AS reaches_majority FROM sp GROUP BY split""")
+for _k in ("train_svm", "train_logreg", "train_embeddings", "predict_tagger"):
+    ORACLE[_k] = _FACTS
+_TAGGER = ["lemma", "pos", "prefix", "suffix", "infix", "match_one", "match_multi", "prev_tok_cue"]
+ORACLE["train_tagger"] = once(_split_sql() + f""", v AS (SELECT count(DISTINCT term) AS n FROM (SELECT unnest({_terms(_TAGGER)}) AS term FROM sp WHERE split = 'train')),
+l AS (SELECT DISTINCT negcuelabel AS label FROM sp WHERE split = 'train')
+SELECT label, (SELECT n FROM v) + (SELECT count(*) FROM l) + 2 AS n_weights, (SELECT n FROM v) + (SELECT count(*) FROM l) + 2 AS n_terms, true AS fitted FROM l""")
+ORACLE["tune_svm"] = """SELECT c, tol, CAST(5 AS INTEGER) AS n_folds, true AS scored
+  FROM (VALUES (0.01::DOUBLE), (0.1::DOUBLE), (1.0::DOUBLE)) a(c), (VALUES (0.0001::DOUBLE), (0.001::DOUBLE), (0.01::DOUBLE), (0.1::DOUBLE)) b(tol)"""
+ORACLE["tune_tagger"] = "SELECT all_transitions, true AS scored FROM (VALUES (true), (false)) a(all_transitions)"
+
+
+def _ablation_sql() -> str:
+    from .ablation import distinct_sets, set_name
+    sets = ", ".join(f"('{set_name(s)}', {'true' if 'prev_tok_cue' in s else 'false'})" for s in distinct_sets())
+    return once(_split_sql() + f""" SELECT model, feature_set, uses_gold_context, (SELECT count(*) FROM sp WHERE split = 'test') AS n_rows,
+       CAST(0 AS BIGINT) AS n_unpredicted, CAST(0 AS BIGINT) AS n_foreign
+  FROM (VALUES ('svm'), ('tagger'), ('svm_vectors')) m(model), (VALUES {sets}) s(feature_set, uses_gold_context)""")
+
+
+ORACLE["feature_ablation"] = _ablation_sql()
