@@ -50,6 +50,7 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 25, 5   # at 0.8 a pair shares a band with probability 0.99995
 SLICES = 4
 FIRST = 2                  # pivots of a node that are verified first
+BROADCAST_ROWS = 200_000   # rows of two nodes that a join may broadcast
 
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
@@ -243,6 +244,12 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(_verifier(similarity), f"u {_NODE}, v {_NODE}")
 
 
+def _small(df: DataFrame, rows: int, name: str) -> DataFrame:
+    """A side of a join, of at most ``rows`` rows: broadcast if they are few,
+    else written, so that adaptive execution can split a hot key."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else materialize(df, name)
+
+
 def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """``node`` and ``root`` (smallest node of the component) of every node
     that has a link, by alternating large-star and small-star."""
@@ -250,12 +257,13 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("lo", "hi"))).first())
     before = mark(edges)
     while before[0]:
+        n = 2 * before[0]
         around = edges.select(F.col("lo").alias("x"), F.col("hi").alias("y")).union(edges.select("hi", "lo"))
-        least = materialize(around.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("m")), "large-star")
-        far = around.where("y > x").join(least, "x").select(F.col("m").alias("lo"), F.col("y").alias("hi")).where("lo < hi").distinct()
-        edges = materialize(far, "edges")
-        least = materialize(edges.groupBy("hi").agg(F.min("lo").alias("m")), "small-star")
-        near = edges.join(least, "hi").select("m", F.explode(F.array("hi", "lo")).alias("y"))
+        least = _small(around.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("m")), n, "large-star")
+        far = around.where("y > x").join(least, "x").select(F.col("m").alias("lo"), F.col("y").alias("hi")).where("lo < hi")
+        far = far if n <= BROADCAST_ROWS else materialize(far, "edges")
+        least = _small(far.groupBy("hi").agg(F.min("lo").alias("m")), n, "small-star")
+        near = far.join(least, "hi").select("m", F.explode(F.array("hi", "lo")).alias("y"))
         edges = materialize(near.select(F.col("m").alias("lo"), F.col("y").alias("hi")).where("lo < hi").distinct(), "edges")
         now = mark(edges)
         if now == before:
@@ -265,8 +273,9 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
 
 
 def _between(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one component."""
-    root = lambda c: comps.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    """The pairs whose ends are not in one component; ``comps``: written."""
+    n = comps.count()
+    root = lambda c: _small(comps.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), n, "roots")
     both = pairs.join(root("node"), "node", "left").join(root("pivot"), "pivot", "left")
     return both.where(~F.coalesce(F.col("node_root") == F.col("pivot_root"), F.lit(False))).select("node", "pivot", "shared")
 

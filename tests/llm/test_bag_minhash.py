@@ -133,7 +133,9 @@ def test_empty_and_wordless_tables(spark, make_docs):
     assert B.dedup(make_docs([])).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [B.BROADCAST_ROWS, 0])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(B, "BROADCAST_ROWS", few)
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 201), (201, 200), (5, 5)]
     df = spark.createDataFrame([(u, v) for u, v in links], "u bigint, v bigint")
     got = dict(tuple(r) for r in B.components(df).collect())
