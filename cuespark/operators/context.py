@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 4096
-DOC_BLOCK = 1 << 20
 
 _BLK, _HOME = "_blk", "_home"
 
@@ -235,27 +234,44 @@ def context_tokens(df: DataFrame, token: str = "token", wrap: bool = False, scop
 # Global corpus position
 # --------------------------------------------------------------------------
 
+def running_before(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """Sum of ``value`` over all rows before each row in ``order``, as column
+    ``name``, in two levels and without arithmetic on the order column.
+
+    The range-partitioned sort is written once; its files are numbered in
+    order, so the sum inside a file is a window over that file's rows and the
+    sum before a file comes from one row per file.
+    """
+    from ..session import materialize
+    s = materialize(df.orderBy(order), "sorted")
+    file = F.struct(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long").alias("task"),
+                    F.regexp_extract(F.col("_metadata.file_name"), r"-c(\d+)\.", 1).cast("int").alias("file"))
+    s = s.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    inside = Window.partitionBy("_file").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = s.groupBy("_file").agg(F.sum(value).alias("_t"))
+    files = files.select("_file", F.coalesce(F.sum("_t").over(across), F.lit(0)).alias("_off"))
+    s = s.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(files, "_file")
+    return s.withColumn(name, F.col("_in") + F.col("_off")).drop("_file", "_row", "_in", "_off")
+
+
+def document_offsets(doc_sizes: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """``(doc, _doff)``: tokens of all documents before each in ``doc`` order."""
+    d = doc_sizes.select(doc, F.col("n_tokens").cast("long").alias("_n"))
+    return running_before(d, doc, "_n", "_doff").select(doc, "_doff")
+
+
 def corpus_position(tokens: DataFrame, doc_sizes: DataFrame | None = None, doc: str = "doc_id",
-                    pos: str = "tok_id", name: str = "corpus_pos", doc_block: int = DOC_BLOCK) -> DataFrame:
-    """Dense position over all documents in ``doc`` order.
+                    pos: str = "tok_id", name: str = "corpus_pos") -> DataFrame:
+    """Dense position over all documents in ``doc`` order (ids of any
+    type that sorts).
 
-    Document offsets are an exclusive running sum over the per-document
-    token counts, done in two levels (inside blocks of ``doc_block`` ids,
-    then over the block totals), so no single task sorts the document table.
     ``doc_sizes`` may be given (e.g. computed from text lengths without
     exploding); otherwise it is counted from ``tokens``.
     """
     if doc_sizes is None:
         doc_sizes = tokens.groupBy(doc).agg(F.count(F.lit(1)).alias("n_tokens"))
-    d = doc_sizes.select(doc, F.col("n_tokens").cast("long").alias("_n"),
-                         F.floor(F.col(doc) / F.lit(doc_block)).cast("long").alias("_dblk"))
-    within = Window.partitionBy("_dblk").orderBy(doc).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_in", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-    totals = d.groupBy("_dblk").agg(F.sum("_n").alias("_t"))
-    across = Window.orderBy("_dblk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("_dblk", F.coalesce(F.sum("_t").over(across), F.lit(0)).alias("_boff"))
-    offsets = d.join(totals, "_dblk").select(doc, (F.col("_in") + F.col("_boff")).alias("_doff"))
-    return (tokens.join(offsets, doc, "left")
+    return (tokens.join(document_offsets(doc_sizes, doc), doc, "left")
                   .withColumn(name, (F.col("_doff") + F.col(pos)).cast("long")).drop("_doff"))
 
 

@@ -61,17 +61,21 @@ def sbs_counts(tokens: DataFrame, lex: DataFrame | None = None, n: int = NGRAM_S
                  .agg(F.sum(F.coalesce(F.col("n"), F.lit(0))).cast("long").alias("sbs_count")))
 
 
+def _attach(tokens: DataFrame, per_type: DataFrame, keys, name: str, token: str) -> DataFrame:
+    """Join ``name`` to the tokens that have an affix; for all others, most of
+    the corpus and its most frequent words, it is 0 without a shuffle."""
+    affixed = F.length(strip_affix(token)) > 0
+    zero = F.lit(0).cast("long")
+    hit = tokens.where(affixed).join(per_type, on=list(keys), how="left").withColumn(name, F.coalesce(F.col(name), zero))
+    rest = tokens.where(~F.coalesce(affixed, F.lit(False))).withColumn(name, zero)
+    return rest.unionByName(hit)
+
+
 def with_sbs_count(tokens: DataFrame, lex: DataFrame | None = None, n: int = NGRAM_SIZE,
                    token: str = "token", pos: str = "pos", types_from: DataFrame | None = None) -> DataFrame:
-    """A3: attach ``sbs_count`` (0 for tokens without affix).
-
-    The per-type table is joined back on ``(token, pos)``; it is a small
-    fraction of the token table, and AQE turns the join into a broadcast when
-    its measured size allows, or splits skewed partitions otherwise.
-    """
+    """A3: attach ``sbs_count`` (0 for tokens without affix)."""
     per_type = sbs_counts(tokens if types_from is None else types_from, lex, n, token, pos)
-    return (tokens.join(per_type, on=[token, pos], how="left")
-                  .withColumn("sbs_count", F.coalesce(F.col("sbs_count"), F.lit(0).cast("long"))))
+    return _attach(tokens, per_type, [token, pos], "sbs_count", token)
 
 
 def with_sbs_count_exact(tokens: DataFrame, lex_nopos: DataFrame | None = None, token: str = "token") -> DataFrame:
@@ -81,5 +85,4 @@ def with_sbs_count_exact(tokens: DataFrame, lex_nopos: DataFrame | None = None,
     per_type = (affixed_types(tokens, token, None)
                 .join(lex_nopos.withColumnRenamed("gram", "base"), on="base", how="left")
                 .select(token, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("sbs_count_exact")))
-    return (tokens.join(per_type, on=token, how="left")
-                  .withColumn("sbs_count_exact", F.coalesce(F.col("sbs_count_exact"), F.lit(0).cast("long"))))
+    return _attach(tokens, per_type, [token], "sbs_count_exact", token)

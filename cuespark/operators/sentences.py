@@ -42,10 +42,16 @@ def get_label(df: DataFrame, col: str = "negcuelabel", keys=("doc_id", "token_id
     return df.select(*keys, F.col(col).alias("label"))
 
 
-def first_n(df: DataFrame, n: int = 40000, order=("doc_id", "tok_id")) -> DataFrame:
-    """The first ``n`` tokens in corpus order (a top-n, planned as
-    TakeOrderedAndProject: per-partition top-n, then one merge of n rows)."""
-    return df.orderBy(*order).limit(n)
+def first_n(docs: DataFrame, n: int = 40000, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The first ``n`` tokens in corpus order.  Documents that start at
+    or after token ``n`` (from their token counts) are left out before the
+    others are tokenised and cut."""
+    from ..sources.documents import token_counts, tokenize
+    from .context import document_offsets
+    offsets = document_offsets(token_counts(docs, text, keep=(doc,)), doc).where(F.col("_doff") < n)
+    kept = docs.join(offsets, doc)
+    tokens = tokenize(kept, text, keep=(*[c for c in docs.columns if c != text], "_doff"))
+    return tokens.where(F.col("_doff") + F.col("tok_id") < n).drop("_doff")
 
 
 def split_features(names, variant: str = "train"):

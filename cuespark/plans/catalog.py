@@ -250,7 +250,8 @@ def q_get_label(spark, sf_dir):
 
 @register("first_n_tokens")
 def q_first_n(spark, sf_dir):
-    return S.first_n(_tok(spark, sf_dir).select("doc_id", "tok_id", "token"), 40000)
+    docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return S.first_n(docs, 40000).select("doc_id", "tok_id", "token")
 
 
 def _sentences(spark, sf_dir, keep_tail):

@@ -85,6 +85,6 @@ def test_context_tokens_wrap(spark):
 def test_corpus_position_dense(spark):
     data = [(d, i, "t") for d, n in [(3, 2), (0, 3), (7, 1)] for i in range(n)]
     df = spark.createDataFrame(data, "doc_id long, tok_id int, token string")
-    out = C.corpus_position(df, doc_block=2).orderBy("corpus_pos").collect()
+    out = C.corpus_position(df).orderBy("corpus_pos").collect()
     assert [(r.doc_id, r.tok_id) for r in out] == [(0, 0), (0, 1), (0, 2), (3, 0), (3, 1), (7, 0)]
     assert [r.corpus_pos for r in out] == list(range(6))

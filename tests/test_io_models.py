@@ -117,3 +117,95 @@ def test_tagger_cuts_sentences_itself_without_a_sentence_column(spark):
 def test_tune_tagger_covers_the_grid(spark):
     got = TG.tune_tagger(_labelled(spark), ["lemma"], n_folds=2, max_iter=5)
     assert sorted(got.all_transitions) == [False, True] and got.macro_f1.between(0, 1).all()
+
+
+def _varied(spark, n=240):
+    """Labels that lemma and tag decide for most rows, with some noise."""
+    import random
+    rnd, rows = random.Random(12), []
+    for i in range(n):
+        lemma, pos = rnd.choice(["no", "not", "cat", "dog", "run"]), rnd.choice(["NN", "VB"])
+        lab = "B-NEG" if lemma in ("no", "not") and rnd.random() < 0.9 else "I-NEG" if lemma == "run" and pos == "VB" else "O"
+        rows.append((f"d{i // 8}", i % 8, lemma, lemma, pos, lab))
+    return spark.createDataFrame(rows, "doc_id string, token_id int, token string, lemma string, pos string, negcuelabel string")
+
+
+def test_weighted_distinct_rows_fit_the_same_model(spark):
+    """Fits on equal rows as one weighted row and on single rows agree."""
+    import numpy as np
+    df = _varied(spark)
+    for kind in ("nb", "logreg"):
+        m = M.train(df, ["lemma", "pos"], kind=kind)
+        rows = m.encoder.transform(df.select(M.feature_pairs(["lemma", "pos"]).alias("feats"), "negcuelabel"))
+        x = M._indexed(rows.select(F.col("onehot").alias("x", metadata={}), "negcuelabel", F.lit(1.0).alias("w")), m.labels, "negcuelabel")
+        single = M._fit(x.select("x", "y", "w"), kind, None, M.C, 1e-4, 1)
+        one, two = (np.array(a.theta.toArray() if kind == "nb" else a.coefficientMatrix.toArray()) for a in (m.model, single))
+        assert np.allclose(one, two, atol=1e-3)
+
+
+def test_tune_svm_scores_every_fold_and_grid_point(spark):
+    best, scores = M.tune_svm(_varied(spark), ["lemma", "pos"], cs=(0.1, 1.0), tols=(1e-2, 1e-1), n_folds=3)
+    assert [(c, t, n) for c, t, n, _ in scores] == [(c, t, 3) for c in (0.1, 1.0) for t in (1e-2, 1e-1)]
+    assert all(0 < s <= 1 for *_, s in scores) and best.kind == "svm"
+
+
+def test_embeddings_and_ablation(spark):
+    import pytest
+
+    from cuespark.plans import ablation as Ab
+    df = _varied(spark).withColumn("prev", F.lit("cat")).withColumn("next", F.lit("")).withColumn("prev_tok_cue", F.lit("0"))
+    emb = spark.createDataFrame([("no", [1.0, 0.0]), ("not", [0.9, 0.1]), ("cat", [0.0, 1.0])], "word string, embedding array<float>")
+    m = M.train_embeddings(df, emb, 2, ["lemma", "pos"], kind="logreg")
+    acc = m.predict(df).select(F.avg((F.col("predicted") == F.col("negcuelabel")).cast("double"))).first()[0]
+    assert acc > 0.7
+    with pytest.raises(ValueError):
+        Ab.ablate(df, df, sets=[["lemma"]], models=("svm_vectors",))
+    with pytest.raises(ValueError):
+        M.train_embeddings(df, emb, 2, ["lemma"], kind="nb")
+    pred = Ab.ablate(df, df, sets=[["lemma"], ["lemma", "prev_tok_cue"], ["lemma"]], models=("nb", "svm_vectors"), emb=emb, dim=2)
+    assert pred.count() == 4 * df.count()
+    rep = Ab.score_runs(pred, df).select("feature_set", "uses_gold_context").distinct().collect()
+    assert {tuple(r) for r in rep} == {("lemma", False), ("lemma+prev_tok_cue", True)}
+
+
+def test_labelled_token_file_to_features(spark):
+    """Six columns, string ids, label last: the label is lagged, not ruled."""
+    from cuespark.operators.annotate import annotate_rules
+    from cuespark.plans import relations as R
+    rows = [("x-1", 0, i, t, "_", lab) for i, (t, lab) in enumerate([("He", "O"), ("is", "O"), ("not", "B-NEG"), ("here", "O"), (".", "O")])]
+    path, out = scratch_path(spark, "raw"), scratch_path(spark, "feat")
+    df = spark.createDataFrame(rows, "doc_id string, sentence_id int, token_id int, token string, c4 string, label string")
+    IO.write_token_lines(df, path, df.columns)
+    tok = annotate_rules(IO.read_tokens(spark, path)).withColumnRenamed("token_id", "tok_id").drop("sentence_id")
+    IO.write_features(R.features_from_tokens(tok, label_rule=None), out)
+    got = {r.token_id: r for r in IO.read_features(spark, out).collect()}
+    assert got[0].doc_id == "x-1" and got[0].prev_tok_cue == "0" and got[3].prev_tok_cue == "B-NEG" and got[2].negcuelabel == "B-NEG"
+    labels = IO.read_labels(spark, out)
+    assert labels.columns == ["doc_id", "token_id", "negcuelabel"] and labels.where("negcuelabel = 'B-NEG'").count() == 1
+
+
+def test_plain_system_files(spark, tmp_path):
+    head = "doc_id\ttoken_id\ttoken\tpredicted\n"
+    (tmp_path / "run_sys_a.txt").write_text(head + "x\t0\tno\tB-NEG\n")
+    (tmp_path / "run_b.txt").write_text(head + "x\t0\t\"\tO\n")
+    (tmp_path / "other.txt").write_text(head + "x\t0\tno\tO\n")
+    got = IO.read_system_files(spark, str(tmp_path), "run").collect()
+    assert {(r.system, r.token, r.predicted) for r in got} == {("run-sys-a", "no", "B-NEG"), ("run-b", '"', "O")}
+
+
+def test_join_annotations_check_counts(spark):
+    import pytest
+
+    from cuespark.operators.annotate import join_annotations
+    tok = spark.createDataFrame([(1, 0, "a"), (1, 1, "b")], "doc_id long, tok_id int, token string")
+    ann = spark.createDataFrame([(1, 0, "a", "NN")], "doc_id long, tok_id int, lemma string, pos string")
+    with pytest.raises(ValueError):
+        join_annotations(tok, ann, check=True)
+
+
+def test_code_travels_with_the_job():
+    """Functions of the package are pickled by value."""
+    from pyspark import cloudpickle
+
+    raw = cloudpickle.dumps(TG._pad)
+    assert b"cuespark.plans.tagger" not in raw.split(b"_pad")[0][:40] and len(raw) > 500

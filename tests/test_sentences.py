@@ -33,4 +33,6 @@ def test_feature_pairs_and_split(spark):
         ["lemma=a", "punct=1"]
     dense, one_hot = S.split_features(["token", "lemma", "prev", "pos"], "train")
     assert dense == ["lemma", "prev"] and one_hot == ["pos"]
-    assert S.first_n(_doc(spark, list("abcdef")), 2).count() == 2
+    docs = spark.createDataFrame([("d10", "a b"), ("d2", "f g h"), ("d1", ""), ("d11", "c d e")], "doc_id string, text string")
+    got = [tuple(r) for r in S.first_n(docs, 4).orderBy("doc_id", "tok_id").select("doc_id", "tok_id", "token").collect()]
+    assert got == [("d10", 0, "a"), ("d10", 1, "b"), ("d11", 0, "c"), ("d11", 1, "d")]

@@ -67,3 +67,30 @@ def test_read_vector_table_text(spark):
         fh.write("cat 1 2\n\ndog 3.5 -4\n")
     rows = {r.word: list(r.embedding) for r in V.read_vector_table(spark, path, fmt="text").collect()}
     assert rows == {"cat": [1.0, 2.0], "dog": [3.5, -4.0]}
+
+
+def test_ranks_are_distinct_when_a_task_writes_several_files(spark):
+    from cuespark.operators.context import corpus_position
+    from cuespark.operators.vectors import rank_sorted
+    df = spark.range(0, 500).selectExpr("concat('k', lpad(id, 4, '0')) as doc_id", "cast(0 as int) as tok_id")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)
+    try:
+        ranks = [r.idx for r in rank_sorted(df, "doc_id").orderBy("doc_id").collect()]
+        places = [r.corpus_pos for r in corpus_position(df).orderBy("doc_id").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert ranks == list(range(500)) and places == list(range(500))
+
+
+def test_encoder_columns_are_the_sorted_ranks(spark):
+    from pyspark.sql import functions as F
+
+    from cuespark.operators import vectors as V
+    from cuespark.operators.sentences import feature_pairs
+    fit = spark.createDataFrame([("b", 2), ("a", 1), ("c", 10)], "lemma string, n int")
+    enc = V.fit_one_hot(fit, ["lemma", "n"])
+    ranks = {r.term: r.idx for r in V.vocabulary_table(fit, ["lemma", "n"]).collect()}
+    assert enc.vocabulary == sorted(ranks) and [ranks[t] for t in enc.vocabulary] == list(range(6))
+    x = enc.transform(spark.createDataFrame([("a", 10), ("zz", 3)], "lemma string, n int").withColumn("feats", feature_pairs(["lemma", "n"])))
+    size, nnz, idx = V.vector_entries(F.col("onehot"))
+    assert sorted(tuple(r) for r in x.select(size, nnz, idx).collect()) == [(6, 0, []), (6, 2, [ranks["lemma=a"], ranks["n=10"]])]
