@@ -4,7 +4,7 @@ Normalised lines (stripped of white space at both ends, lower-cased) are
 hashed together with their host; a host's line is frequent if it stands in
 more distinct documents of the host than both limits: ``min_docs`` and
 ``share`` of the host's distinct documents.  Frequent lines are removed, and
-a document with too few words left is rejected.  Documents are distinct by
+a document with too small a share of its words left is rejected.  Documents are distinct by
 text, so exact copies count once.
 
 DataFrame functions only.  Lines travel as 64-bit hashes; the two counts are
@@ -126,8 +126,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", keep=None,
     rows = rows.join(F.broadcast(out) if _few(out) else out, "_doc", "left")
     gone = F.aggregate(F.coalesce("_out", F.array().cast(out.schema["_out"].dataType)), F.lit(0), lambda a, x: a + x["_n"])
     rows = rows.withColumn("n_left", F.col("n_words") - gone).withColumn("removed", F.transform("_out", lambda x: x["_at"])).drop("_out", "_doc")
-    left = (F.col("n_left") >= MIN_WORDS) & (F.col("n_left") >= F.col("n_words") * min_left)
-    return rows.withColumn("kept", ~F.col("base_failed") & left)
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("n_left") >= F.col("n_words") * min_left))
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:

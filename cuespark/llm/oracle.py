@@ -42,7 +42,7 @@ m AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(length(list_aggregate
       FROM w LEFT JOIN rep USING (r) LEFT JOIN cut USING (r)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_left,
-       NOT base_failed AND n_left >= 20 AND n_left >= n_words * 0.3 AS kept FROM b"""
+       NOT base_failed AND n_left >= n_words * 0.3 AS kept FROM b"""
 
 ORACLE["op7_line_dedup"] = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),

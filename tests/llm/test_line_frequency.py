@@ -32,7 +32,7 @@ def brute(docs, min_docs, share):
     for d, t, h in docs:
         b = base(t)
         left = b[0] - sum(len(WORD.findall(x)) for x in (t or "").split("\n") if (h, norm(x)) in freq)
-        kept = not b[5] and left >= 20 and left >= 0.3 * b[0]
+        kept = not b[5] and left >= 0.3 * b[0]
         text = "\n".join(x for x in (t or "").split("\n") if (h, norm(x)) not in freq) if kept else None
         out.append((d, *b, left, kept, text))
     return out
