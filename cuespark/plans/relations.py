@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cues import MULTI_WORD_CUES, ONE_WORD_CUES, TEST_MULTI_WORD_CUES, TEST_ONE_WORD_CUES
-from ..functions.text import has_neg_infix, has_neg_prefix, has_neg_suffix, is_punct, match_one
+from ..functions.text import match_one, token_flags
 from ..operators.annotate import annotate_rules, rule_lemma, rule_pos
 from ..operators.context import literal_forms, ordered_context, span_forms, tokenize_with_context
 from ..operators.lexicon import with_sbs_count
@@ -117,8 +117,7 @@ def _finish(ctx: DataFrame, one_cues, multi_cues, multi_mode, label_rule, keep_e
     hit = forms[0].isin(multi)
     for e in forms[1:]:
         hit = hit | e.isin(multi)
-    flags = {"punct": is_punct(t), "prefix": has_neg_prefix(t), "suffix": has_neg_suffix(t),
-             "infix": has_neg_infix(t), "match_one": match_one(t, one_cues),
+    flags = {**token_flags("token"), "match_one": match_one(t, one_cues),
              "match_multi": F.when(hit, F.lit(1)).otherwise(F.lit(0))}
     out = ctx.select("*", *[v.alias(k) for k, v in flags.items()])
     # the lexicon needs only (token, pos): count types before any shuffle
