@@ -33,6 +33,7 @@ HEADLINE = [
     "classification_report",
     "error_rows",           # J5
     "train_nb",             # M1 + M4 + M8 on the whole table
+    "train_svm",            # M2 to the solver's tolerance
     "predict_tagger",       # M9 + M10 CRF train + Viterbi
 ]
 

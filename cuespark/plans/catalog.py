@@ -778,3 +778,7 @@ def q_feature_ablation(spark, sf_dir):
     pred = Ab.ablate(train, test, emb=emb, dim=dim)
     facts = prediction_facts(pred.join(test.select("doc_id", "token_id", "negcuelabel"), ["doc_id", "token_id"]), by=("model", "feature_set"))
     return facts.select("model", "feature_set", Ab.leaks(F.col("feature_set")).alias("uses_gold_context"), "n_rows", "n_unpredicted", "n_foreign")
+
+
+# many fits each: run after everything else
+LONG_RUNNING = ("train_embeddings", "tune_svm", "tune_tagger", "feature_ablation")
