@@ -144,7 +144,7 @@ def test_weighted_distinct_rows_fit_the_same_model(spark):
 
 
 def test_tune_svm_scores_every_fold_and_grid_point(spark):
-    best, scores = M.tune_svm(_varied(spark), ["lemma", "pos"], cs=(0.1, 1.0), tols=(1e-2, 1e-1), n_folds=3)
+    best, scores = M.tune_svm(_varied(spark), ["lemma", "pos"], cs=(0.1, 1.0), tols=(1e-2, 1e-1), n_folds=3, max_iter=8)
     assert [(c, t, n) for c, t, n, _ in scores] == [(c, t, 3) for c in (0.1, 1.0) for t in (1e-2, 1e-1)]
     assert all(0 < s <= 1 for *_, s in scores) and best.kind == "svm"
 
@@ -162,7 +162,7 @@ def test_embeddings_and_ablation(spark):
         Ab.ablate(df, df, sets=[["lemma"]], models=("svm_vectors",))
     with pytest.raises(ValueError):
         M.train_embeddings(df, emb, 2, ["lemma"], kind="nb")
-    pred = Ab.ablate(df, df, sets=[["lemma"], ["lemma", "prev_tok_cue"], ["lemma"]], models=("nb", "svm_vectors"), emb=emb, dim=2)
+    pred = Ab.ablate(df, df, sets=[["lemma"], ["lemma", "prev_tok_cue"], ["lemma"]], models=("nb", "svm_vectors"), emb=emb, dim=2, max_iter=8)
     assert pred.count() == 4 * df.count()
     rep = Ab.score_runs(pred, df).select("feature_set", "uses_gold_context").distinct().collect()
     assert {tuple(r) for r in rep} == {("lemma", False), ("lemma+prev_tok_cue", True)}
