@@ -27,8 +27,10 @@ Steps, all as joins and aggregations over written tables:
 
 Defined results: texts without words (null, empty) are near copies of
 nothing, each row is a class of its own; repeated rows and equal multisets
-share a class; a class is named by its smallest id, null before all; an empty
-table gives no rows; only the id and text columns are read.
+share a class; a class is shown by its smallest id, null before all, which
+several classes can have in common (null or repeated ids): classes are told
+apart by their root.  One row of a class is kept, of the smallest id and
+hash.  An empty table gives no rows; only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -281,9 +283,10 @@ def _between(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``rid``, ``id``, ``n`` shingles and ``class_id`` (smallest id of the
-    class) of every document row."""
-    signed = materialize(sign(docs, doc_id, text), "signed")
+    """``rid``, ``seq`` (a number of the row), ``id``, ``n`` shingles,
+    ``class_id`` (smallest id of the class) and ``root`` (the class itself;
+    null without words) of every document row."""
+    signed = materialize(sign(docs, doc_id, text).withColumn("seq", F.monotonically_increasing_id()), "signed")
     nodes = materialize(signed.where("n > 0").groupBy("node").agg(F.min(F.struct("id", "rid")).alias("doc"), F.first("bands").alias("bands")), "nodes")
     pairs = materialize(candidate_pairs(nodes), "pairs")
     # the texts of the documents in pairs, once per node
@@ -304,22 +307,31 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
 
     named = nodes.select("node", F.col("doc.id").alias("id")).join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min(F.struct("id")).alias("first"))
-    named = materialize(named.join(names, "root").select("node", F.col("first.id").alias("class_id")), "classes")
-    alone = signed.where("n = 0").select("rid", "id", "n", F.col("id").alias("class_id"))
-    return signed.where("n > 0").join(named, "node").select("rid", "id", "n", "class_id").union(alone)
+    named = materialize(named.join(names, "root").select("node", "root", F.col("first.id").alias("class_id")), "classes")
+    alone = signed.where("n = 0").select("rid", "seq", "id", "n", F.col("id").alias("class_id"), F.lit(None).cast(_NODE).alias("root"))
+    return signed.where("n > 0").join(named, "node").select("rid", "seq", "id", "n", "class_id", "root").union(alone)
+
+
+def _stay(table: DataFrame) -> DataFrame:
+    """``rid`` and ``seq`` of the row of each class that stays; rows without
+    words are not in it."""
+    first = table.where("n > 0").groupBy("root").agg(F.min(F.struct("id", "rid", "seq")).alias("m"))
+    return first.select("m.rid", "m.seq")
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """One row per document row: id, class, shingles, and whether it is the
     document of its class that stays."""
-    return classes(docs, doc_id, **options).select(F.col("id").alias(doc_id), "class_id", F.col("n").alias("n_shingles"),
-                                                   F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
+    table = materialize(classes(docs, doc_id, **options), "near-classes")
+    stay = materialize(_stay(table).select("seq", F.lit(True).alias("stays")), "near-kept")
+    kept = F.coalesce(F.col("stays"), F.col("n") == 0)
+    return table.join(stay, "seq", "left").select(F.col("id").alias(doc_id), "class_id", F.col("n").alias("n_shingles"), kept.alias("kept"))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of every class, and all without words; columns unchanged."""
     table = materialize(classes(docs, doc_id, text, **options), "near-classes")
-    stay = materialize(table.where("n > 0").groupBy("class_id").agg(F.min(F.struct("id", "rid")).alias("m")).select("m.rid"), "near-kept")
+    stay = materialize(_stay(table).select("rid"), "near-kept")
     rows = docs.select(row_id(F.col(doc_id), F.col(text)).alias("rid"), F.struct(*docs.columns).alias("row"))
     said = F.coalesce(F.col("row")[text].rlike(HAS_WORD), F.lit(False))
     kept = rows.where(said).join(stay.hint("merge"), "rid", "left_semi").dropDuplicates(["rid"])

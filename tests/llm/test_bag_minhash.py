@@ -141,3 +141,31 @@ def test_components(spark, monkeypatch, few):
     got = dict(tuple(r) for r in B.components(df).collect())
     want = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {200: 200, 201: 200}
     assert got == want
+
+
+def brute_components(docs, similarity=0.8):
+    """Sets of row numbers, whatever the rows' ids; rows without words alone."""
+    bags, parts = [bag(t) for _, t in docs], []
+    for i, a in enumerate(bags):
+        near = [p for p in parts if any(a and bags[j] and jaccard(a, bags[j]) >= similarity for j in p)]
+        parts = [p for p in parts if p not in near] + [{i}.union(*near)]
+    return parts
+
+
+def test_classes_with_one_name_stay_apart(spark, make_docs):
+    """Null and repeated ids on unrelated texts, with copies of some."""
+    text = lambda c, n=30: " ".join(f"{c}{i}" for i in range(n))
+    docs = [(None, text("a")), (None, text("b")), (7, text("b")), (3, text("c")), (3, text("d")), (5, text("d") + " tail"),
+            (None, None), (None, ""), (3, text("c")), (None, text("a")), (3, " ")]
+    want = Counter((min(docs[i][0] is not None and docs[i][0] or -1 for i in p), len(p), len(bag(docs[min(p)][1]))) for p in brute_components(docs))
+    got = B.classes(make_docs(docs)).collect()
+    by_root = {}
+    for r in got:
+        by_root.setdefault(r.root or r.seq, []).append(r)
+    assert Counter((-1 if p[0].class_id is None else p[0].class_id, len(p), min(r.n for r in p)) for p in by_root.values()) == want
+
+    kept = [docs[min(p, key=lambda i: (docs[i][0] is not None, docs[i][0] or 0))] for p in brute_components(docs)]
+    assert Counter((r.doc_id, r.text) for r in B.dedup(make_docs(docs)).collect()) == Counter(kept)
+    report = B.report(make_docs(docs)).collect()
+    assert len(report) == len(docs)
+    assert Counter((r.doc_id, r.n_shingles) for r in report if r.kept) == Counter((d, sum(bag(t).values())) for d, t in kept)
