@@ -19,11 +19,16 @@ Steps, all as joins and aggregations over written tables:
 1. one pass over the texts gives every row its multiset's 128-bit sum, its
    size and ``BANDS`` band hashes; equal multisets become one node;
 2. buckets of two or more nodes; in each, ``SLICES`` pivots (the members with
-   the most bucket mates, in random slices) are paired with all members, so a
-   bucket gives pairs in proportion to its size, never all of them;
+   the most bucket mates, in random slices) are paired with all members;
 3. pairs are verified on the multisets themselves: the two closest pivots of
    each node first, then all pairs still between different components;
-4. components by alternating large-star and small-star.
+4. components by alternating large-star and small-star;
+5. buckets whose members beside the pivots are still of different components
+   are open.  An exact join of their nodes finds every link between them that
+   is left: with the shingles of each in one order, rarest first, two near
+   copies have their first common shingle so early in both that enough can
+   follow it (prefix and position filter).  Those pairs are verified too, so
+   no two nodes of a bucket go without being compared or ruled out.
 
 Defined results: texts without words (null, empty) are near copies of
 nothing, each row is a class of its own; repeated rows and equal multisets
@@ -53,6 +58,7 @@ BANDS, BAND_ROWS = 25, 5   # at 0.8 a pair shares a band with probability 0.9999
 SLICES = 4
 FIRST = 2                  # pivots of a node that are verified first
 BROADCAST_ROWS = 200_000   # rows of two nodes that a join may broadcast
+SLOT_BITS = 20             # shingles are ordered by the counts of 2^20 slots
 
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
@@ -206,6 +212,48 @@ def _verifier(similarity: float):
     return run
 
 
+def _slots(x) -> np.ndarray:
+    return (mix64(x.view(np.uint64)) >> _U(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _slot_counter():
+    def run(batches):
+        total = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            ends = np.asarray(batch.column("x").offsets)
+            total += np.bincount(_slots(np.asarray(batch.column("x").values)[ends[0]:ends[-1]]), minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
+
+    return run
+
+
+def prefix(x, c, ends, counts, similarity: float):
+    """Row, shingle, units from it on and all units, of the shingles that can
+    be the first common one of a row and a near copy: rows are put in the
+    order of slot counts and hashes."""
+    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    x, c = x[ends[0]:ends[-1]], c[ends[0]:ends[-1]].astype(np.int64)
+    order = np.lexsort((x, counts[_slots(x)], row))
+    x, c = x[order], c[order]
+    n = np.bincount(row, c, len(ends) - 1).astype(np.int64)
+    left = np.cumsum(n)[row] - np.cumsum(c) + c
+    on = left >= similarity * n[row] - 1e-6
+    return row[on], x[on], left[on], n[row[on]]
+
+
+def _prefixer(counts, similarity: float):
+    def run(batches):
+        for batch in batches:
+            xs, cs = batch.column("x"), batch.column("c")
+            row, x, left, n = prefix(np.asarray(xs.values), np.asarray(cs.values), np.asarray(xs.offsets), counts.value, similarity)
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(x), batch.column("node").take(row), batch.column("root").take(row), pa.array(left), pa.array(n)],
+                                             names=["x", "node", "root", "left", "n"])
+
+    return run
+
+
 # ---- plans -------------------------------------------------------------------
 
 _NODE = "struct<a:bigint,b:bigint>"
@@ -223,9 +271,10 @@ def sign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = S
     return rows.mapInArrow(_signer(k, bands, size), f"rid {_NODE}, id {kind}, node {_NODE}, n bigint, bands array<bigint>")
 
 
-def candidate_pairs(nodes: DataFrame, slices: int = SLICES) -> DataFrame:
-    """``u``, ``v`` and the bands ``shared`` of members and pivots of common
-    buckets; ``nodes``: a written table of ``node`` and ``bands``."""
+def candidate_pairs(nodes: DataFrame, slices: int = SLICES) -> tuple[DataFrame, DataFrame]:
+    """``node``, ``pivot`` and the bands ``shared`` of members and pivots of
+    common buckets, and ``bucket``, ``node`` of the members that are no pivot;
+    ``nodes``: a written table of ``node`` and ``bands``."""
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = materialize(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     members = materialize(rows.join(sizes, "bucket"), "bucket-members")
@@ -234,7 +283,42 @@ def candidate_pairs(nodes: DataFrame, slices: int = SLICES) -> DataFrame:
     pivots = ranked.groupBy("bucket", "slice").agg(F.max(F.struct("mates", "node")).alias("top"))
     pivots = materialize(pivots.select("bucket", F.col("top.node").alias("pivot")), "pivots")
     pairs = members.join(pivots, "bucket").where(F.col("node") != F.col("pivot")).select("node", "pivot")
-    return pairs.groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("shared"))
+    others = members.select("bucket", "node").join(pivots.withColumnRenamed("pivot", "node"), ["bucket", "node"], "left_anti")
+    return pairs.groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("shared")), others
+
+
+def open_nodes(others: DataFrame, comps: DataFrame) -> DataFrame:
+    """``node`` and ``root`` of the members (no pivots) of buckets that have
+    such members of different components; ``comps``: written."""
+    root = _small(comps, comps.count(), "roots")
+    rooted = materialize(others.join(root, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root")), "bucket-roots")
+    opened = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
+    return rooted.join(materialize(opened, "open-buckets"), "bucket", "left_semi").select("node", "root").distinct()
+
+
+def prefix_pairs(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``node`` and ``pivot`` of different roots among ``nodes`` (written:
+    ``node``, ``root``), with all that are near copies: the pairs that share a
+    shingle of their prefixes at which the overlap can still be large enough.
+    A shingle's most frequent root is only joined with its other roots."""
+    mine = sets.join(nodes, "node")
+    slots = mine.select("x").mapInArrow(_slot_counter(), "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    counts[slots["slot"].to_numpy()] = slots["n"].to_numpy()
+    counts = sets.sparkSession.sparkContext.broadcast(counts)
+    rows = materialize(mine.select("node", "root", "x", "c").mapInArrow(
+        _prefixer(counts, similarity), f"x bigint, node {_NODE}, root {_NODE}, left bigint, n bigint"), "prefixes")
+    # a near copy's size is at least similarity x n, the smaller one of a pair has its first common shingle earlier
+    small = F.max(F.col("left") * (1 + similarity) >= 2 * similarity * F.col("n") - 1e-6).alias("small")
+    roots = rows.groupBy("x", "root").agg(F.count(F.lit(1)).alias("k"), small)
+    tops = roots.groupBy("x").agg(F.max(F.struct("k", "root")).alias("top"), F.count(F.lit(1)).alias("roots"), F.max("small").alias("small"))
+    tops = materialize(tops.where("roots > 1 and small").select("x", F.col("top.root").alias("top")), "prefix-shingles")
+    shared = materialize(rows.join(tops, "x"), "shared-prefixes")
+    one, two = shared.where("root != top").alias("o"), shared.drop("top").alias("p")
+    once = (F.col("p.root") == F.col("o.top")) | (F.col("o.node") < F.col("p.node"))
+    enough = F.least("o.left", "p.left") * (1 + similarity) >= similarity * (F.col("o.n") + F.col("p.n")) - 1e-6
+    both = one.join(two, (F.col("o.x") == F.col("p.x")) & (F.col("o.root") != F.col("p.root")) & once & enough)
+    return both.select(F.least("o.node", "p.node").alias("node"), F.greatest("o.node", "p.node").alias("pivot")).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -288,7 +372,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     null without words) of every document row."""
     signed = materialize(sign(docs, doc_id, text).withColumn("seq", F.monotonically_increasing_id()), "signed")
     nodes = materialize(signed.where("n > 0").groupBy("node").agg(F.min(F.struct("id", "rid")).alias("doc"), F.first("bands").alias("bands")), "nodes")
-    pairs = materialize(candidate_pairs(nodes), "pairs")
+    pairs, others = candidate_pairs(nodes)
+    pairs = materialize(pairs, "pairs")
     # the texts of the documents in pairs, once per node
     ends = pairs.select("node").union(pairs.select("pivot")).distinct()
     rids = materialize(nodes.join(ends, "node", "left_semi").select(F.col("doc.rid").alias("rid")), "pair-rows")
@@ -303,7 +388,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     comps = components(links)
     rest = _between(pairs.join(first, ["node", "pivot"], "left_anti"), materialize(comps, "components"))
     more = materialize(verified(materialize(rest, "open-pairs"), sets, similarity), "links")
-    comps = materialize(components(links.union(more)), "components")
+    links = links.union(more)
+    comps = materialize(components(links), "components")
+    opened = materialize(open_nodes(others, comps), "open-nodes")
+    if not opened.isEmpty():
+        last = materialize(prefix_pairs(opened, sets, similarity), "prefix-pairs")
+        comps = materialize(components(links.union(materialize(verified(last, sets, similarity), "links"))), "components")
 
     named = nodes.select("node", F.col("doc.id").alias("id")).join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min(F.struct("id")).alias("first"))

@@ -169,3 +169,32 @@ def test_classes_with_one_name_stay_apart(spark, make_docs):
     report = B.report(make_docs(docs)).collect()
     assert len(report) == len(docs)
     assert Counter((r.doc_id, r.n_shingles) for r in report if r.kept) == Counter((d, sum(bag(t).values())) for d, t in kept)
+
+
+def test_prefixes_keep_every_near_pair():
+    """The first common shingle of near copies passes the filters."""
+    rnd, counts = np.random.default_rng(5), np.zeros(1 << B.SLOT_BITS, np.int64)
+    seen = 0
+    for _ in range(300):
+        x = rnd.integers(0, 2**63, 30, dtype=np.uint64) * np.uint64(2)
+        counts[B._slots(x)] = rnd.integers(1, 9, 30)
+        c = rnd.integers(1, 4, 30)
+        two = [(np.sort(x[k]), c[k][np.argsort(x[k])]) for k in (np.sort(rnd.choice(30, rnd.integers(24, 31), replace=False)) for _ in "ab")]
+        ends = np.cumsum([0, *(len(h) for h, _ in two)])
+        row, h, left, n = B.prefix(np.concatenate([h for h, _ in two]).view(np.int64), np.concatenate([w for _, w in two]), ends, counts, 0.8)
+        a, b = ({k: (m, t) for r, k, m, t in zip(row, h, left, n) if r == i} for i in (0, 1))
+        if B.overlap(*two[0], *two[1]) >= 0.8:
+            seen += 1
+            assert any(1.8 * min(a[k][0], b[k][0]) >= 0.8 * (a[k][1] + b[k][1]) - 1e-6 for k in a.keys() & b.keys())
+    assert seen > 50
+
+
+def test_family_of_many_small_classes(spark, make_docs):
+    """300 pairs of near copies (0.82) in one family of similar texts (0.75):
+    nearly every bucket has hundreds of members and none is a link of most."""
+    words = lambda c, n: [f"{c}_{i}" for i in range(n)]
+    docs = [(2 * g + i, " ".join(words("t", 90) + words(f"p{g}", 4) + words(f"o{g}{'ab'[i]}", 10))) for g in range(300) for i in (0, 1)]
+    bags = [bag(t) for _, t in docs[:3]]
+    assert jaccard(bags[0], bags[1]) >= 0.8 > jaccard(bags[0], bags[2]) > 0.75
+    got = Counter(r.class_id for r in B.classes(make_docs(docs)).collect())
+    assert got == Counter({2 * g: 2 for g in range(300)})
