@@ -178,3 +178,31 @@ byrow AS (SELECT r, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS c,
                  string_agg(x, ',' ORDER BY s, k, e) FILTER (k < 3) AS b, string_agg(x, ',' ORDER BY s, k, e) AS every FROM named GROUP BY r)
 SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(c, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
        sha256(coalesce(b, '')) AS base_sha256, coalesce(every, '') AS spans FROM d LEFT JOIN byrow USING (r)"""
+
+# CRC-32 byte by byte: c is xored with the byte, then eight steps of the
+# reversed polynomial 0xEDB88320 (a table of 256 entries built by the same rule).
+_STEP = "CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END"
+
+ORACLE["op11_importance_resample"] = rf"""
+WITH RECURSIVE crc(v, step, c) AS (SELECT range, 0, range::BIGINT FROM range(256) UNION ALL SELECT v, step + 1, {_STEP} FROM crc WHERE step < 8),
+tab AS (SELECT list(c ORDER BY v) AS t FROM crc WHERE step = 8),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+dw AS (SELECT r, w, count(*) AS n FROM (SELECT r, unnest(w) AS w FROM d) GROUP BY ALL),
+v AS (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM b)),
+bytes AS (SELECT w, hex(encode(w)) AS h FROM v),
+k AS (SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT)),
+             lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]))) % 10000 AS bucket FROM bytes, tab),
+s AS (SELECT bucket, sum(n) AS n FROM dw JOIN k USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN k USING (w) GROUP BY bucket),
+g AS (SELECT range AS bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1) * ((SELECT sum(n) FROM s) + 10000))::DOUBLE
+             / ((coalesce(s.n, 0) + 1) * (coalesce((SELECT sum(n) FROM t), 0) + 10000))::DOUBLE))::BIGINT AS gain
+      FROM range(10000) LEFT JOIN s ON s.bucket = range LEFT JOIN t ON t.bucket = range),
+m AS (SELECT r, sum(n * gain) AS total FROM dw JOIN k USING (w) JOIN g USING (bucket) GROUP BY r),
+x AS (SELECT r, doc_id, len(w)::BIGINT AS n_features, CASE WHEN len(w) > 0 THEN floor(total::DOUBLE / len(w))::BIGINT ELSE 0 END AS weight,
+             ('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h FROM d LEFT JOIN m USING (r)),
+y AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM x),
+z AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS p, count(*) OVER () AS n FROM y WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN p <= 10 * n // 100 THEN p END AS rank FROM y LEFT JOIN z USING (r)"""

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.documents import load_table, spread
-from . import (arrow_tokens, bag_minhash, chat_collapse, decontaminate, fair_mix, line_dedup, line_frequency, secret_scan,
-               url_templates, warc)
+from . import (arrow_tokens, bag_minhash, chat_collapse, decontaminate, fair_mix, importance_resample, line_dedup, line_frequency,
+               secret_scan, url_templates, warc)
 
 QUERIES = {}
 
@@ -91,3 +91,8 @@ def op1_chat_collapse(spark, sf_dir):
 @register
 def op4_warc(spark, sf_dir):
     return warc.report(spread(load_table(spark, sf_dir, "pages")))
+
+
+@register
+def op11_importance_resample(spark, sf_dir):
+    return importance_resample.report(_documents(spark, sf_dir, "doc_id", "text"), load_table(spark, sf_dir, "benchmark"))
