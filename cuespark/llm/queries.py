@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.documents import load_table, spread
 from . import (arrow_tokens, bag_minhash, chat_collapse, decontaminate, fair_mix, importance_resample, line_dedup, line_frequency,
-               secret_scan, url_templates, warc)
+               secret_scan, token_alignment, url_templates, warc)
 
 QUERIES = {}
 
@@ -96,3 +96,9 @@ def op4_warc(spark, sf_dir):
 @register
 def op11_importance_resample(spark, sf_dir):
     return importance_resample.report(_documents(spark, sf_dir, "doc_id", "text"), load_table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op12_token_alignment(spark, sf_dir):
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    return token_alignment.report(docs, tokenizer_file(), tokenizer_file("piece_bpe_32k.model"))
