@@ -7,9 +7,9 @@ are linked, and a pair of ids counts the documents that hold it linked.
 
 Groups are found by diagonal run skipping (``align``): while tokens match one
 to one, the two arrays of token ends are equal at a fixed index shift, so they
-are compared there in stretches of doubling length, and the first mismatch is
-closed in on by halving.  At a mismatch the group is resolved by stepping on
-whichever side ends earlier, which gives the new shift.
+are compared there in stretches of doubling length up to the first mismatch.
+There the group is resolved by stepping on whichever side ends earlier, which
+gives the new shift.  Many stretches of the texts are followed side by side.
 
 Both tokenizers give the ids of a whole text when its pieces are encoded one
 by one, if it is cut where neither can merge across (``cuts``), so a worker
@@ -50,7 +50,8 @@ from .textblocks import span_hashes, text_blocks
 
 PAIRS = 1 << 22    # id pairs whose counts are broadcast at a time
 CACHE = 1 << 20    # pieces whose ids a worker keeps during a job
-CHUNK = 1 << 16    # pieces aligned at a time
+PROBE = 4          # token ends compared first at a shift
+LANE = 64          # pieces that are followed one after the other
 WIDE = 1 << 16     # links of a group beyond which equal ones are counted, not listed
 SHIFT = 32         # an id pair is (A id << SHIFT) + B id
 
@@ -59,39 +60,41 @@ SPACE, NEWLINE = 0x20, 0x0A
 
 # ---- the alignment --------------------------------------------------------------
 
-def align(ends_a: list, ends_b: list) -> tuple[list, list]:
-    """The groups of two ascending lists of token ends that have the same last
-    end: for each group the number of tokens up to its end, in A and in B."""
-    upto_a, upto_b = [], []
-    i = j = 0
-    n = len(ends_a)
-    while i < n:
-        x, y = ends_a[i], ends_b[j]
-        if x == y:  # one to one at this shift: probe on
-            k, step = 1, 1
-            while i + k < n and ends_a[i + k: i + k + step] == ends_b[j + k: j + k + step]:
-                k += step
-                step *= 2
-            k = min(k, n - i)  # equal to the end: the last probe was cut short on both sides
-            while step > 1 and i + k < n:
-                step //= 2
-                if ends_a[i + k: i + k + step] == ends_b[j + k: j + k + step]:
-                    k = min(k + step, n - i)
-            upto_a.extend(range(i + 1, i + k + 1))
-            upto_b.extend(range(j + 1, j + k + 1))
-            i, j = i + k, j + k
-        else:  # an irregular group: the shift changes
-            while x != y:
-                if x < y:
-                    i += 1
-                    x = ends_a[i]
-                else:
-                    j += 1
-                    y = ends_b[j]
-            i, j = i + 1, j + 1
-            upto_a.append(i)
-            upto_b.append(j)
-    return upto_a, upto_b
+def align(ends_a: np.ndarray, ends_b: np.ndarray, lanes_a: np.ndarray, lanes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The groups of two ascending arrays of token ends: for each group the
+    number of tokens up to its end, in A and in B.  Lanes (where each begins,
+    and the last one's end) are stretches of both that end at a common end;
+    they are followed side by side, each with a shift and a probe of its own."""
+    i, j, stop_a, stop_b = lanes_a[:-1], lanes_b[:-1], lanes_a[1:], lanes_b[1:]
+    step = np.full(len(i), PROBE)
+    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while True:
+        live = np.flatnonzero(i < stop_a)
+        if not len(live):
+            return np.sort(np.concatenate(found_a)), np.sort(np.concatenate(found_b))
+        i, j, stop_a, stop_b, step = i[live], j[live], stop_a[live], stop_b[live], step[live]
+        # how far the ends are equal at this shift
+        size = np.minimum(step, np.minimum(stop_a - i, stop_b - j))
+        first = np.cumsum(size) - size
+        at = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
+        p, q = np.repeat(i, size) + at, np.repeat(j, size) + at
+        k = np.minimum.reduceat(np.where(ends_a[p] == ends_b[q], np.repeat(size, size), at), first)
+        same = at < np.repeat(k, size)
+        found_a.append(p[same] + 1)
+        found_b.append(q[same] + 1)
+        i, j, whole = i + k, j + k, k == size
+        step = np.where(whole, step * 2, PROBE)
+        # an irregular group begins where they differ: step on the side that ends earlier
+        odd = np.flatnonzero(~whole)
+        p, q, todo = i[odd], j[odd], np.arange(len(odd))
+        while len(todo):
+            x, y = ends_a[p[todo]], ends_b[q[todo]]
+            p[todo] += x < y
+            q[todo] += y < x
+            todo = todo[x != y]
+        i[odd], j[odd] = p + 1, q + 1  # the new shift
+        found_a.append(p + 1)
+        found_b.append(q + 1)
 
 
 # ---- encoding --------------------------------------------------------------------
@@ -250,13 +253,8 @@ class Alignment:
         self.a, self.b = a, b
         end_a, end_b = np.cumsum(encoder.tokenizers.len_a[a]), np.cumsum(encoder.tokenizers.len_b[b])
         at_a, at_b = np.concatenate([[0], np.cumsum(size_a)]), np.concatenate([[0], np.cumsum(size_b)])
-        parts_a, parts_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for p in range(0, len(start), CHUNK):  # pieces end tokens of both, so they can be aligned apart
-            q = min(p + CHUNK, len(start))
-            x, y = align(end_a[at_a[p]: at_a[q]].tolist(), end_b[at_b[p]: at_b[q]].tolist())
-            parts_a.append(np.array(x, np.int64) + at_a[p])
-            parts_b.append(np.array(y, np.int64) + at_b[p])
-        self.upto_a, self.upto_b = np.concatenate(parts_a), np.concatenate(parts_b)
+        lanes = np.append(np.arange(0, len(start), LANE), len(start))  # a piece ends a token of both
+        self.upto_a, self.upto_b = align(end_a, end_b, at_a[lanes], at_b[lanes])
         self.doc_a, self.doc_b = at_a[pieces], at_b[pieces]
         self.doc_g = np.searchsorted(self.upto_a, self.doc_a, side="right")
 
