@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.documents import load_table, spread
-from . import (arrow_tokens, bag_minhash, chat_collapse, decontaminate, fair_mix, importance_resample, line_dedup, line_frequency,
-               secret_scan, token_alignment, url_templates, warc)
+from . import (arrow_tokens, bag_minhash, chat_collapse, decontaminate, fair_mix, fingerprints, importance_resample, line_dedup,
+               line_frequency, secret_scan, token_alignment, url_templates, warc)
 
 QUERIES = {}
 
@@ -102,3 +102,8 @@ def op11_importance_resample(spark, sf_dir):
 def op12_token_alignment(spark, sf_dir):
     docs = _documents(spark, sf_dir, "doc_id", "text")
     return token_alignment.report(docs, tokenizer_file(), tokenizer_file("piece_bpe_32k.model"))
+
+
+@register
+def op13_fingerprints(spark, sf_dir):
+    return fingerprints.edited_report(_documents(spark, sf_dir, "doc_id", "text"))
