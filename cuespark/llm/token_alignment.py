@@ -49,8 +49,9 @@ from ..session import materialize
 from .textblocks import span_hashes, text_blocks
 
 PAIRS = 1 << 22    # id pairs whose counts are broadcast at a time
-CACHE = 1 << 20    # pieces whose ids a worker keeps during a job
+CACHE = 1 << 19    # pieces whose ids a worker keeps during a job
 PROBE = 4          # token ends compared first at a shift
+BLOCK = 1 << 20    # bytes of text aligned together
 LANE = 64          # pieces that are followed one after the other
 WIDE = 1 << 16     # links of a group beyond which equal ones are counted, not listed
 SHIFT = 32         # an id pair is (A id << SHIFT) + B id
@@ -320,7 +321,7 @@ def _aligned(batches, path_a, path_b, job):
         encoder = _worker_encoder(path_a, path_b, job)
         text = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
         led = pc.if_else(pc.equal(pc.binary_length(text), 0), text, pc.binary_join_element_wise(pa.scalar("", pa.large_string()), text, pa.scalar(" ", pa.large_string())))
-        for first, n, data, offsets in text_blocks(led):
+        for first, n, data, offsets in text_blocks(led, BLOCK):
             yield batch.column("id").slice(first, n), encoder, Alignment(encoder, data, offsets)
 
 
