@@ -35,7 +35,8 @@ nothing, each row is a class of its own; repeated rows and equal multisets
 share a class; a class is shown by its smallest id, null before all, which
 several classes can have in common (null or repeated ids): classes are told
 apart by their root.  One row of a class is kept, of the smallest id and
-hash.  An empty table gives no rows; only the id and text columns are read.
+hash; ``dedup`` takes of rows equal in id and text the one whose columns
+together have the least hash.  An empty table gives no rows; only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -59,6 +60,8 @@ SLICES = 4
 FIRST = 2                  # pivots of a node that are verified first
 BROADCAST_ROWS = 200_000   # rows of two nodes that a join may broadcast
 SLOT_BITS = 20             # shingles are ordered by the counts of 2^20 slots
+TASK_ROWS = 50_000         # rows of nodes, pairs or links that are worth a task
+TASK_PAIRS = 1_000         # pairs to be verified that are worth a task
 
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
@@ -256,6 +259,19 @@ def _prefixer(counts, similarity: float):
 
 # ---- plans -------------------------------------------------------------------
 
+def _few(df: DataFrame, rows: int, each: int = TASK_ROWS) -> DataFrame:
+    """What a shuffle gives for at most ``rows`` rows, in no more tasks than
+    they are worth (without a further shuffle); their number grows with the
+    rows up to that of the shuffle's partitions."""
+    return df.coalesce(max(1, -(-rows // each)))
+
+
+def _one(df: DataFrame, rows: int) -> DataFrame:
+    """At most ``TASK_ROWS`` rows as one partition, which needs no shuffle to
+    be grouped; more rows as they are."""
+    return df.coalesce(1) if rows <= TASK_ROWS else df
+
+
 _NODE = "struct<a:bigint,b:bigint>"
 
 
@@ -277,14 +293,16 @@ def candidate_pairs(nodes: DataFrame, slices: int = SLICES) -> tuple[DataFrame,
     ``nodes``: a written table of ``node`` and ``bands``."""
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = materialize(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    members = materialize(rows.join(sizes, "bucket"), "bucket-members")
+    n = sizes.agg(F.sum("size")).first()[0] or 0  # members
+    members = materialize(_few(rows.join(_small(sizes, n, "buckets"), "bucket"), n), "bucket-members")
     mates = members.groupBy("node").agg(F.sum("size").alias("mates"))
-    ranked = members.select("bucket", "node", F.pmod(F.xxhash64("bucket", "node"), F.lit(slices)).alias("slice")).join(mates, "node")
+    ranked = members.select("bucket", "node", F.pmod(F.xxhash64("bucket", "node"), F.lit(slices)).alias("slice")).join(_small(mates, n, "mates"), "node")
     pivots = ranked.groupBy("bucket", "slice").agg(F.max(F.struct("mates", "node")).alias("top"))
-    pivots = materialize(pivots.select("bucket", F.col("top.node").alias("pivot")), "pivots")
-    pairs = members.join(pivots, "bucket").where(F.col("node") != F.col("pivot")).select("node", "pivot")
-    others = members.select("bucket", "node").join(pivots.withColumnRenamed("pivot", "node"), ["bucket", "node"], "left_anti")
-    return pairs.groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("shared")), others
+    pivots = materialize(_few(pivots.select("bucket", F.col("top.node").alias("pivot")), n), "pivots")
+    near = _small(pivots, n, "pivots")
+    pairs = members.join(near, "bucket").where(F.col("node") != F.col("pivot")).select("node", "pivot")
+    others = members.select("bucket", "node").join(_small(pivots.withColumnRenamed("pivot", "node"), n, "pivots"), ["bucket", "node"], "left_anti")
+    return _few(pairs.groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("shared")), slices * n), others
 
 
 def open_nodes(others: DataFrame, comps: DataFrame) -> DataFrame:
@@ -292,8 +310,9 @@ def open_nodes(others: DataFrame, comps: DataFrame) -> DataFrame:
     such members of different components; ``comps``: written."""
     root = _small(comps, comps.count(), "roots")
     rooted = materialize(others.join(root, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root")), "bucket-roots")
+    n = rooted.count()
     opened = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    return rooted.join(materialize(opened, "open-buckets"), "bucket", "left_semi").select("node", "root").distinct()
+    return _few(rooted.join(_small(_few(opened, n), n, "open-buckets"), "bucket", "left_semi").select("node", "root").distinct(), n)
 
 
 def prefix_pairs(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -301,24 +320,25 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     ``node``, ``root``), with all that are near copies: the pairs that share a
     shingle of their prefixes at which the overlap can still be large enough.
     A shingle's most frequent root is only joined with its other roots."""
-    mine = sets.join(nodes, "node")
+    mine = sets.join(_small(nodes, nodes.count(), "open-nodes"), "node")
     slots = mine.select("x").mapInArrow(_slot_counter(), "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << SLOT_BITS, np.int64)
     counts[slots["slot"].to_numpy()] = slots["n"].to_numpy()
     counts = sets.sparkSession.sparkContext.broadcast(counts)
     rows = materialize(mine.select("node", "root", "x", "c").mapInArrow(
         _prefixer(counts, similarity), f"x bigint, node {_NODE}, root {_NODE}, left bigint, n bigint"), "prefixes")
+    count = rows.count()
     # a near copy's size is at least similarity x n, the smaller one of a pair has its first common shingle earlier
     small = F.max(F.col("left") * (1 + similarity) >= 2 * similarity * F.col("n") - 1e-6).alias("small")
     roots = rows.groupBy("x", "root").agg(F.count(F.lit(1)).alias("k"), small)
     tops = roots.groupBy("x").agg(F.max(F.struct("k", "root")).alias("top"), F.count(F.lit(1)).alias("roots"), F.max("small").alias("small"))
-    tops = materialize(tops.where("roots > 1 and small").select("x", F.col("top.root").alias("top")), "prefix-shingles")
-    shared = materialize(rows.join(tops, "x"), "shared-prefixes")
+    tops = materialize(_few(tops.where("roots > 1 and small").select("x", F.col("top.root").alias("top")), count), "prefix-shingles")
+    shared = materialize(rows.join(_small(tops, tops.count(), "prefix-shingles"), "x"), "shared-prefixes")
     one, two = shared.where("root != top").alias("o"), shared.drop("top").alias("p")
     once = (F.col("p.root") == F.col("o.top")) | (F.col("o.node") < F.col("p.node"))
     enough = F.least("o.left", "p.left") * (1 + similarity) >= similarity * (F.col("o.n") + F.col("p.n")) - 1e-6
     both = one.join(two, (F.col("o.x") == F.col("p.x")) & (F.col("o.root") != F.col("p.root")) & once & enough)
-    return both.select(F.least("o.node", "p.node").alias("node"), F.greatest("o.node", "p.node").alias("pivot")).distinct()
+    return _few(both.select(F.least("o.node", "p.node").alias("node"), F.greatest("o.node", "p.node").alias("pivot")).distinct(), shared.count())
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -327,7 +347,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     one = sets.select(F.col("node").alias("u"), F.col("x").alias("x1"), F.col("c").alias("c1"))
     two = sets.select(F.col("node").alias("v"), F.col("x").alias("x2"), F.col("c").alias("c2"))
     both = pairs.select(F.col("node").alias("u"), F.col("pivot").alias("v")).join(one, "u").join(two, "v")
-    return both.mapInArrow(_verifier(similarity), f"u {_NODE}, v {_NODE}")
+    return _few(both, pairs.count(), TASK_PAIRS).mapInArrow(_verifier(similarity), f"u {_NODE}, v {_NODE}")
 
 
 def _small(df: DataFrame, rows: int, name: str) -> DataFrame:
@@ -338,32 +358,58 @@ def _small(df: DataFrame, rows: int, name: str) -> DataFrame:
 
 def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """``node`` and ``root`` (smallest node of the component) of every node
-    that has a link, by alternating large-star and small-star."""
-    edges = materialize(links.select(F.least(u, v).alias("lo"), F.greatest(u, v).alias("hi")).where("lo < hi").distinct(), "edges")
+    that has a link (written), by alternating large-star and small-star."""
+    n = links.count()
+    edges = _one(links.select(F.least(u, v).alias("lo"), F.greatest(u, v).alias("hi")).where("lo < hi"), n)
+    edges = materialize(_few(edges.distinct(), n), "edges")
     mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("lo", "hi"))).first())
     before = mark(edges)
     while before[0]:
         n = 2 * before[0]
         around = edges.select(F.col("lo").alias("x"), F.col("hi").alias("y")).union(edges.select("hi", "lo"))
-        least = _small(around.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("m")), n, "large-star")
+        around = _one(around, n)
+        least = _small(_few(around.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("m")), n), n, "large-star")
         far = around.where("y > x").join(least, "x").select(F.col("m").alias("lo"), F.col("y").alias("hi")).where("lo < hi")
         far = far if n <= BROADCAST_ROWS else materialize(far, "edges")
-        least = _small(far.groupBy("hi").agg(F.min("lo").alias("m")), n, "small-star")
+        least = _small(_few(far.groupBy("hi").agg(F.min("lo").alias("m")), n), n, "small-star")
         near = far.join(least, "hi").select("m", F.explode(F.array("hi", "lo")).alias("y"))
-        edges = materialize(near.select(F.col("m").alias("lo"), F.col("y").alias("hi")).where("lo < hi").distinct(), "edges")
+        edges = materialize(_few(near.select(F.col("m").alias("lo"), F.col("y").alias("hi")).where("lo < hi").distinct(), n), "edges")
         now = mark(edges)
         if now == before:
             break
         before = now
-    return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(edges.select("lo", "lo").distinct())
+    every = edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(_one(edges.select("lo", "lo"), before[0]).distinct())
+    return materialize(_few(every, 2 * before[0]), "components")
+
+
+def _rooted(pairs: DataFrame, comps: DataFrame, n: int, *columns: str) -> DataFrame:
+    """The pairs with the root of each of the columns (itself if it has none)
+    as ``<column>_root``."""
+    for c in columns:
+        root = _small(comps.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), n, "roots")
+        pairs = pairs.join(root, c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
+    return pairs
+
+
+def contracted(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of all earlier links and these (written): only the roots
+    that new links connect are worked on."""
+    n = comps.count()
+    over = _rooted(links, comps, n, "u", "v").select(F.col("u_root").alias("u"), F.col("v_root").alias("v")).where("u != v")
+    m = links.count()
+    over = components(materialize(_few(_one(over, m).distinct(), m), "root-links"))
+    m = over.count()
+    if not m:
+        return comps
+    moved = comps.join(_small(over.select(F.col("node").alias("root"), F.col("root").alias("top")), m, "tops"), "root", "left")
+    new = over.join(_small(comps.select("node"), n, "components"), "node", "left_anti")  # nodes without a link so far
+    return materialize(_few(moved.select("node", F.coalesce("top", "root").alias("root")).union(new), n + m), "components")
 
 
 def _between(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one component; ``comps``: written."""
-    n = comps.count()
-    root = lambda c: _small(comps.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), n, "roots")
-    both = pairs.join(root("node"), "node", "left").join(root("pivot"), "pivot", "left")
-    return both.where(~F.coalesce(F.col("node_root") == F.col("pivot_root"), F.lit(False))).select("node", "pivot", "shared")
+    both = _rooted(pairs, comps, comps.count(), "node", "pivot")
+    return both.where("node_root != pivot_root").select("node", "pivot", "shared")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -375,29 +421,28 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     pairs, others = candidate_pairs(nodes)
     pairs = materialize(pairs, "pairs")
     # the texts of the documents in pairs, once per node
-    ends = pairs.select("node").union(pairs.select("pivot")).distinct()
-    rids = materialize(nodes.join(ends, "node", "left_semi").select(F.col("doc.rid").alias("rid")), "pair-rows")
+    n = pairs.count()
+    ends = _few(pairs.select("node").union(pairs.select("pivot")).distinct(), 2 * n)
+    rids = materialize(nodes.join(_small(ends, 2 * n, "pair-nodes"), "node", "left_semi").select(F.col("doc.rid").alias("rid")), "pair-rows")
     # (a merge join at every size: a broadcast would hold for few pairs only)
     texts = docs.select(row_id(F.col(doc_id), F.col(text)).alias("rid"), F.col(text).alias("text")).join(rids.hint("merge"), "rid", "left_semi").select("text")
     made = texts.mapInArrow(_multiset_maker(SHINGLE), f"node {_NODE}, x array<bigint>, c array<int>")
     sets = materialize(made.dropDuplicates(["node"]), "multisets")
 
     closest = pairs.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "pivot")), asc=False), 1, FIRST).alias("p"))
-    first = materialize(closest.select("node", F.explode("p").alias("p")).select("node", "p.pivot"), "first-pairs")
-    links = materialize(verified(first, sets, similarity), "links")
-    comps = components(links)
-    rest = _between(pairs.join(first, ["node", "pivot"], "left_anti"), materialize(comps, "components"))
-    more = materialize(verified(materialize(rest, "open-pairs"), sets, similarity), "links")
-    links = links.union(more)
-    comps = materialize(components(links), "components")
+    first = materialize(_few(closest.select("node", F.explode("p").alias("p")).select("node", "p.pivot"), n), "first-pairs")
+    comps = components(materialize(verified(first, sets, similarity), "links"))
+    rest = _few(_between(pairs.join(first, ["node", "pivot"], "left_anti"), comps), n)
+    comps = contracted(comps, materialize(verified(materialize(rest, "open-pairs"), sets, similarity), "links"))
     opened = materialize(open_nodes(others, comps), "open-nodes")
     if not opened.isEmpty():
         last = materialize(prefix_pairs(opened, sets, similarity), "prefix-pairs")
-        comps = materialize(components(links.union(materialize(verified(last, sets, similarity), "links"))), "components")
+        comps = contracted(comps, materialize(verified(last, sets, similarity), "links"))
 
-    named = nodes.select("node", F.col("doc.id").alias("id")).join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    root = _small(comps, comps.count(), "roots")
+    named = nodes.select("node", F.col("doc.id").alias("id")).join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min(F.struct("id")).alias("first"))
-    named = materialize(named.join(names, "root").select("node", "root", F.col("first.id").alias("class_id")), "classes")
+    named = materialize(_few(named.join(names, "root").select("node", "root", F.col("first.id").alias("class_id")), nodes.count()), "classes")
     alone = signed.where("n = 0").select("rid", "seq", "id", "n", F.col("id").alias("class_id"), F.lit(None).cast(_NODE).alias("root"))
     return signed.where("n > 0").join(named, "node").select("rid", "seq", "id", "n", "class_id", "root").union(alone)
 
@@ -410,19 +455,23 @@ def _stay(table: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """One row per document row: id, class, shingles, and whether it is the
-    document of its class that stays."""
+    """One row per document row: id, class (``class_id`` is its smallest id,
+    ``class_key`` tells classes apart; null without words), shingles, and
+    whether it is the document of its class that stays."""
     table = materialize(classes(docs, doc_id, **options), "near-classes")
-    stay = materialize(_stay(table).select("seq", F.lit(True).alias("stays")), "near-kept")
+    stay = materialize(_few(_stay(table).select("seq", F.lit(True).alias("stays")), table.count()), "near-kept")
     kept = F.coalesce(F.col("stays"), F.col("n") == 0)
-    return table.join(stay, "seq", "left").select(F.col("id").alias(doc_id), "class_id", F.col("n").alias("n_shingles"), kept.alias("kept"))
+    key = F.concat(F.hex("root.a"), F.lit("-"), F.hex("root.b"))
+    return table.join(stay, "seq", "left").select(F.col("id").alias(doc_id), "class_id", key.alias("class_key"), F.col("n").alias("n_shingles"), kept.alias("kept"))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of every class, and all without words; columns unchanged."""
     table = materialize(classes(docs, doc_id, text, **options), "near-classes")
-    stay = materialize(_stay(table).select("rid"), "near-kept")
+    stay = materialize(_few(_stay(table).select("rid"), table.count()), "near-kept")
     rows = docs.select(row_id(F.col(doc_id), F.col(text)).alias("rid"), F.struct(*docs.columns).alias("row"))
     said = F.coalesce(F.col("row")[text].rlike(HAS_WORD), F.lit(False))
-    kept = rows.where(said).join(stay.hint("merge"), "rid", "left_semi").dropDuplicates(["rid"])
+    kept = rows.where(said).join(stay.hint("merge"), "rid", "left_semi")
+    # rows equal in id and text: the one of the least hash of all its columns
+    kept = kept.groupBy("rid").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
     return kept.select("row.*").union(rows.where(~said).select("row.*"))
