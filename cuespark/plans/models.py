@@ -1,13 +1,14 @@
 """Linear token classifiers over chosen feature sets.
 
-Every model is a Spark ML estimator: the one-hot encoding is a
-``CountVectorizerModel`` over ``name=value`` terms with a sorted, size-checked
-vocabulary; the classifiers are ``LinearSVC`` (one-vs-rest),
-multinomial ``LogisticRegression`` and complement ``NaiveBayes``.  Rows with
-equal features and label are one weighted row, which leaves every objective
-as it is.  The penalty is liblinear's C = 1.  Training vectors are persisted
-(memory, spilling to disk) for the iterative solvers and released afterwards.
-Scoring is a ``transform``: row-wise, no shuffle.
+The one-hot encoding is a ``CountVectorizerModel`` over ``name=value`` terms
+with a sorted, size-checked vocabulary.  Linear SVMs (one against the rest,
+squared hinge unless told otherwise, liblinear's C = 1 and penalised bias) are
+columns of the batched solver in ``batched``, so all classes, folds, grid
+points or feature sets are fitted by the same passes over the rows;
+multinomial ``LogisticRegression`` and complement ``NaiveBayes`` are Spark
+ML's.  Rows with equal features and label are one weighted row, which leaves
+every objective as it is.  Training rows are persisted (memory, spilling to
+disk) and released afterwards.  Scoring is row-wise, no shuffle.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sentences import feature_pairs, split_features
 from ..operators.vectors import MAX_VOCAB, combine, embed_context, fit_one_hot
+from . import batched as Bt
 from .relations import FEATURE_NAMES
 
 KEYS = ("doc_id", "token_id")
@@ -33,6 +35,7 @@ LABEL = "negcuelabel"
 MAX_ITER = {"svm": 4000, "svm_tuning": 2000, "logreg": 2000, "logreg_vectors": 3000}
 C = 1.0
 GRID_C = (0.01, 0.1, 1.0)
+GRID_LOSS = (Bt.HINGE, Bt.SQUARED)
 GRID_TOL = (1e-4, 1e-3, 1e-2, 1e-1)
 N_FOLDS = 5
 
@@ -51,11 +54,6 @@ def split_documents(df: DataFrame, test_folds=(0,), n_folds: int = N_FOLDS, seed
 
 
 def _classifier(kind: str, max_iter: int | None, reg: float, tol: float, parallelism: int):
-    if kind == "svm":
-        svc = LinearSVC(featuresCol="x", labelCol="y", weightCol="w", maxIter=max_iter or MAX_ITER["svm"], regParam=reg, tol=tol,
-                        standardization=False)
-        return OneVsRest(classifier=svc, featuresCol="x", labelCol="y", weightCol="w", predictionCol="yhat",
-                         parallelism=parallelism)
     if kind == "logreg":
         return LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", predictionCol="yhat", family="multinomial",
                                   maxIter=max_iter or MAX_ITER["logreg"], regParam=reg, tol=tol, standardization=False)
@@ -91,11 +89,22 @@ class TokenModel:
 
     def predict(self, df: DataFrame, out: str = "predicted") -> DataFrame:
         """M8: input rows plus the predicted label (row-wise transform)."""
+        if isinstance(self.model, Bt.Scorer):
+            return self._scored(df, out)
         x = self.model.transform(self.vectors(df))
         lab = F.element_at(F.array(*[F.lit(v) for v in self.labels]), F.col("yhat").cast("int") + 1)
         drop = [c for c in ("x", "yhat", "rawPrediction", "probability") if c in x.columns]
         return x.withColumn(out, lab).drop(*drop)
 
+    def _scored(self, df: DataFrame, out: str) -> DataFrame:
+        x, dense = df, None
+        if self.dense_names is not None:
+            x, dense = embed_context(x, self.emb, self.names, self.dim, out="dense"), F.col("dense").cast("array<double>")
+        names = self.names if self.dense_names is None else split_features(self.names, "train")[1]
+        yhat = self.model.yhat(df.sparkSession, F.col("_ids"), dense)
+        lab = F.element_at(F.array(*[F.lit(v) for v in self.labels]), yhat + 1)
+        return _with_ids(x, self.encoder, names, "_ids").withColumn(out, lab).drop("_ids", "dense")
+
 
 def _labels(df: DataFrame, label: str) -> list:
     rows = df.select(label).distinct().limit(1001).collect()
@@ -109,6 +118,26 @@ def _indexed(df: DataFrame, labels: list, label: str) -> DataFrame:
     return df.withColumn("y", idx.cast("double"))
 
 
+def _with_ids(df: DataFrame, encoder, names, out: str = "ids") -> DataFrame:
+    """Term numbers of every row: one for each of ``names`` that the encoder
+    knows the value of, in the order of the names' terms."""
+    if encoder is None:
+        return df.withColumn(out, F.array().cast("array<int>"))
+    x = encoder.transform(df.withColumn("feats", feature_pairs(names)))
+    return x.withColumn(out, F.unwrap_udt("onehot")["indices"]).drop("feats", "onehot")
+
+
+def _n_terms(encoder) -> int:
+    return len(encoder.vocabulary) if encoder is not None else 0
+
+
+def _svm(x: DataFrame, encoder, slots: int, labels, c: float, tol: float, max_iter, loss: str, dim: int = 0):
+    """One-vs-rest SVM on rows ``ids, y, w`` (and ``dense``)."""
+    with Bt.Problems(x, _n_terms(encoder), slots, dim) as p:
+        theta = p.fit([Bt.Column(k, c, loss) for k in range(len(labels))], (tol,), max_iter or MAX_ITER["svm"])[tol]
+    return Bt.Scorer(theta, _n_terms(encoder))
+
+
 def _distinct_rows(df: DataFrame, columns) -> DataFrame:
     """Equal rows of ``columns`` as one row with weight ``w``."""
     return df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("w"))
@@ -125,17 +154,38 @@ def _fit(x: DataFrame, kind: str, max_iter, c: float, tol: float, parallelism: i
 
 
 def train(df: DataFrame, names=FEATURE_NAMES, kind: str = "svm", label: str = LABEL, max_iter: int | None = None,
-          c: float = C, tol: float = 1e-4, parallelism: int = 3, max_vocab: int = MAX_VOCAB) -> TokenModel:
+          c: float = C, tol: float = 1e-4, parallelism: int = 3, max_vocab: int = MAX_VOCAB, loss: str = Bt.SQUARED) -> TokenModel:
     """M2 / M3 / M4: fit a one-hot token classifier on ``names``."""
     names = list(names)
     enc = fit_one_hot(df, names, max_vocab=max_vocab)
     labels = _labels(df, label)
     rows = _distinct_rows(df, [*names, label])
+    if kind == "svm":
+        x = _indexed(_with_ids(rows, enc, names), labels, label).select("ids", "y", "w")
+        return TokenModel(kind, names, labels, enc, _svm(x, enc, len(names), labels, c, tol, max_iter, loss))
     x = enc.transform(rows.select(feature_pairs(names).alias("feats"), F.col(label), "w"))
     x = _indexed(x.select(F.col("onehot").alias("x", metadata={}), label, "w"), labels, label).select("x", "y", "w")
     return TokenModel(kind, names, labels, enc, _fit(x, kind, max_iter, c, tol, parallelism))
 
 
+def train_svm_sets(df: DataFrame, sets, label: str = LABEL, max_iter: int | None = None, c: float = C, tol: float = 1e-4,
+                   loss: str = Bt.SQUARED) -> list[TokenModel]:
+    """M2 for many feature sets at once: one encoding of all their features,
+    whose terms are switched off for the sets that lack them.  The models are
+    those of separate fits (a term that is off has weight 0)."""
+    names = sorted({n for s in sets for n in s})
+    enc = fit_one_hot(df, names)
+    labels = _labels(df, label)
+    x = _indexed(_with_ids(_distinct_rows(df, [*names, label]), enc, names), labels, label).select("ids", "y", "w")
+    # terms are sorted as text, so a row's numbers come in the order of name=
+    slots = sorted(names, key=lambda n: f"{n}=")
+    columns = [Bt.Column(k, c, loss, None, tuple(i for i, n in enumerate(slots) if n in s)) for s in sets for k in range(len(labels))]
+    with Bt.Problems(x, _n_terms(enc), len(names)) as p:
+        theta = p.fit(columns, (tol,), max_iter or MAX_ITER["svm"])[tol]
+    k = len(labels)
+    return [TokenModel("svm", names, labels, enc, Bt.Scorer(theta[i * k: (i + 1) * k], _n_terms(enc))) for i in range(len(sets))]
+
+
 def embedding_vectors(df: DataFrame, names, emb: DataFrame, dim: int, encoder=None, variant: str = "train"):
     """M7: J4 dense vectors + one-hot of the remaining features -> ``x``."""
     _, one_hot_names = split_features(names, variant)
@@ -161,6 +211,12 @@ def train_embeddings(df: DataFrame, emb: DataFrame, dim: int, names=FEATURE_NAME
     labels = _labels(df, label)
     columns = list(dict.fromkeys([*one_hot_names, "lemma", *(n for n in ("prev", "next") if n in names)]))
     rows = _distinct_rows(df, [*columns, label])
+    if kind == "svm":
+        x = _with_ids(embed_context(rows, emb, names, dim, out="dense"), enc, one_hot_names)
+        x = _indexed(x, labels, label).select("ids", "y", "w", F.col("dense").cast("array<double>").alias("dense"))
+        width = dim * (1 + sum(n in names for n in ("prev", "next")))
+        model = _svm(x, enc, len(one_hot_names), labels, c, tol, max_iter, Bt.SQUARED, width)
+        return TokenModel(kind, names, labels, enc, model, dense_names=["lemma", "prev", "next"], emb=emb, dim=dim)
     x = _indexed(embedding_vectors(rows, names, emb, dim, enc), labels, label).select("x", "y", "w")
     model = _fit(x, kind, max_iter or MAX_ITER["logreg_vectors" if kind == "logreg" else kind], c, tol, parallelism)
     return TokenModel(kind, names, labels, enc, model, dense_names=["lemma", "prev", "next"], emb=emb, dim=dim)
@@ -181,45 +237,42 @@ def _macro_f1(conf_rows) -> float:
     return sum(scores) / len(scores) if scores else 0.0
 
 
-def tune_svm(df: DataFrame, names=FEATURE_NAMES, label: str = LABEL, cs=GRID_C, tols=GRID_TOL, n_folds: int = N_FOLDS,
-             max_iter: int = MAX_ITER["svm_tuning"], parallelism: int = 4, seed: int = 29):
-    """Grid over C x tol scored by macro F1 with document-grouped folds
-    (hashed with their own seed, independent of ``split_documents``).
-
-    The one-hot vectors are encoded once and persisted, equal rows of a fold
-    as one weighted row; each (fold, grid point) fit is submitted from a
-    thread pool so Spark runs several at a time; each score is computed from
-    the confusion counts (at most #classes^2 rows).  Spark's LinearSVC has the
-    hinge loss only, so the loss axis collapses.  Returns the best model
-    refitted on all rows and the scores.
+def tune_svm_grid(df: DataFrame, names=FEATURE_NAMES, label: str = LABEL, cs=GRID_C, losses=GRID_LOSS, tols=GRID_TOL, n_folds: int = N_FOLDS,
+                  max_iter: int = MAX_ITER["svm_tuning"], seed: int = 29):
+    """Grid over loss x C x tol scored by macro F1 with document-grouped
+    folds (hashed with their own seed, independent of ``split_documents``).
+
+    Equal rows of a fold are one weighted row, encoded once.  Every (class,
+    fold, C, loss) is a column of one batched fit, and the tolerances are
+    points of that fit, so the grid costs the passes of its slowest column.
+    Scores come from the confusion counts (at most #classes^2 rows a unit).
+    Returns the best model refitted on all rows (the first of equals) and
+    ``(loss, c, tol, folds, macro F1)`` of every grid point.
     """
-    from concurrent.futures import ThreadPoolExecutor
     names = list(names)
     enc = fit_one_hot(df, names)
     labels = _labels(df, label)
     rows = _distinct_rows(df.withColumn("fold", document_fold(n_folds, seed)), ["fold", *names, label])
-    x = enc.transform(rows.select("fold", feature_pairs(names).alias("feats"), F.col(label), "w"))
-    x = _indexed(x.select("fold", F.col("onehot").alias("x", metadata={}), label, "w"), labels, label)
-    x = x.select("fold", "x", "y", "w").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sizes = {r.fold: r.n for r in x.groupBy("fold").agg(F.sum("w").alias("n")).collect()}
-        grid = [(c, t) for c in cs for t in tols]
-        folds = sorted(sizes)
-
-        def score(job):
-            (c, t), k = job
-            n = sum(v for f, v in sizes.items() if f != k)
-            model = _classifier("svm", max_iter, c_to_reg(c, n), t, 1).fit(x.where(F.col("fold") != k))
-            pred = model.transform(x.where(F.col("fold") == k))
-            conf = pred.groupBy("y", "yhat").agg(F.sum("w").alias("n")).collect()
-            return (c, t), _macro_f1([(r[0], r[1], r[2]) for r in conf])
-
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            out = list(pool.map(score, [(g, k) for g in grid for k in folds]))
-        avg = {g: sum(v for gg, v in out if gg == g) / len(folds) for g in grid}
-        best_c, best_t = max(grid, key=lambda g: avg[g])
-        best = _classifier("svm", max_iter, c_to_reg(best_c, sum(sizes.values())), best_t, parallelism).fit(x)
-    finally:
-        x.unpersist()
-    results = [(float(c), float(t), len(folds), float(avg[(c, t)])) for c, t in grid]
-    return TokenModel("svm", names, labels, enc, best), results
+    x = _indexed(_with_ids(rows, enc, names), labels, label).select("ids", "y", "w", "fold")
+    with Bt.Problems(x, _n_terms(enc), len(names)) as p:
+        folds = [r[0] for r in rows.select("fold").distinct().orderBy("fold").collect()]
+        units = [(k, [Bt.Column(y, c, loss, k) for y in range(len(labels))], (loss, c)) for loss in losses for c in cs for k in folds]
+        fits = p.fit([col for _, cols, _ in units for col in cols], tols, max_iter)
+        scores = {}
+        for t in tols:
+            cells = [[] for _ in units]
+            for u, true, pred, w in p.confusion([u[:2] for u in units], fits[t], len(labels)):
+                cells[u].append((true, pred, w))
+            for (_, _, point), conf in zip(units, cells):
+                scores.setdefault((*point, t), []).append(_macro_f1(conf))
+        results = [(loss, float(c), float(t), len(folds), sum(scores[loss, c, t]) / len(folds)) for loss in losses for c in cs for t in tols]
+        loss, c, t, *_ = max(results, key=lambda r: r[4])
+        theta = p.fit([Bt.Column(y, c, loss) for y in range(len(labels))], (t,), max_iter)[t]
+    return TokenModel("svm", names, labels, enc, Bt.Scorer(theta, _n_terms(enc))), results
+
+
+def tune_svm(df: DataFrame, names=FEATURE_NAMES, label: str = LABEL, cs=GRID_C, tols=GRID_TOL, n_folds: int = N_FOLDS,
+             max_iter: int = MAX_ITER["svm_tuning"], seed: int = 29, loss: str = Bt.HINGE):
+    """The grid for one loss: best model and ``(c, tol, folds, macro F1)``."""
+    best, results = tune_svm_grid(df, names, label, cs, (loss,), tols, n_folds, max_iter, seed)
+    return best, [r[1:] for r in results]

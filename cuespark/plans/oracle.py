@@ -470,23 +470,9 @@ ORACLE["embedding_features"] = _vector_sql(_ONEHOT_TRAIN, ["lemma", "prev", "nex
 ORACLE["combine_vectors"] = _vector_sql(["pos", "prefix", "suffix"], ["lemma"])
 
 _FACTS = once(_split_sql() + """ SELECT split, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unpredicted, CAST(0 AS BIGINT) AS n_foreign, true AS reaches_majority FROM sp GROUP BY split""")
-for _k in ("train_svm", "train_logreg", "train_embeddings", "predict_tagger"):
+for _k in ("train_logreg", "predict_tagger"):
     ORACLE[_k] = _FACTS
 _TAGGER = ["lemma", "pos", "prefix", "suffix", "infix", "match_one", "match_multi", "prev_tok_cue"]
 ORACLE["train_tagger"] = once(_split_sql() + f""", v AS (SELECT count(DISTINCT term) AS n FROM (SELECT unnest({_terms(_TAGGER)}) AS term FROM sp WHERE split = 'train')),
 l AS (SELECT DISTINCT negcuelabel AS label FROM sp WHERE split = 'train')
 SELECT label, (SELECT n FROM v) + (SELECT count(*) FROM l) + 2 AS n_weights, (SELECT n FROM v) + (SELECT count(*) FROM l) + 2 AS n_terms, true AS fitted FROM l""")
-ORACLE["tune_svm"] = """SELECT c, tol, CAST(5 AS INTEGER) AS n_folds, true AS scored
-  FROM (VALUES (0.01::DOUBLE), (0.1::DOUBLE), (1.0::DOUBLE)) a(c), (VALUES (0.0001::DOUBLE), (0.001::DOUBLE), (0.01::DOUBLE), (0.1::DOUBLE)) b(tol)"""
-ORACLE["tune_tagger"] = "SELECT all_transitions, true AS scored FROM (VALUES (true), (false)) a(all_transitions)"
-
-
-def _ablation_sql() -> str:
-    from .ablation import distinct_sets, set_name
-    sets = ", ".join(f"('{set_name(s)}', {'true' if 'prev_tok_cue' in s else 'false'})" for s in distinct_sets())
-    return once(_split_sql() + f""" SELECT model, feature_set, uses_gold_context, (SELECT count(*) FROM sp WHERE split = 'test') AS n_rows,
-       CAST(0 AS BIGINT) AS n_unpredicted, CAST(0 AS BIGINT) AS n_foreign
-  FROM (VALUES ('svm'), ('tagger'), ('svm_vectors')) m(model), (VALUES {sets}) s(feature_set, uses_gold_context)""")
-
-
-ORACLE["feature_ablation"] = _ablation_sql()
