@@ -555,6 +555,21 @@ def q_evaluate_files(spark, sf_dir):
     return _r6(Ev.prf(Ev.confusion(pairs)), ["precision", "recall", "fscore"])
 
 
+@register("evaluate_by_position")
+def q_evaluate_by_position(spark, sf_dir):
+    """M14 on files without keys: a gold table and two system tables that hold
+    labels only, paired line by line."""
+    base, gold = scratch_path(spark, "labels"), scratch_path(spark, "gold")
+    rows = materialize(_predictions(spark, sf_dir), "predictions")
+    for name in SYSTEMS:
+        one = rows.where(F.col("system") == name)
+        IO.write_ordered(one, f"{base}/run_{name}.txt", ("doc_id", "token_id"), ["predicted"])
+    IO.write_ordered(one, gold, ("doc_id", "token_id"), ["negcuelabel"])
+    systems = IO.read_system_lines(spark, base, "run", "predicted")
+    pairs = Ev.pair(IO.read_label_lines(spark, gold), systems, keys=("line",), gold_col="negcuelabel", pred_col="predicted")
+    return _r6(Ev.prf(Ev.confusion(pairs)), ["precision", "recall", "fscore"])
+
+
 @register("preprocess_file")
 def q_preprocess_file(spark, sf_dir):
     """The main pipeline: a labelled token file (six columns, string ids,

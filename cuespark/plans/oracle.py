@@ -389,6 +389,7 @@ _FEAT17 = ("doc_id, sentence_id, token_id, token, lemma, prev, next, pos, punct,
 ORACLE["write_features"] = q(f"SELECT {_FEAT17} FROM features")
 ORACLE["scan_features"] = q(f"SELECT {_FEAT17} FROM features")
 ORACLE["preprocess_file"] = q(f"SELECT {_FEAT17} FROM features".replace("doc_id", "'doc-' || doc_id AS doc_id"))
+ORACLE["evaluate_by_position"] = ORACLE["evaluate_systems"].replace("'sys_a'", "'run-sys-a'").replace("'sys_b'", "'run-sys-b'")
 ORACLE["evaluate_files"] = ORACLE["evaluate_systems"].replace("'sys_a'", "'run-sys-a'").replace("'sys_b'", "'run-sys-b'")
 ORACLE["scan_label_column"] = q("SELECT doc_id, token_id, negcuelabel FROM features")
 _PRED = """ SELECT {name_a} AS system, f.doc_id, f.token_id, f.token, f.negcuelabel, s.sys_a AS predicted

@@ -209,3 +209,39 @@ def test_code_travels_with_the_job():
 
     raw = cloudpickle.dumps(TG._pad)
     assert b"cuespark.plans.tagger" not in raw.split(b"_pad")[0][:40] and len(raw) > 500
+
+
+def test_short_headers_name_the_last_fields(spark, tmp_path):
+    """A prediction table with 14 names and 18 fields: the last name is the prediction."""
+    import pytest
+    names = [f"n{i}" for i in range(13)] + ["negcuelabel"]
+    rows = [[f"v{i}" for i in range(17)] + [lab] for lab in ("B-NEG", "O")]
+    text = "\n".join("\t".join(r) for r in [names, *rows]) + "\n"
+    (tmp_path / "run_a.txt").write_text(text)
+    path = str(tmp_path / "run_a.txt")
+    assert [r.negcuelabel for r in IO.read_named(spark, path).collect()] == ["B-NEG", "O"]
+    assert [r.negcuelabel for r in IO.read_labels(spark, path, keys=()).collect()] == ["B-NEG", "O"]
+    got = IO.read_system_files(spark, str(tmp_path), "run").collect()
+    assert [(r.n0, r._0, r.negcuelabel) for r in got] == [("v4", "v0", "B-NEG"), ("v4", "v0", "O")]
+    (tmp_path / "long.txt").write_text("a\tb\tc\n1\t2\n")
+    with pytest.raises(ValueError, match="3 names"):
+        IO.read_named(spark, str(tmp_path / "long.txt"))
+
+
+def test_tables_without_keys_are_paired_by_position(spark, tmp_path):
+    from cuespark.operators import evaluate as Ev
+    labels = [f"L{i % 7}" for i in range(5000)]
+    (tmp_path / "gold.txt").write_text("negcuelabel\n" + "\n".join(f"{x}\n" if i % 9 == 0 else x for i, x in enumerate(labels)) + "\n")
+    (tmp_path / "run_x.txt").write_text("a\tnegcuelabel\n" + "\n".join(f"{i}\t0\t{x}" for i, x in enumerate(labels[:4000])) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 3000)  # many splits of a file
+    try:
+        gold = IO.read_label_lines(spark, str(tmp_path / "gold.txt"))
+        assert [tuple(r) for r in gold.orderBy("line").collect()] == list(enumerate(labels))
+        runs = IO.read_system_lines(spark, str(tmp_path), "run")
+        assert [tuple(r) for r in runs.orderBy("line").collect()] == [("run-x", i, x) for i, x in enumerate(labels[:4000])]
+        pairs = Ev.pair(gold, runs, keys=("line",), gold_col="negcuelabel", pred_col="negcuelabel")
+        assert pairs.count() == 4000 and pairs.where("gold != pred").count() == 0
+        assert tuple(Ev.unpaired(gold, runs, ["run-x"], keys=("line",)).first()) == ("run-x", 4000, 1000, 0)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
