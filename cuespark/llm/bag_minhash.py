@@ -294,7 +294,7 @@ def candidate_pairs(nodes: DataFrame, slices: int = SLICES) -> tuple[DataFrame,
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = materialize(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     n = sizes.agg(F.sum("size")).first()[0] or 0  # members
-    members = materialize(_few(rows.join(_small(sizes, n, "buckets"), "bucket"), n), "bucket-members")
+    members = materialize(rows.join(_small(sizes, n, "buckets"), "bucket"), "bucket-members")
     mates = members.groupBy("node").agg(F.sum("size").alias("mates"))
     ranked = members.select("bucket", "node", F.pmod(F.xxhash64("bucket", "node"), F.lit(slices)).alias("slice")).join(_small(mates, n, "mates"), "node")
     pivots = ranked.groupBy("bucket", "slice").agg(F.max(F.struct("mates", "node")).alias("top"))
@@ -347,7 +347,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     one = sets.select(F.col("node").alias("u"), F.col("x").alias("x1"), F.col("c").alias("c1"))
     two = sets.select(F.col("node").alias("v"), F.col("x").alias("x2"), F.col("c").alias("c2"))
     both = pairs.select(F.col("node").alias("u"), F.col("pivot").alias("v")).join(one, "u").join(two, "v")
-    return _few(both, pairs.count(), TASK_PAIRS).mapInArrow(_verifier(similarity), f"u {_NODE}, v {_NODE}")
+    return _few(both, pairs.count() + sets.count(), TASK_PAIRS).mapInArrow(_verifier(similarity), f"u {_NODE}, v {_NODE}")
 
 
 def _small(df: DataFrame, rows: int, name: str) -> DataFrame:
