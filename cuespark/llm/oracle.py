@@ -114,7 +114,7 @@ FROM m JOIN t USING (conv_id) GROUP BY conv_id, (pos - 1) // 256"""
 
 ORACLE["op4_warc"] = r"""
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
-s AS (SELECT *, md5('response|' || page_id || '|' || coalesce(url, '')) AS m, regexp_replace(h, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<noscript\b.*?</noscript\s*>', ' ', 'g') AS v FROM p),
+s AS (SELECT *, md5('response|sha256:' || sha256(h) || '|' || coalesce(length(page_id::VARCHAR) || ':' || page_id, 'null') || '|' || coalesce(length(url) || ':' || url, 'null')) AS m, regexp_replace(h, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<noscript\b.*?</noscript\s*>', ' ', 'g') AS v FROM p),
 b AS (SELECT *, regexp_replace(regexp_replace(v, '(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>', chr(10), 'g'),
                               '<[a-zA-Z/!?][^>]*>', '', 'g') AS x FROM s),
 e AS (SELECT *, replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&#39;', ''''), '&amp;', '&') AS y,

@@ -4,10 +4,12 @@ conversion records.
 Every response gives two records that name it in ``WARC-Refers-To`` and keep
 its target URI, date, HTTP headers and payload digest: a ``metadata`` record
 (title, language, out-links, source headers) and a ``conversion`` record (the
-page's text).  They name each other in ``WARC-Concurrent-To``.  Record ids are
-made from the source's id, so a repeated run gives the same records.
+page's text).  They name each other in ``WARC-Concurrent-To``.  A response's id is made from
+its page id, url and payload digest, the others from the response's, so a
+repeated run gives the same records and different pages have different ids.
 
-Texts are extracted in Arrow batches, a row at a time; nothing is shuffled.
+Texts are extracted in Arrow batches, a row at a time, in time linear in the
+page, unclosed tags or not; nothing is shuffled.
 ``write_warc`` writes files that hold one record after the other, through
 Spark's own writer.
 
@@ -29,26 +31,82 @@ from pyspark.sql import functions as F
 DATE = "2000-01-01T00:00:00Z"  # of pages that come without a time of capture
 CRLF = "\r\n"
 
-HIDDEN = re.compile(r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<noscript\b.*?</noscript\s*>")
+HIDDEN = re.compile(r"(?i)<!--|<(script|style|head|noscript)\b")
+CLOSERS = {k: re.compile(rf"(?i)</{k}\s*>") for k in ("script", "style", "head", "noscript")} | {None: re.compile("-->")}
 BREAKS = re.compile(r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>")
 TAGS = re.compile(r"<[a-zA-Z/!?][^>]*>")
-TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-LANG = re.compile(r"""(?i)<html\b[^>]*?\blang=["']?([A-Za-z-]+)""")
-LINK = re.compile(r"""(?i)<a\b[^>]*?\bhref=["']([^"']*)["']""")
+TITLE, TITLE_END = re.compile(r"(?i)<title\b"), re.compile(r"(?i)</title\s*>")
+HTML, LANG = re.compile(r"(?i)<html\b"), re.compile(r"""(?i)\blang=["']?([A-Za-z-]+)""")
+ANCHOR, HREF, QUOTE = re.compile(r"(?i)<a\b"), re.compile(r"""(?i)\bhref=["']"""), re.compile("[\"']")
 BLANKS, EDGES = re.compile(r"[ \t\x0b\f\r\xa0]+"), re.compile(r" ?\n[ \n]*")
 
 
+def without_hidden(page: str) -> str:
+    """The page with comments, scripts, styles and heads as a blank.  A kind
+    that is not closed after one opener is not closed after later ones, so
+    it is looked for once."""
+    out, done, open_kinds = [], 0, set()
+    for m in HIDDEN.finditer(page):
+        kind = m.group(1) and m.group(1).lower()
+        if m.start() < done or kind in open_kinds:
+            continue
+        close = CLOSERS[kind].search(page, m.end())
+        if close is None:
+            open_kinds.add(kind)
+            continue
+        out += [page[done:m.start()], " "]
+        done = close.end()
+    return "".join([*out, page[done:]])
+
+
 def plain_text(page: str) -> str:
     """Visible text of a page, a line per block, blanks collapsed."""
-    t = unescape(TAGS.sub("", BREAKS.sub("\n", HIDDEN.sub(" ", page))))
+    t = without_hidden(page)
+    end = t.rfind(">") + 1  # no tag ends after it
+    t = unescape(TAGS.sub("", BREAKS.sub("\n", t[:end])) + t[end:])
     return EDGES.sub("\n", BLANKS.sub(" ", t)).strip(" \n")
 
 
+def _title(page: str) -> str:
+    opened = TITLE.search(page)
+    start = page.find(">", opened.end()) + 1 if opened else 0
+    close = TITLE_END.search(page, start) if start else None
+    return page[start:close.start()] if close else ""
+
+
+def _in_tags(page: str, opener: re.Pattern, wanted: re.Pattern):
+    """First match of ``wanted`` between an opener and the next ``>``, again
+    from the place that the caller sends; every ``>`` is looked up once."""
+    at, end = 0, -1
+    while m := opener.search(page, at):
+        if end < m.end():
+            end = page.find(">", m.end())
+            end = len(page) if end < 0 else end
+        found = wanted.search(page, m.end(), end)
+        at = end if found is None else (yield found)
+
+
+def _lang(page: str) -> str:
+    found = next(_in_tags(page, HTML, LANG), None)
+    return found.group(1).lower() if found else ""
+
+
+def _links(page: str) -> list[str]:
+    links, tags = [], _in_tags(page, ANCHOR, HREF)
+    found = next(tags, None)
+    while found and (close := QUOTE.search(page, found.end())):
+        links.append(page[found.end():close.start()])
+        try:
+            found = tags.send(close.end())
+        except StopIteration:
+            break
+    return links
+
+
 def page_facts(page: str) -> tuple[str, str, list[str]]:
     """Title, language and out-links as they stand."""
-    title, lang = TITLE.search(page), LANG.search(page)
     one_line = lambda s: " ".join(unescape(s).split())
-    return one_line(title.group(1)) if title else "", lang.group(1).lower() if lang else "", [one_line(x) for x in LINK.findall(page)]
+    return one_line(_title(page)), _lang(page), [one_line(x) for x in _links(page)]
 
 
 def _extract(batches):
@@ -66,6 +124,12 @@ def urn(*parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
 
+def _marked(part: Column) -> Column:
+    """``part`` after its length, so that neither a null nor a separator in
+    it can be taken for another part."""
+    return F.coalesce(F.concat(F.length(part).cast("string"), F.lit(":"), part), F.lit("null"))
+
+
 def digest(block: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(block, 256))
 
@@ -75,7 +139,7 @@ def responses(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     http_headers, payload, payload_digest`` and the page's id."""
     body = F.coalesce(F.col(html), F.lit(""))
     head = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length(body).cast("string"))
-    return pages.select(F.col(page_id).alias("page_id"), urn(F.lit("response"), F.col(page_id).cast("string"), F.coalesce(F.col(url), F.lit(""))).alias("record_id"),
+    return pages.select(F.col(page_id).alias("page_id"), urn(F.lit("response"), digest(body), _marked(F.col(page_id).cast("string")), _marked(F.col(url))).alias("record_id"),
                         F.col(url).alias("target_uri"), F.lit(DATE).alias("date"), head.alias("http_headers"), body.alias("payload"), digest(body).alias("payload_digest"))
 
 

@@ -1,8 +1,13 @@
 import gzip
 import hashlib
+import random
 import re
+import time
+from html import unescape
 from pathlib import Path
 
+import pytest
+
 from cuespark.llm import warc as W
 
 SCHEMA = "page_id bigint, url string, html string"
@@ -52,6 +57,41 @@ def test_records_are_linked_and_keep_the_source(spark):
     assert "title: T & <b>x</b>\r\n" in facts and "outlink: y\r\n" in facts and "source-header: HTTP/1.1 200 OK\r\n" in facts
 
 
+def test_ids_differ_where_pages_do(spark):
+    rows = [(1, "u", "a"), (1, "u", "b"), (None, "5|x", "a"), (5, "x", "a"), (None, "", "a"), (None, None, "a")]
+    got = W.derive(W.responses(spark.createDataFrame(rows, SCHEMA))).select("record_id").distinct()
+    assert got.count() == 2 * len(rows)
+
+
+# The page rules as plain expressions, which take quadratic time.
+OLD_HIDDEN = re.compile(r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<noscript\b.*?</noscript\s*>")
+OLD_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
+OLD_LANG = re.compile(r"""(?i)<html\b[^>]*?\blang=["']?([A-Za-z-]+)""")
+OLD_LINK = re.compile(r"""(?i)<a\b[^>]*?\bhref=["']([^"']*)["']""")
+BITS = ["<!--", "-->", "<script", "</script >", "<STYLE>", "</style>", "<head", "</head>", "<title", "</title>", "<html ", "lang=", " lang='", "de", ">", "<", "<a ", "<a", "href=\"", " href='",
+        "'", "\"", "x", " ", "\n", "<p", "<b", "</p>", "&lt;", "<noscript>", "</noscript"]
+
+
+def test_linear_rules_match_plain_expressions():
+    rnd = random.Random(5)
+    for _ in range(20000):
+        page = "".join(rnd.choices(BITS, k=rnd.randint(0, 25)))
+        assert W.without_hidden(page) == OLD_HIDDEN.sub(" ", page)
+        title, lang = OLD_TITLE.search(page), OLD_LANG.search(page)
+        assert (W._title(page), W._lang(page)) == (title.group(1) if title else "", lang.group(1).lower() if lang else "")
+        assert W._links(page) == OLD_LINK.findall(page)
+        said = W.TAGS.sub("", W.BREAKS.sub("\n", OLD_HIDDEN.sub(" ", page)))
+        assert W.plain_text(page) == W.EDGES.sub("\n", W.BLANKS.sub(" ", unescape(said))).strip(" \n")
+
+
+@pytest.mark.parametrize("bit", ["<script ", "<!--", "<head", "<title ", "<title>", "<html ", "<a ", "<a href=\"x\" ", "<a href='", "<p ", "<", "<script </script ", "<!-- --", "<p <"])
+def test_a_page_of_unclosed_tags_takes_linear_time(bit):
+    page = bit * (1_000_000 // len(bit))
+    start = time.process_time()
+    W.plain_text(page), W.page_facts(page)
+    assert time.process_time() - start < 5
+
+
 def test_written_files_round_trip(spark, tmp_path):
     records = W.derive(W.responses(pages(spark)))
     W.write_warc(records, str(tmp_path / "w"))
