@@ -2,16 +2,18 @@
 
 Normalised lines (stripped of white space at both ends, lower-cased) are
 hashed together with their host; a host's line is frequent if it stands in
-more distinct documents of the host than both limits: ``min_docs`` and
-``share`` of the host's distinct documents.  Frequent lines are removed, and
-a document with too small a share of its words left is rejected.  Documents are distinct by
-text, so exact copies count once.
+more than ``min_docs`` distinct documents of the host, and, where a caller asks
+for it, in more than ``share`` of them.  By default the limit is the same in a
+host of any size.  Frequent lines are removed, and a document with too small a
+share of its words left is rejected.  Documents are distinct by text, so exact
+copies count once.
 
 DataFrame functions only.  Lines travel as 64-bit hashes; the two counts are
 pre-aggregated before each shuffle, so a line or a host with a third of all
-rows is one row per task.  The frequent lines, and the documents that have
-some, are broadcast if a count shows them to be few, else joined by shuffle
-with the hot keys salted.
+rows is one row per task.  The frequent lines, and the line numbers of the
+documents that have some, are broadcast if their counts show them to be few,
+else joined by shuffle with the hot keys salted.  Lines are cut out as slices
+between removed ones, in time linear in the text.
 
 Defined results: a null or empty text has no words and fails the base rule;
 a null host is a host of its own; a null id is an ordinary id; repeated rows
@@ -30,9 +32,9 @@ MIN_WORDS = 20        # base rule
 MAX_REPEAT = 30       # base rule: percent of words in repeated windows
 WINDOW = 8
 MIN_DOCS = 10         # a line in no more documents of its host is kept
-SHARE = 0.005         # nor one in no more than this share of its documents
+SHARE = 0.0           # nor one in no more than this share of its documents
 MIN_LEFT = 0.3        # least share of words that must be left
-BROADCAST_ROWS = 200_000  # frequent lines, or texts with some, that are broadcast at most
+BROADCAST_ROWS = 200_000  # frequent lines, or texts with some and their removed lines, that are broadcast at most
 SALTS = 16
 
 
@@ -82,23 +84,28 @@ def _lines(docs: DataFrame, text: str, host: str) -> DataFrame:
     """One row per line with a word: key ``_doc`` of its host's text, host,
     line number ``_at``, host and line hash ``_key``, number of words ``_n``."""
     rows = docs.select(F.col(host).alias("_host"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = rows.select("_host", _same(F.col("_host"), F.col("_text")).alias("_doc"), F.posexplode(text_lines(F.col("_text"))).alias("_at", "_line"))
+    rows = hold(rows, ["_host"], _doc=_same(F.col("_host"), F.col("_text")), _lines=text_lines(F.col("_text")))  # hashed once, not per line
+    rows = rows.select("_host", "_doc", F.posexplode("_lines").alias("_at", "_line"))
     key = F.xxhash64(F.col("_host"), F.lower(strip_space(F.col("_line"))))
     return rows.where(F.col("_line").rlike(HAS_WORD)).select("_doc", "_host", "_at", key.alias("_key"),
                                                              F.size(space_words(F.col("_line"))).alias("_n"))
 
 
-def _few(df: DataFrame) -> bool:
-    return df.count() <= BROADCAST_ROWS
+def _few(df: DataFrame, entries: Column | None = None) -> bool:
+    """Whether rows and their ``entries`` are at most ``BROADCAST_ROWS``."""
+    most = df.agg(F.count(F.lit(1)) + F.coalesce(F.sum(entries), F.lit(0)) if entries is not None else F.count(F.lit(1)))
+    return most.first()[0] <= BROADCAST_ROWS
 
 
 def frequent_lines(docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = MIN_DOCS,
                    share: float = SHARE) -> DataFrame:
     """``_key``: host and line hash of every line above both limits."""
-    whole = docs.select(F.col(host).alias("_h"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_t")).distinct()
-    limits = whole.groupBy("_h").agg((F.count(F.lit(1)) * share).alias("_most"))
     seen = _lines(docs, text, host).select("_host", "_key", "_doc").distinct()
     counts = seen.groupBy("_key").agg(F.count(F.lit(1)).alias("_docs"), F.first("_host").alias("_host")).where(F.col("_docs") > min_docs)
+    if not share:
+        return counts.select("_key")
+    whole = docs.select(F.col(host).alias("_h"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_t")).distinct()
+    limits = whole.groupBy("_h").agg((F.count(F.lit(1)) * share).alias("_most"))
     return counts.join(limits, F.col("_host").eqNullSafe(F.col("_h"))).where(F.col("_docs") > F.col("_most")).select("_key")
 
 
@@ -118,14 +125,14 @@ def removed_lines(docs: DataFrame, text: str = "text", host: str = "source", **l
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", keep=None, min_left: float = MIN_LEFT, **limits) -> DataFrame:
     """Struct ``row`` of the ``keep`` columns (all) of every row, the counts,
-    ``removed`` (line numbers taken out), ``n_left`` words and ``kept``."""
+    ``removed`` (line numbers taken out, sorted), ``n_left`` words and ``kept``."""
     out = removed_lines(docs, text, host, **limits)
     t = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.struct(*(keep or docs.columns)).alias("row"), _same(F.col(host), t).alias("_doc"), t.alias("_text"))
     rows = base_metrics(rows, ["row", "_doc"], "_text")
-    rows = rows.join(F.broadcast(out) if _few(out) else out, "_doc", "left")
+    rows = rows.join(F.broadcast(out) if _few(out, F.size("_out")) else out, "_doc", "left")
     gone = F.aggregate(F.coalesce("_out", F.array().cast(out.schema["_out"].dataType)), F.lit(0), lambda a, x: a + x["_n"])
-    rows = rows.withColumn("n_left", F.col("n_words") - gone).withColumn("removed", F.transform("_out", lambda x: x["_at"])).drop("_out", "_doc")
+    rows = rows.withColumn("n_left", F.col("n_words") - gone).withColumn("removed", F.array_sort(F.transform("_out", lambda x: x["_at"]))).drop("_out", "_doc")
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("n_left") >= F.col("n_words") * min_left))
 
 
@@ -140,6 +147,12 @@ def clean_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame
     columns and unaffected texts unchanged."""
     rows = judge(docs, text=text, **options).where("kept")
     said = F.col("row")[text]
-    lines = F.filter(text_lines(said), lambda line, i: ~F.array_contains("removed", i))
-    cut = F.when(F.col("removed").isNull(), said).otherwise(F.array_join(lines, "\n"))
+    rows = hold(rows, ["row"], _said=F.when(F.col("removed").isNotNull(), text_lines(said)), _out=F.col("removed"))
+
+    def between(i):  # the lines after removed line i - 1 and before removed line i
+        after = F.coalesce(F.get("_out", i - 1) + 1, F.lit(0))
+        return F.slice("_said", after + 1, F.coalesce(F.get("_out", i), F.size("_said")) - after)
+
+    left = F.flatten(F.transform(F.sequence(F.lit(0), F.size("_out")), between))
+    cut = F.when(F.col("_out").isNull(), said).otherwise(F.array_join(left, "\n"))
     return rows.select(*[cut.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])

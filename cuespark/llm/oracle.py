@@ -32,9 +32,7 @@ again AS (SELECT r, x.i AS i FROM win QUALIFY count(*) OVER (PARTITION BY r, x.s
 rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM again) GROUP BY r),
 ln AS (SELECT r, source, t, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
               lower(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS k FROM (SELECT r, source, t, unnest(l) AS line FROM w)),
-hosts AS (SELECT source, count(DISTINCT t) AS n FROM d GROUP BY source),
-freq AS (SELECT source, k FROM ln GROUP BY source, k HAVING count(DISTINCT t) > 10
-         AND count(DISTINCT t) > 0.005 * (SELECT n FROM hosts WHERE hosts.source IS NOT DISTINCT FROM ln.source)),
+freq AS (SELECT source, k FROM ln GROUP BY source, k HAVING count(DISTINCT t) > 10),
 cut AS (SELECT r, sum(n) AS n FROM ln JOIN freq ON ln.k = freq.k AND ln.source IS NOT DISTINCT FROM freq.source GROUP BY r),
 m AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(length(list_aggregate(w, 'string_agg', '')), 0)::BIGINT AS word_chars,
              len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,

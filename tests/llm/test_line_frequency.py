@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 from cuespark.llm import line_frequency as L
@@ -74,6 +75,23 @@ def test_clean_documents(spark, make_docs):
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((x[0], x[-1]) for x in brute(docs, 4, 0.1) if x[-2])
 
 
+def test_a_footer_in_11_of_10000_texts_is_removed(spark, make_docs):
+    docs = [(i, " ".join(f"a{i}x{j}" for j in range(30)) + ("\nThe footer" if i < 11 else "\nten of these" if i < 21 else ""), "hot") for i in range(10000)]
+    got = {r.doc_id: r.text for r in L.clean_documents(make_docs(docs)).where("doc_id < 21").collect()}
+    assert got == {i: docs[i][1].split("\n")[0] if i < 11 else docs[i][1] for i in range(21)}
+
+
+def test_many_removed_lines_take_linear_time(spark, make_docs):
+    own = "\n".join(f"own {i} and some more words here" for i in range(100_000))
+    docs = [(d, "\n".join(f"shared {i}" + (f"\nown {d} {i} with a few more words" if i % 2 == 0 else "") for i in range(100_000)), "s") for d in range(2)]
+    docs.append((2, own, "s"))
+    L.clean_documents(make_docs(docs[2:]), min_docs=1).count()
+    start = time.monotonic()
+    got = {r.doc_id: r.text for r in L.clean_documents(make_docs(docs), min_docs=1).collect()}
+    assert time.monotonic() - start < 40
+    assert got == {d: "\n".join(f"own {d} {i} with a few more words" for i in range(0, 100_000, 2)) for d in range(2)} | {2: own}
+
+
 def test_empty_table(spark, make_docs):
     assert L.report(make_docs([])).count() == 0
     assert L.clean_documents(make_docs([])).count() == 0
