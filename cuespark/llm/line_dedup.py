@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .lines import ascii_lower, strip_space, text_lines
+from .lines import ascii_lower, hold, strip_space, text_lines
 
 MIN_CHARS = 10
 HOT_SHARE = 2000
@@ -40,7 +40,8 @@ def line_keys(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFr
     """``_h1, _h2`` (hash of the key), ``_d`` (document), ``_t`` (hash of its
     text), ``_at`` (line number) of every line with a key long enough."""
     t = _text(F.col(text))
-    rows = docs.select(F.col(doc_id).alias("_d"), F.xxhash64(t).alias("_t"), F.posexplode(text_lines(t)).alias("_at", "_line"))
+    rows = hold(docs.select(F.col(doc_id).alias("_d"), t.alias("_s")), ["_d"], _t=F.xxhash64("_s"), _lines=text_lines(F.col("_s")))
+    rows = rows.select("_d", "_t", F.posexplode("_lines").alias("_at", "_line"))  # hashed once, not per line
     rows = rows.select("_d", "_t", "_at", strip_space(F.col("_line")).alias("_key")).where(F.length("_key") >= min_chars)
     rows = rows.select("_d", "_t", "_at", ascii_lower(F.col("_key")).alias("_key"))
     return rows.select(F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2"), "_d", "_t", "_at")
