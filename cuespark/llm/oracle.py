@@ -69,22 +69,23 @@ t AS (SELECT r, sum(CASE WHEN fits THEN size ELSE 0 END)::BIGINT AS taken FROM q
 SELECT doc_id, size, total AS source_size, target, taken FROM c JOIN t USING (r)"""
 
 
-def _url_templates(depth: int = 6) -> str:
-    """The template tree level by level; constants as in url_templates."""
+def _url_templates(depth: int = 10) -> str:
+    """The template tree level by level, for paths of up to ``depth``
+    segments; constants as in url_templates."""
     ctes = [r"""u AS (SELECT page_id, url, try_cast(nullif(regexp_extract(url, '/([0-9]{1,18})(?:\.html|/)?(?:[?#].*)?$', 1), '') AS BIGINT) AS doc_id FROM pages),
 l AS (SELECT doc_id, max((quality = 0 OR toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id),
 p AS (SELECT page_id, bad, translate(coalesce(regexp_extract(url, '(?s)://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              coalesce(regexp_extract(url, '(?s)://([^/?#]*)([^?#]*)', 2), '') AS path FROM u LEFT JOIN l USING (doc_id)),
 p1 AS (SELECT *, list_transform(CASE WHEN path = '' THEN []::VARCHAR[] ELSE string_split(CASE WHEN path LIKE '/%' THEN path[2:] ELSE path END, '/') END,
                  lambda s: regexp_replace(regexp_replace(s, '[0-9a-fA-F-]{16,}', '{h}', 'g'), '[0-9]+', '{n}', 'g')) AS s0 FROM p),
-p2 AS (SELECT * EXCLUDE (s0), CASE WHEN len(s0) > 6 THEN s0[1:5] || ['{**}'] ELSE s0 END AS segs FROM p1),
+p2 AS (SELECT * EXCLUDE (s0), s0 AS segs FROM p1),
 t0 AS (SELECT host, segs, count(*) AS n, count(bad) AS known, coalesce(sum(bad), 0) AS bad, '' AS prefix FROM p2 GROUP BY host, segs)"""]
     for k in range(1, depth + 1):
         ctes.append(f"""k{k} AS (SELECT host, prefix, segs[{k}] AS child, sum(n) AS n, sum(known) AS known, sum(bad) AS bad FROM t{k - 1} WHERE len(segs) >= {k} GROUP BY ALL),
 n{k} AS (SELECT host, prefix, child, n, known, bad, count(*) OVER w AS kids, sum(n) OVER w AS an, sum(known) OVER w AS ak, sum(bad) OVER w AS ab FROM k{k} WINDOW w AS (PARTITION BY host, prefix)),
-z{k} AS (SELECT host, prefix, child, kids, an, power(bad / nullif(known, 0) - (ab - bad) / nullif(ak - known, 0), 2)
+z{k} AS (SELECT host, prefix, child, kids, an, ak, power(bad / nullif(known, 0) - (ab - bad) / nullif(ak - known, 0), 2)
          / nullif(ab / nullif(ak, 0) * (1 - ab / nullif(ak, 0)) * (1 / nullif(known, 0) + 1 / nullif(ak - known, 0)), 0) AS z FROM n{k}),
-t{k} AS (SELECT t.host, segs, n, known, bad, CASE WHEN len(segs) < {k} THEN t.prefix WHEN kids > 1 AND ((kids >= 20 AND kids * 2 >= an) OR NOT coalesce(z >= 3.84, false))
+t{k} AS (SELECT t.host, segs, n, known, bad, CASE WHEN len(segs) < {k} OR t.prefix LIKE '%/{{**}}' THEN t.prefix WHEN {k} > 5 AND ak = 0 THEN t.prefix || '/' || '{{**}}' WHEN kids > 1 AND ((kids >= 20 AND kids * 2 >= an) OR NOT coalesce(z >= 3.84, false))
          THEN t.prefix || '/' || '{{*}}' ELSE t.prefix || '/' || child END AS prefix
          FROM t{k - 1} t LEFT JOIN z{k} z ON z.host = t.host AND z.prefix = t.prefix AND z.child = t.segs[{k}])""")
     return "WITH " + ",\n".join(ctes) + f""",

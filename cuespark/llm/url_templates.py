@@ -4,21 +4,24 @@ Explicit rules come first: a rule ``host/path`` fits its host and all
 subdomains if the path starts with the rule's; the longest that fits decides.
 Other urls get the verdict of their template.
 
-Templates form one tree per host over path segments.  Digits and long
-hexadecimal runs are wildcards from the start; then, level by level, a
-segment becomes the wildcard ``{*}`` if its node has too many distinct
+Templates form one tree per host over path segments, as deep as the paths.
+Digits and long hexadecimal runs are wildcards from the start; then, level by
+level, a segment becomes the wildcard ``{*}`` if its node has too many distinct
 children, or if its share of bad labelled urls does not differ significantly
 from its siblings' (a two-proportion test on the labels below them).  Leaves
 are rejected when their smoothed share of bad labels, pulled towards the
-host's and that towards the whole table's, is above ``MAX_BAD``.
+host's and that towards the whole table's, is above ``MAX_BAD``.  Below
+``DEPTH`` levels a branch without labels ends in ``{**}``: all its templates
+would have the host's share.
 
 DataFrame functions only.  Pages are pre-aggregated to distinct (host, path
 with wildcards) before anything else; each level joins two written tables, so
-a host with a third of all rows can be split by adaptive execution.
+a host with a third of all rows can be split by adaptive execution.  Below
+``DEPTH``, a step of the loop takes every node to its next fork at once, so the
+number of steps is that of forks on a labelled path, not its length.
 
 Defined results: a null url, and one without ``://``, has an empty host and
-path and is judged with the others of that kind; paths deeper than ``DEPTH``
-end in one wildcard; without labels nothing is blocked by templates; repeated
+path and is judged with the others of that kind; without labels nothing is blocked by templates; repeated
 rows give repeated results; empty tables give empty results.
 """
 
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .lines import ascii_lower
 
-DEPTH = 6           # levels of the tree
+DEPTH = 5           # levels that branches without labels have too
 MAX_CHILDREN = 20   # distinct children of a node, if at least half its visits
 CRITICAL = 3.84     # chi-square, one degree of freedom, 5 %
 PRIOR = 5           # labelled urls that the host's share counts for
@@ -58,14 +61,14 @@ def _segments(path: Column) -> Column:
     """Path segments with digits and long hexadecimal runs as wildcards."""
     s = F.when(path.startswith("/"), F.split(F.substring(path, 2, 1 << 30), "/")).otherwise(F.split(path, "/"))
     s = F.when(path == "", F.array().cast("array<string>")).otherwise(s)
-    s = F.transform(s, lambda x: F.regexp_replace(F.regexp_replace(x, "[0-9a-fA-F-]{16,}", "{h}"), "[0-9]+", "{n}"))
-    return F.when(F.size(s) > DEPTH, F.concat(F.slice(s, 1, DEPTH - 1), F.array(F.lit("{**}")))).otherwise(s)
+    return F.transform(s, lambda x: F.regexp_replace(F.regexp_replace(x, "[0-9a-fA-F-]{16,}", "{h}"), "[0-9]+", "{n}"))
 
 
-def _generalised(t: DataFrame, level: int) -> DataFrame:
-    """``t`` with the segment of ``level`` appended to ``prefix``."""
-    child = F.get("segments", F.lit(level))
-    kids = materialize(t.where(F.size("segments") > level).groupBy("host", "prefix", child.alias("child"))
+def _generalised(t: DataFrame) -> DataFrame:
+    """``t`` with segment number ``at`` appended to ``prefix``, where there is
+    one."""
+    child = F.get("segments", F.col("at"))
+    kids = materialize(t.where(F.size("segments") > F.col("at")).groupBy("host", "prefix", child.alias("child"))
                        .agg(F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("bad").alias("bad")), "url-children")
     node = materialize(kids.groupBy("host", "prefix").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("all_n"),
                                                           F.sum("known").alias("all_known"), F.sum("bad").alias("all_bad")), "url-nodes")
@@ -78,7 +81,25 @@ def _generalised(t: DataFrame, level: int) -> DataFrame:
     shown = F.when((F.col("kids") > 1) & (many | ~differs), "{*}").otherwise(F.col("child"))
     chosen = materialize(kids.join(node, ["host", "prefix"]).select("host", "prefix", "child", shown.alias("shown")), "url-chosen")
     t = t.withColumn("child", child).join(chosen, ["host", "prefix", "child"], "left")
-    return t.withColumn("prefix", F.when(F.col("shown").isNull(), F.col("prefix")).otherwise(F.concat_ws("/", "prefix", "shown"))).drop("child", "shown")
+    t = t.withColumn("prefix", F.when(F.col("shown").isNull(), F.col("prefix")).otherwise(F.concat_ws("/", "prefix", "shown")))
+    return t.withColumn("at", F.when(F.col("shown").isNull(), F.col("at")).otherwise(F.col("at") + 1)).drop("child", "shown")
+
+
+def _at_forks(t: DataFrame) -> DataFrame:
+    """``t`` with the segments appended that all open paths of a node share
+    (what the least and the greatest path share, all share); nodes without
+    labels below them end."""
+    rest = F.slice("segments", F.col("at") + 1, F.size("segments"))
+    is_open = F.size("segments") > F.col("at")
+    nodes = t.where(is_open).groupBy("host", "prefix").agg(F.min(rest).alias("lo"), F.max(rest).alias("hi"), F.sum("known").alias("below"))
+    apart = F.array_position(F.zip_with("lo", "hi", lambda a, b: a.eqNullSafe(b)), False)
+    shared = F.when(apart == 0, F.size("lo")).otherwise(apart - 1).cast("int")
+    nodes = materialize(nodes.select("host", "prefix", "below", F.slice("lo", 1, shared).alias("shared")), "url-forks")
+    t = t.join(nodes.withColumn("forked", F.lit(True)), ["host", "prefix"], "left")
+    ends, goes = is_open & (F.col("below") == 0), is_open & F.col("forked")
+    prefix = F.when(ends, F.concat_ws("/", "prefix", F.lit("{**}"))).when(goes, F.concat_ws("/", "prefix", "shared")).otherwise(F.col("prefix"))
+    at = F.when(ends, F.size("segments")).when(goes, F.col("at") + F.size("shared")).otherwise(F.col("at"))
+    return t.select("host", "segments", "n", "known", "bad", prefix.alias("prefix"), at.alias("at"))
 
 
 def _shared(bad: Column, known: Column, prior: Column) -> Column:
@@ -92,10 +113,13 @@ def template_tree(pages: DataFrame, url: str = "url", bad: str = "bad") -> DataF
     host, path = host_and_path(F.col(url))
     rows = pages.select(host.alias("host"), _segments(path).alias("segments"), F.col(bad).cast("long").alias("bad"))
     t = rows.groupBy("host", "segments").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("known"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    t = materialize(t.withColumn("prefix", F.lit("")), "url-paths")
-    depth = t.agg(F.max(F.size("segments"))).first()[0] or 0  # DEPTH at most
-    for level in range(depth):
-        t = materialize(_generalised(t, level), "url-level")
+    t = materialize(t.withColumn("prefix", F.lit("")).withColumn("at", F.lit(0)), "url-paths")
+    depth = t.agg(F.max(F.size("segments"))).first()[0] or 0
+    for _ in range(min(depth, DEPTH)):
+        t = materialize(_generalised(t), "url-level")
+    while depth > DEPTH and not t.where(F.size("segments") > F.col("at")).isEmpty():
+        t = materialize(_at_forks(t), "url-fork")
+        t = materialize(_generalised(t), "url-level")
     every = t.agg(F.sum("bad").alias("bad"), F.sum("known").alias("known")).first()
     overall = F.lit((every.bad or 0) / (every.known or 1))
     hosts = t.groupBy("host").agg(_shared(F.sum("bad"), F.sum("known"), overall).alias("host_rate"))
