@@ -136,17 +136,25 @@ _PATTERNS = {"assign": r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20
              "access": "AKIA[A-Z0-9]{16,}", "hex": "[0-9a-f]{24,}", "markov": "[A-Za-z0-9+/_=-]{16,}"}
 
 
-def _spans(name: str, number: int, group: int, least: int) -> str:
+def _spans(name: str, number: int, group: int, least: int, table: str = "d") -> str:
     """Matches of a pattern with their places: the lengths of the pieces
     between matches and of the matches before."""
     p = f"'{_PATTERNS[name]}'"
     return f"""{name}_m AS (SELECT r, string_split_regex(t, {p}) AS g, regexp_extract_all(t, {p}, 0) AS m, regexp_extract_all(t, {p}, {group}) AS v
-             FROM d WHERE regexp_matches(t, {p})),
+             FROM {table} WHERE regexp_matches(t, {p})),
 {name} AS (SELECT r, x.s AS s, {number} AS k, x.s + length(x.m) AS e, x.v AS v FROM (SELECT r, unnest(list_transform(range(1, len(m) + 1), lambda i:
              {{'s': list_sum(list_transform(g[:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[:i - 1], lambda y: length(y))), 0), 'm': m[i], 'v': v[i]}})) AS x
              FROM {name}_m) WHERE length(x.v) >= {least})"""
 
 
+def _blanked(name: str, group: int, least: int, table: str) -> str:
+    """``table`` with blanks for the matches that have a value long enough."""
+    p = f"'{_PATTERNS[name]}'"
+    return f"""(SELECT r, CASE WHEN regexp_matches(t, {p}) THEN array_to_string(list_transform(range(1, len(string_split_regex(t, {p})) + 1), lambda i: string_split_regex(t, {p})[i]
+             || CASE WHEN i > len(regexp_extract_all(t, {p}, 0)) THEN '' WHEN length(regexp_extract_all(t, {p}, {group})[i]) >= {least}
+                     THEN repeat(' ', length(regexp_extract_all(t, {p}, 0)[i])) ELSE regexp_extract_all(t, {p}, 0)[i] END), '') ELSE t END AS t FROM {table})"""
+
+
 def _cut() -> str:
     out = "t"
     for k in ("assign", "access", "hex"):
@@ -159,14 +167,17 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FRO
 {_spans('assign', 0, 2, 6)},
 {_spans('access', 1, 0, 0)},
 {_spans('hex', 2, 0, 0)},
-{_spans('markov', 3, 0, 0)},
+rest1 AS MATERIALIZED {_blanked('assign', 2, 6, 'd')},
+rest2 AS MATERIALIZED {_blanked('access', 0, 0, 'rest1')},
+rest3 AS MATERIALIZED {_blanked('hex', 0, 0, 'rest2')},
+{_spans('markov', 3, 0, 0, 'rest3')},
 base AS (FROM assign UNION ALL FROM access UNION ALL FROM hex),
 val AS (SELECT DISTINCT * FROM (SELECT true AS random, v FROM base UNION ALL SELECT false, unnest(regexp_extract_all({_cut()}, '[A-Za-z0-9+/_=-]{{8,}}')) FROM d)),
 ch AS (SELECT random, list_filter(string_split(v, ''), lambda c: c <> '' AND contains('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-', c)) AS c FROM val),
 pair AS (SELECT random, unnest(list_transform(range(1, len(c) + 1), lambda i: {{'a': CASE WHEN i = 1 THEN '' ELSE c[i - 1] END, 'b': c[i]}})) AS p FROM ch),
 cnt AS (SELECT random, p.a AS a, p.b AS b, count(*) AS n FROM pair GROUP BY ALL),
 tot AS (SELECT random, a, sum(n) AS n FROM cnt GROUP BY ALL),
-free AS (SELECT row_number() OVER () AS q, * FROM markov m WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = m.r AND b.s < m.e AND m.s < b.e)),
+free AS (SELECT row_number() OVER () AS q, * FROM markov),
 step AS (SELECT q, unnest(list_transform(range(1, length(v) + 1), lambda i: {{'a': CASE WHEN i = 1 THEN '' ELSE v[i - 1] END, 'b': v[i]}})) AS p FROM free),
 llr AS (SELECT q, sum(ln((coalesce(rc.n, 0) + 0.1) / (coalesce(rt.n, 0) + 6.7)) - ln((coalesce(oc.n, 0) + 0.1) / (coalesce(ot.n, 0) + 6.7))) AS l FROM step
         LEFT JOIN cnt rc ON rc.random AND rc.a = p.a AND rc.b = p.b LEFT JOIN cnt oc ON NOT oc.random AND oc.a = p.a AND oc.b = p.b

@@ -5,7 +5,9 @@ find are labelled samples of random strings; the other identifier-like runs of
 the texts are samples of ordinary ones.  A first-order character model is
 trained on the distinct values of each label, over the whole table, and any
 further run whose log-likelihood ratio (random over ordinary) exceeds
-``MIN_LLR`` becomes a span of kind ``markov``.  Pattern spans always stay.
+``MIN_LLR`` becomes a span of kind ``markov``.  Pattern spans always stay; runs
+are looked for in what they leave (assignments blanked first, then access keys,
+then hexadecimal runs), so a random string joined to a pattern's is scored too.
 
 DataFrame functions only.  Texts are never shuffled; samples are distinct
 values, pre-aggregated, and what reaches the driver are the counts of
@@ -84,6 +86,13 @@ def _base_only(df: DataFrame, keep) -> DataFrame:
     return df.select(*keep, F.concat(long, "_access", "_hex").alias("_base"))
 
 
+def _blanked(t: Column, pattern: str, group: int, least: int) -> Column:
+    """``t`` with blanks for every match whose group has ``least`` characters."""
+    whole, value = (F.regexp_extract_all(t, F.lit(pattern), F.lit(g)) for g in (0, group))
+    blanks = F.zip_with(whole, value, lambda m, v: F.when(F.length(v) >= least, F.repeat(F.lit(" "), F.length(m))).otherwise(m))
+    return F.array_join(F.zip_with(F.split(t, pattern), blanks, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+
 def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
     """Distinct ``random`` (true or false) and ``value``: what the patterns
     find, and the identifier-like runs of the rest of the texts."""
@@ -131,10 +140,12 @@ def scan(docs: DataFrame, model: list[float], text: str = "text", keep=None, min
     ``spans``, sorted: ``start, no`` (place of the kind in ``KINDS``), ``end,
     value``."""
     df = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    df = _find(df, ["row"], "_t", _BASE | {"_more": (CANDIDATE, 0, 3)})
-    df = hold(_base_only(df, ["row", "_more"]), ["row", "_more"], _base=F.col("_base"))
-    free = F.filter("_more", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    df = hold(df, ["row", "_base"], _more=free)
+    df = _find(df, ["row", "_t"], "_t", _BASE)
+    for name, (pattern, group, _) in _BASE.items():  # few texts have matches
+        least = MIN_VALUE if name == "_assign" else 1
+        df = hold(df, ["row", *_BASE], _t=F.when(F.size(name) > 0, _blanked(F.col("_t"), pattern, group, least)).otherwise(F.col("_t")))
+    df = hold(_base_only(df, ["row", "_t"]), ["row", "_t"], _base=F.col("_base"))
+    df = _find(df, ["row", "_base"], "_t", {"_more": (CANDIDATE, 0, 3)})
     found = F.filter("_more", lambda m: log_ratio(m["value"], model) > min_llr)
     return df.select("row", F.array_sort(F.concat("_base", found)).alias("spans"))
 

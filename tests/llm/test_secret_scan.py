@@ -43,7 +43,10 @@ def brute(docs):
     out = []
     for d, t in docs:
         b = base(t)
-        more = [(m.start(), 3, m.end(), m.group()) for m in re.finditer(S.CANDIDATE, t or "") if not any(x[0] < m.end() and m.start() < x[2] for x in b) and llr(m.group()) > S.MIN_LLR]
+        rest = ASSIGN.sub(lambda m: " " * len(m.group()) if len(m.group(2)) >= 6 else m.group(), t or "")
+        for p in ("AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"):
+            rest = re.sub(p, lambda m: " " * len(m.group()), rest)
+        more = [(m.start(), 3, m.end(), m.group()) for m in re.finditer(S.CANDIDATE, rest) if llr(m.group()) > S.MIN_LLR]
         listed = lambda spans: ",".join(f"{S.KINDS[k]}:{s}:{e}" for s, k, e, _ in sorted(spans))
         n = Counter(x[1] for x in b)
         out.append((d, n[0], n[1], n[2], hashlib.sha256(listed(b).encode()).hexdigest(), listed(b + more)))
@@ -65,6 +68,8 @@ def sample():
             w.insert(len(w) // 2, rnd.choice([f"password={rand(rnd, 18)}", f"Api_KEY : '{rand(rnd, 20)}'", f"AKIA{rand(rnd, 16, 'ABCDEFGHIJ234567')}", rand(rnd, 40, "0123456789abcdef"), f"token = \"{rand(rnd, 30)}\""]))
         if d % 9 == 0:
             w.append(rand(rnd, 32))
+        if d % 13 == 0:
+            w.append(f"AKIA{rand(rnd, 16, 'ABCDEFGHIJ234567')}/{rand(rnd, 40)}" + d % 2 * f"-{rand(rnd, 24, '0123456789abcdef')}_{rand(rnd, 20)}")
         docs.append((d, "é日 " + " ".join(w)))
     return docs + [(300, None), (301, ""), (302, "token=token:abcdefgh secret=short AKIA1234"), (303, "password=abc"), (7, docs[7][1]), (None, docs[4][1]),
                    (304, "\U0001F600 secret: 'abcdefghij' tokenapikey=deadbeefdeadbeefdeadbeefdeadbeef passwd = x"), (305, "Token=" + "a" * 50000 + " " + "tion" * 9000), (306, "secret=abcdef123 " * 3000)]
@@ -76,6 +81,15 @@ def test_report_matches_brute_force(spark, make_docs):
     assert Counter(got) == Counter(brute(docs))
 
 
+def test_a_random_string_joined_to_a_pattern_is_scored(spark, make_docs):
+    rnd = random.Random(2)
+    known = [(True, rand(rnd, 30)) for _ in range(400)] + [(False, "".join(rnd.choices(["ordinary", "_identifier", "Names", "user", "List", "Count", "-to"], k=5))) for _ in range(400)]
+    model = S.train(spark.createDataFrame(known, "random boolean, value string"))
+    docs = [(d, f"é AKIA{rand(rnd, 16, 'ABCDEFGHIJ234567')}/{rand(rnd, 40)} and some ordinary_identifier_names") for d in range(40)]
+    got = [[(x.no, x.start, x.end) for x in r.spans] for r in S.scan(make_docs(docs), model).collect()]
+    assert got == [[(1, 2, 22), (3, 22, 63)]] * 40
+
+
 def test_held_out_accuracy(spark):
     rnd = random.Random(9)
     syl = ["get", "User", "Name", "_id", "list", "Item", "count", "to", "String", "parse", "Value"]
