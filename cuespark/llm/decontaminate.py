@@ -1,12 +1,13 @@
 """Benchmark decontamination (3): windows of normalised test n-grams against
 the token windows of training documents.
 
-The windows of the benchmark are hashed into a set that is broadcast after
-its size has been checked; a benchmark above ``max_bytes`` is cut into blocks
-of items and the documents are read once for each block, so no executor ever
-holds more than one block.  Documents are scanned in place: no shuffle, and
-one row's memory at most.  Every hash hit is verified against the words
-themselves before it counts.
+Spark cuts the benchmark into pieces of at most ``PIECE`` window positions,
+so that a long item is many pieces, and measures them.  The windows of the
+pieces are hashed into a set that is broadcast; above ``max_bytes`` of set
+memory the pieces are dealt into blocks and the documents are read once for
+each block, so no executor ever holds more than one block.  Documents are
+scanned in place: no shuffle, and one row's memory at most.  Every hash hit
+is verified against the words themselves before it counts.
 
 Defined results: a null or empty text has no words and is clean; a benchmark
 item without words has no window; an item whose id is null counts as the item
@@ -30,41 +31,80 @@ from ..session import materialize
 from .textblocks import ALNUM_BYTES, Words, byte_table, inside_rows, lower_table, text_blocks, window_hashes
 
 WINDOW = 10
-MAX_BYTES = 32 << 20  # benchmark text that one broadcast block may hold
+PIECE = 4096           # window positions of a benchmark piece
+MAX_BYTES = 64 << 20   # memory of the window set of one broadcast block
+WORD_BYTES = 32        # what the set holds for a word beside its text
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 class WindowSet:
-    """Windows of benchmark items: per window length the sorted hashes, a
-    bit table that answers most look-ups, and the words of each window with
-    its items for verification."""
+    """Windows of benchmark pieces ``(item, window length, words joined by a
+    space)`` as flat arrays.  ``text`` holds all words, one byte between two;
+    ``start`` is the first byte of each.  Per window length: the sorted
+    hashes, the first word of a window with that hash, its items, and a bit
+    table that answers most look-ups.  ``rare`` has windows whose hash
+    another window got first."""
 
-    def __init__(self, items, k: int):
-        table, lower = byte_table(ALNUM_BYTES), lower_table()
-        self.names: list[str] = []
-        self.found: dict[bytes, set[int]] = {}
+    def __init__(self, pieces):
+        table = byte_table(ALNUM_BYTES)
         index: dict[str, int] = {}
-        hashes: dict[int, list[np.ndarray]] = {}
-        for item, text in items:
-            name = "" if item is None else str(item)
-            at = index.setdefault(name, len(index))
-            data = lower[np.frombuffer((text or "").encode(), dtype=np.uint8)]
-            w = Words(data, np.array([0, len(data)]), table)
-            if not len(w):
-                continue
-            n = min(k, len(w))
-            hashes.setdefault(n, []).append(window_hashes(w.hashes(), n))
-            raw = data.tobytes()
-            said = [raw[a:b] for a, b in zip(w.start, w.end)]
-            for i in range(len(said) - n + 1):
-                self.found.setdefault(b" ".join(said[i: i + n]), set()).add(at)
+        known: dict[bytes, int] = {}
+        texts, starts, ids, parts = [], [], [], {}
+        at = size = 0
+        for item, n, said in pieces:
+            raw = said.encode()
+            w = Words(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]), table)
+            h = window_hashes(w.hashes(), n)
+            where = np.arange(at, at + len(h), dtype=np.int32)
+            parts.setdefault(n, []).append((h, where, np.full(len(h), index.setdefault(item, len(index)), np.int32)))
+            texts.append(raw)
+            starts.append((size + w.start).astype(np.int32))
+            ids.append(np.array([known.setdefault(x, len(known)) for x in raw.split(b" ")], np.int32))
+            at, size = at + len(w), size + len(raw) + 1
         self.names = list(index)
-        self.by_length = {}
-        for n, parts in hashes.items():
-            u = np.unique(np.concatenate(parts))
-            bits = max(12, math.ceil(math.log2(len(u) * 32)))
-            seen = np.zeros(1 << bits, dtype=bool)
-            seen[u & np.uint64((1 << bits) - 1)] = True
-            self.by_length[n] = (u, seen, np.uint64((1 << bits) - 1))
+        self.text = b" ".join(texts)
+        self.start = np.concatenate([*starts, [size]]).astype(np.int32)
+        self.rare: dict[bytes, set[int]] = {}
+        words = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+        self.by_length = {n: self._sorted(n, *map(np.concatenate, zip(*p)), words) for n, p in parts.items()}
+
+    def said(self, at: int, n: int) -> bytes:
+        return self.text[self.start[at]: self.start[at + n] - 1]
+
+    def _sorted(self, n, h, at, item, words):
+        order = np.lexsort((item, h))
+        h, at, item = h[order], at[order], item[order]
+        new = np.append(True, h[1:] != h[:-1])
+        lead, same = at[np.flatnonzero(new)[np.cumsum(new) - 1]], np.ones(len(h), dtype=bool)
+        for j in range(n):
+            same &= words[at + j] == words[lead + j]
+        for i in np.flatnonzero(~same).tolist():
+            self.rare.setdefault(self.said(at[i], n), set()).add(int(item[i]))
+        h, at, item = h[same], at[same], item[same]
+        once = np.append(True, (h[1:] != h[:-1]) | (item[1:] != item[:-1]))
+        h, at, item = h[once], at[once], item[once]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        bits = max(12, math.ceil(math.log2(len(first) * 32)))
+        mask, u = np.uint64((1 << bits) - 1), h[first]
+        seen = np.zeros(1 << (bits - 3), dtype=np.uint8)
+        np.bitwise_or.at(seen, (u & mask) >> np.uint64(3), _BIT[u & np.uint64(7)])
+        return u, at[first], np.append(first, len(item)).astype(np.int32), item, seen, mask
+
+    def items(self, n: int, at: int, said: bytes):
+        """Items of the window ``said`` whose hash is the ``at``-th."""
+        _, lead, first, item, _, _ = self.by_length[n]
+        if self.said(lead[at], n) == said:
+            return item[first[at]: first[at + 1]].tolist()
+        return self.rare.get(said, ())
+
+    @property
+    def nbytes(self) -> int:
+        arrays = [x for t in self.by_length.values() for x in t]
+        return len(self.text) + self.start.nbytes + sum(x.nbytes for x in arrays)
+
+
+_BIT = np.left_shift(1, np.arange(8)).astype(np.uint8)
 
 
 def scan_block(data, offsets, windows: WindowSet, table, lower):
@@ -77,20 +117,20 @@ def scan_block(data, offsets, windows: WindowSet, table, lower):
     if not len(w):
         return counts, hits
     h, raw = w.hashes(), data.tobytes()
-    for n, (known, seen, mask) in windows.by_length.items():
+    for n, (known, _, _, _, seen, mask) in windows.by_length.items():
         x = window_hashes(h, n)
-        at = np.flatnonzero(seen[x & mask])
+        at = np.flatnonzero(seen[(x & mask) >> np.uint64(3)] & _BIT[x & np.uint64(7)])
         at = at[inside_rows(w.row_start, n, len(x))[at]] if len(at) else at
         if len(at):
-            p = np.searchsorted(known, x[at])
-            at = at[known[np.minimum(p, len(known) - 1)] == x[at]]
+            p = np.minimum(np.searchsorted(known, x[at]), len(known) - 1)
+            at, p = at[known[p] == x[at]], p[known[p] == x[at]]
         if not len(at):
             continue
         rows = np.searchsorted(w.row_start, at, side="right") - 1
         start, end = w.start, w.end
-        for i, row in zip(at.tolist(), rows.tolist()):
+        for i, row, g in zip(at.tolist(), rows.tolist(), p.tolist()):
             said = b" ".join([raw[a:b] for a, b in zip(start[i: i + n], end[i: i + n])])
-            if items := windows.found.get(said):
+            if items := windows.items(n, g, said):
                 first = int(w.row_start[row])
                 words, named = hits.setdefault(row, (set(), set()))
                 words.update(range(i - first, i - first + n))
@@ -127,6 +167,19 @@ def _scanner(windows, text: str, keep: list[str], found: bool):
     return run
 
 
+def pieces(benchmark: DataFrame, item: str = "item_id", text: str = "text", k: int = WINDOW) -> DataFrame:
+    """``item`` (id as a string), ``n`` (words of its windows) and ``said``:
+    the item's words, joined by a space, in pieces that share ``n - 1`` words,
+    so that every window lies in one piece."""
+    words = F.regexp_extract_all(F.translate(F.col(text), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    # the Generate keeps the words from being extracted again for each piece
+    b = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.inline(F.array(F.struct(words.alias("w")))))
+    size = F.size("w")
+    first = F.sequence(F.lit(0), F.greatest(size - k, F.lit(0)), F.lit(PIECE))
+    cut = F.transform(first, lambda i: F.struct(F.array_join(F.slice("w", i + 1, PIECE + k - 1), " ").alias("said")))
+    return b.where(size > 0).select("item", F.least(size, F.lit(k)).alias("n"), F.inline(cut)).distinct()
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, keep=("doc_id",), text: str = "text", item: str = "item_id",
          item_text: str = "text", k: int = WINDOW, max_bytes: int = MAX_BYTES) -> DataFrame:
     """``row`` (a struct of the ``keep`` columns) of every document row with
@@ -134,16 +187,19 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep=("doc_id",), text: str = "t
     window) and ``items`` (ids, as strings, of the items with an occurring
     window)."""
     spark, keep = docs.sparkSession, list(keep)
-    bench = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("said"))
-    size = bench.agg(F.coalesce(F.sum(F.octet_length("said")), F.lit(0))).first()[0]
+    bench = pieces(benchmark, item, item_text, k)
+    held = F.octet_length("said") + F.octet_length("item") + WORD_BYTES * (1 + F.length("said") - F.length(F.replace("said", F.lit(" "))))
+    size = bench.agg(F.coalesce(F.sum(held), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / max_bytes))
-    part = F.pmod(F.xxhash64("item", "said"), F.lit(blocks))
+    bench = bench.withColumn("block", F.pmod(F.xxhash64("item", "said"), F.lit(blocks)))
+    if blocks > 1:
+        bench = materialize(bench, "benchmark-pieces")
     read = list(dict.fromkeys([*keep, text]))
     state = docs.select(F.struct(*read).alias("row"))
     for b in range(blocks):
-        # at most about max_bytes of text: one block of the checked total
-        items = [tuple(r) for r in bench.where(part == b).distinct().collect()]
-        windows = spark.sparkContext.broadcast(WindowSet(items, k))
+        # a set of at most about max_bytes: one block of the checked total
+        block = bench.where(F.col("block") == b).select("item", "n", "said").collect()
+        windows = spark.sparkContext.broadcast(WindowSet(map(tuple, block)))
         last = b == blocks - 1
         out = keep if last else read
         schema = StructType([StructField("row", docs.select(F.struct(*out).alias("row")).schema["row"].dataType),

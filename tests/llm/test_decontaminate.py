@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 import random
 import re
 
@@ -66,6 +67,30 @@ def test_benchmark_in_blocks_gives_the_same(spark, make_docs):
     assert sorted(got, key=str) == brute(docs, items)
 
 
+def test_long_items_are_many_pieces(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(D, "PIECE", 3)
+    docs, items = sample()
+    assert D.pieces(bench(spark, items)).count() > len(items)
+    got = [tuple(r) for r in D.report(make_docs(docs), bench(spark, items)).collect()]
+    assert sorted(got, key=str) == brute(docs, items)
+
+
+def test_window_set_keeps_to_its_bound():
+    rnd = random.Random(1)
+    pieces = [(str(i), 10, " ".join(rnd.choices([f"word{j}" for j in range(5000)], k=4105))) for i in range(40)]
+    held = sum(len(s) + D.WORD_BYTES * 4105 for _, _, s in pieces)
+    ws = D.WindowSet(pieces)
+    assert ws.nbytes <= 1.2 * held and len(pickle.dumps(ws)) <= 1.2 * held
+
+
+def test_windows_with_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(D, "window_hashes", lambda h, k: np.full(max(len(h) - k + 1, 0), 7, np.uint64))
+    ws = D.WindowSet([("a", 2, "x y z"), ("b", 2, "y z"), ("c", 2, "x y"), ("c", 2, "q x y")])
+    data = np.frombuffer(b"x y / y z / z y", dtype=np.uint8)
+    counts, hits = D.scan_block(data, np.array([0, 4, 9, 15]), ws, byte_table(ALNUM_BYTES), lower_table())
+    assert {r: (w, {ws.names[i] for i in n}) for r, (w, n) in hits.items()} == {0: ({0, 1}, {"a", "c"}), 1: ({0, 1}, {"a", "b"})}
+
+
 def test_empty_tables_and_clashing_columns(spark, make_docs):
     docs, items = sample()
     assert D.report(make_docs([]), bench(spark, items)).count() == 0
