@@ -62,6 +62,30 @@ def test_tied_and_repeated_turns(spark):
     assert got == {2: (3, 1), 3: (2, 1)}
 
 
+def test_hot_null_id_lies_in_many_files(spark):
+    """A third of the rows have no id, all with one turn number, some equal:
+    one conversation, spread over the files of the sort."""
+    hot = spark.range(20000).selectExpr("cast(null as bigint) conv_id", "7 turn", "'user' role", "concat('h', id % 5000) text")
+    rest = spark.range(40000).selectExpr("id div 8 conv_id", "cast(id % 8 as int) turn", "'user' role", "concat('t', id div 8 % 900, ' ', id % 8) text")
+    df = hot.unionByName(rest).repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as for files of full size
+    try:
+        turns = C._turns(df, "conv_id", "turn", "role", "text")
+        assert turns.where("c.id is null").groupBy("file").count().count() > 1
+        got = {r.conv_id: (r.n_turns, r.copies) for r in C.maximal(df).collect()}
+        pieces = C.render(df).where("conv_id is null").selectExpr("piece", "size(split(text, '<.im_end.>')) - 1 k").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got.pop(None) == (20000, 1)
+    assert got == {c: (8, 6 if c < 500 else 5) for c in range(900)}
+    assert sorted(r.piece for r in pieces) == list(range(79)) and sum(r.k for r in pieces) == 20000
+
+
+def test_null_turns_come_first(spark):
+    rows = [(1, None, "user", "a"), (1, -5000, "user", "b"), (1, -1, "user", "c")]
+    assert C.render(spark.createDataFrame(rows, SCHEMA)).first().text == show("user", "a") + show("user", "b") + show("user", "c")
+
+
 def test_hashes_tell_null_from_empty(spark):
     rows = [(1, 0, None, "a"), (2, 0, "a", None), (3, 0, "", "a"), (4, 0, "a", "")]
     assert C.maximal(spark.createDataFrame(rows, SCHEMA)).count() == 4
