@@ -32,3 +32,4 @@ TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
 TEST_ONE_WORD_CUES = ["no", "without", "is", "was", "worthless"]
 TEST_MULTI_WORD_CUES = ["of the", "in the", "it is", "the of it", ". the of",
                         "the and attion to", "to to to to"]
+TEST_LONG_CUES = ["the the the the the", "of the in the of", "orre orre orre orre orre orre orre", "the of the"]

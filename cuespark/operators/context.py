@@ -160,6 +160,22 @@ def literal_forms(t, p, f):
     ]
 
 
+def _any_form(forms, cues):
+    cues = list(cues)
+    hit = forms[0].isin(cues)
+    for e in forms[1:]:
+        hit = hit | e.isin(cues)
+    return F.when(hit, F.lit(1)).otherwise(F.lit(0))
+
+
+def cue_flag(cues, mode: str = "span", token: str = "token"):
+    """W5 / W4 as an expression over the neighbour columns ``_p1``..``_f3``
+    of ``tokenize_with_context`` or ``corpus_context``."""
+    p = {k: F.col(f"_p{k}") for k in (1, 2, 3)}
+    f = {k: F.col(f"_f{k}") for k in (1, 2, 3)}
+    return _any_form((span_forms if mode == "span" else literal_forms)(F.col(token), p, f), cues)
+
+
 def match_multi(df: DataFrame, cues, mode: str = "span", token: str = "token", name: str = "match_multi",
                 scope=("doc_id",), pos: str = "tok_id") -> DataFrame:
     """W5 (``mode='span'``) / W4 (``mode='literal'``): 1 when any 2-4 token
@@ -174,11 +190,7 @@ def match_multi(df: DataFrame, cues, mode: str = "span", token: str = "token", n
     forms = span_forms(t, p, f) if mode == "span" else literal_forms(t, p, f)
     out = ctx
     for col_name, cue_list in lists.items():
-        cue_list = list(cue_list)
-        hit = forms[0].isin(cue_list)
-        for e in forms[1:]:
-            hit = hit | e.isin(cue_list)
-        out = out.withColumn(col_name, F.when(hit, F.lit(1)).otherwise(F.lit(0)))
+        out = out.withColumn(col_name, _any_form(forms, cue_list))
     return out.drop(*[f"_p{k}" for k in (1, 2, 3)], *[f"_f{k}" for k in (1, 2, 3)])
 
 
@@ -341,3 +353,131 @@ def tokenize_with_context(df: DataFrame, text_col: str = "text", keep=("doc_id",
     out = x.select(*keep, F.posexplode(zipped).alias("tok_id", "_z"))
     return out.select(*keep, F.col("tok_id").cast("int").alias("tok_id"),
                       *[F.col(f"_z.{k}").alias(k) for k in arrays])
+
+
+def _token_arrays(df: DataFrame, text_col: str, keep, pattern: str | None, lowercase: bool) -> DataFrame:
+    """``keep`` and the token array ``_t`` of each row, computed once (behind
+    a Generate, which projections are not collapsed through)."""
+    from ..functions.cues import TOKEN_PATTERN
+    text = F.lower(F.col(text_col)) if lowercase else F.col(text_col)
+    toks = F.regexp_extract_all(text, F.lit(pattern or TOKEN_PATTERN), F.lit(0))
+    return df.select(*keep, F.inline(F.array(F.struct(toks.alias("_t")))))
+
+
+# --------------------------------------------------------------------------
+# W5 for cues of any length
+# --------------------------------------------------------------------------
+
+def match_cues(df: DataFrame, cues, text_col: str = "text", keep=("doc_id",), name: str = "match_cues",
+               pattern: str | None = None, lowercase: bool = True) -> DataFrame:
+    """W5 for cues of any number of tokens (tokens joined by one space), any
+    number of them: token rows with ``name`` = 1 where the token lies inside
+    an occurrence of a cue, and ``cue_length``, the tokens of the longest cue
+    that starts there (0: none).
+
+    On the document's token array, without a shuffle: a position whose token
+    starts some cue is looked up once per cue length, longest first, in a
+    hashed literal set; a token is inside if one of the ``longest cue`` last
+    positions reaches over it.  Cues without a token are ignored; a null or
+    empty text has no rows.
+    """
+    by_length: dict[int, set[str]] = {}
+    for cue in cues:
+        if words := cue.split():
+            by_length.setdefault(len(words), set()).add(" ".join(words))
+    x = _token_arrays(df, text_col, keep, pattern, lowercase)
+    t, n, longest = F.col("_t"), F.size("_t"), max(by_length, default=1)
+    index = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    firsts = sorted({c.split(" ", 1)[0] for c in set().union(*by_length.values())}) if by_length else []
+
+    def starting(i):
+        length = F.when(~F.get(t, i).isin(firsts), F.lit(0))
+        for size in sorted(by_length, reverse=True):
+            said = F.array_join(F.slice(t, i + 1, size), " ")
+            length = length.when(said.isin(sorted(by_length[size])), F.lit(size))
+        return length.otherwise(F.lit(0))
+
+    x = x.select(*keep, "_t", F.inline(F.array(F.struct(F.transform(index, starting).alias("_m")))))
+    m = F.col("_m")
+
+    def inside(i):
+        near = F.sequence(F.greatest(i - (longest - 1), F.lit(0)), i)
+        return F.exists(near, lambda j: F.get(m, j) > i - j).cast("int")
+
+    zipped = F.arrays_zip(t.alias("token"), F.transform(index, inside).alias("_in"), m.alias("_len"))
+    return x.select(*keep, F.posexplode(zipped).alias("tok_id", "_z")).select(
+        *keep, F.col("tok_id").cast("int").alias("tok_id"), F.col("_z.token").alias("token"),
+        F.col("_z._in").alias(name), F.col("_z._len").alias("cue_length"))
+
+
+# --------------------------------------------------------------------------
+# Neighbours at corpus scope
+# --------------------------------------------------------------------------
+
+def corpus_edges(df: DataFrame, reach: int, wrap: bool = False, after: int | None = None, text_col: str = "text",
+                 doc: str = "doc_id", pattern: str | None = None, lowercase: bool = True) -> DataFrame:
+    """Per document with tokens: ``_doff`` (tokens before it in the corpus)
+    and the ``reach`` tokens before and after it, ``_before`` and ``_after``.
+
+    Only the first and last tokens of each document, placed by their corpus
+    position, take part in the join, so documents shorter than ``reach`` look
+    past their neighbours.  See ``corpus_context`` for the corpus ends.
+    """
+    from ..session import materialize
+    width, n = reach + (after or 0), F.size("_t")
+    sizes = _token_arrays(df, text_col, (doc,), pattern, lowercase).where(n > 0).select(
+        doc, n.cast("long").alias("_n"), F.slice("_t", 1, width).alias("_head"),
+        F.slice("_t", F.greatest(n - width, F.lit(0)) + 1, width).alias("_tail"))
+    ends = materialize(running_before(sizes, doc, "_n", "_doff"), "corpus-edges")
+    total = ends.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    tail = F.col("_doff") + F.col("_n") - F.size("_tail")
+    edge = (ends.select(F.col("_doff").alias("_at"), F.posexplode("_head").alias("_i", "_tok"))
+                .unionByName(ends.select(tail.alias("_at"), F.posexplode("_tail").alias("_i", "_tok")))
+                .select((F.col("_at") + F.col("_i")).alias("_p"), "_tok").distinct())
+    wanted = []
+    for k in range(1, reach + 1):
+        p = F.col("_doff") - k
+        back = F.when(p >= 0, p)
+        wanted.append((-k, back.when(p >= -total, p + total) if wrap else back))
+        p = F.col("_doff") + F.col("_n") + (k - 1)
+        on = F.when(p < total, p)
+        if after is not None:
+            again = p - total + min(after, max(total - 1, 0))
+            on = on.when(again < total, again)
+        wanted.append((k, on))
+    slots = F.array(*[F.struct(F.lit(k).alias("_k"), p.cast("long").alias("_p")) for k, p in wanted])
+    found = (ends.select(doc, F.inline(slots)).where(F.col("_p").isNotNull()).join(edge, "_p")
+                 .groupBy(doc).agg(*[F.max(F.when(F.col("_k") == k, F.col("_tok"))).alias(f"_s{k}") for k, _ in wanted]))
+
+    def side(ks):
+        return F.array(*[F.coalesce(F.col(f"`_s{k}`"), F.lit("")) for k in ks])
+
+    return ends.select(doc, "_doff").join(found, doc, "left").select(
+        doc, "_doff", side(range(-reach, 0)).alias("_before"), side(range(1, reach + 1)).alias("_after"))
+
+
+def corpus_context(df: DataFrame, reach: int = 3, wrap: bool = False, after: int | None = None, text_col: str = "text",
+                   keep=("doc_id",), doc: str = "doc_id", pattern: str | None = None, lowercase: bool = True) -> DataFrame:
+    """W1-W5, W7 at corpus scope: token rows with ``corpus_pos`` and the
+    ``reach`` previous (``_p1``..) and next (``_f1``..) tokens, document
+    borders ignored, documents in the order of ``doc`` (unique, not null).
+
+    Past the corpus' ends the tokens are ``''``; ``wrap``: the tokens before
+    the first are the last ones; ``after``: the token after the last is the
+    one at that position (the first, if there is none).  No token is
+    shuffled on its own: the documents meet the edge table of
+    ``corpus_edges`` and their neighbours are slices of one array.
+    """
+    edges = corpus_edges(df, reach, wrap, after, text_col, doc, pattern, lowercase)
+    read = list(dict.fromkeys([*keep, doc, text_col]))
+    x = _token_arrays(df.select(*read).join(edges, doc), text_col, [*keep, "_doff", "_before", "_after"], pattern, lowercase)
+    full = F.concat("_before", "_t", "_after")
+    x = x.select(*keep, "_doff", F.size("_t").alias("_n"), F.inline(F.array(F.struct(full.alias("_full")))))
+    arrays = {"token": F.slice("_full", reach + 1, F.col("_n"))}
+    for k in range(1, reach + 1):
+        arrays[f"_p{k}"] = F.slice("_full", reach - k + 1, F.col("_n"))
+        arrays[f"_f{k}"] = F.slice("_full", reach + k + 1, F.col("_n"))
+    zipped = F.arrays_zip(*[v.alias(k) for k, v in arrays.items()])
+    out = x.select(*keep, "_doff", F.posexplode(zipped).alias("tok_id", "_z"))
+    return out.select(*keep, F.col("tok_id").cast("int").alias("tok_id"), (F.col("_doff") + F.col("tok_id")).alias("corpus_pos"),
+                      *[F.col(f"_z.{k}").alias(k) for k in arrays])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.cues import MULTI_WORD_CUES, ONE_WORD_CUES, TEST_MULTI_WORD_CUES, TEST_ONE_WORD_CUES
+from ..functions.cues import MULTI_WORD_CUES, ONE_WORD_CUES, TEST_LONG_CUES, TEST_MULTI_WORD_CUES, TEST_ONE_WORD_CUES
 from ..operators import context as C
 from ..operators import lexicon as L
 from ..sources.documents import documents_tokens, load_table, spread, token_counts, tokenize
@@ -161,8 +161,43 @@ def q_context_tokens(spark, sf_dir):
 @register("corpus_position")
 def q_corpus_position(spark, sf_dir):
     docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    sizes = token_counts(docs)
-    return C.corpus_position(_tok(spark, sf_dir), sizes).select("doc_id", "tok_id", "corpus_pos")
+    # the offset is a fact of the document: joined before the text is tokenised
+    tok = tokenize(docs.join(C.document_offsets(token_counts(docs)), "doc_id"), keep=("doc_id", "_doff"))
+    return tok.select("doc_id", "tok_id", (F.col("_doff") + F.col("tok_id")).cast("long").alias("corpus_pos"))
+
+
+# --------------------------------------------------------------------------
+# W5 for cues of any length; W1, W2, W4, W7 over document borders
+# --------------------------------------------------------------------------
+
+def _texts(spark, sf_dir):
+    return spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("match_cues")
+def q_match_cues(spark, sf_dir):
+    return C.match_cues(_texts(spark, sf_dir), TEST_MULTI_WORD_CUES + TEST_LONG_CUES)
+
+
+@register("prev_next_lemma_corpus")
+def q_prev_next_lemma_corpus(spark, sf_dir):
+    tok = C.corpus_context(_texts(spark, sf_dir), reach=1)
+    return tok.select("doc_id", "tok_id", "corpus_pos", *[
+        F.when(F.length(c) > 0, R.rule_lemma(F.col(c))).otherwise("").alias(n)
+        for n, c in (("lemma", "token"), ("prev", "_p1"), ("next", "_f1"))])
+
+
+@register("context_tokens_corpus")
+def q_context_tokens_corpus(spark, sf_dir):
+    tok = C.corpus_context(_texts(spark, sf_dir), reach=1, wrap=True, after=1, lowercase=False)
+    return tok.select("doc_id", "tok_id", F.lower("_p1").alias("prev_token"), F.lower("_f1").alias("next_token"))
+
+
+@register("match_multi_literal_corpus")
+def q_multi_literal_corpus(spark, sf_dir):
+    tok = C.corpus_context(_texts(spark, sf_dir), wrap=True)
+    return tok.select("doc_id", "tok_id", "token", C.cue_flag(TEST_MULTI_WORD_CUES, "literal").alias("match_multi"),
+                      C.cue_flag(MULTI_WORD_CUES, "literal").alias("match_multi_ref"))
 
 
 # --------------------------------------------------------------------------

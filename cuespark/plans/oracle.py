@@ -7,7 +7,7 @@ DuckDB skips the ones a query does not reference.
 from __future__ import annotations
 
 from ..functions.cues import (MULTI_WORD_CUES, NEG_PREFIXES, NEG_SUFFIX, ONE_WORD_CUES, PUNCTUATION,
-                              TEST_MULTI_WORD_CUES, TEST_ONE_WORD_CUES, TOKEN_PATTERN)
+                              TEST_LONG_CUES, TEST_MULTI_WORD_CUES, TEST_ONE_WORD_CUES, TOKEN_PATTERN)
 
 
 def once(body: str) -> str:
@@ -193,6 +193,32 @@ ORACLE["corpus_position"] = q("""SELECT doc_id, tok_id, CAST(off + tok_id AS BIG
   FROM tok JOIN (SELECT doc_id, coalesce(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
                  FROM (SELECT doc_id, count(*) AS n FROM tok GROUP BY doc_id)) d USING (doc_id)""")
 
+_BY_LENGTH = {}
+for _cue in TEST_MULTI_WORD_CUES + TEST_LONG_CUES:
+    _BY_LENGTH.setdefault(len(_cue.split()), []).append(_cue)
+_LONGEST = max(_BY_LENGTH)
+_STARTS = " ".join(
+    "WHEN " + " || ' ' || ".join(["token"] + [f"lead(token, {k}) OVER ({W})" for k in range(1, n)]) + f" IN {lst(c)} THEN {n}"
+    for n, c in sorted(_BY_LENGTH.items(), reverse=True))
+ORACLE["match_cues"] = q(f"""SELECT doc_id, tok_id, token, cue_length,
+  CASE WHEN max(tok_id + cue_length) OVER ({W} ROWS BETWEEN {_LONGEST - 1} PRECEDING AND CURRENT ROW) > tok_id THEN 1 ELSE 0 END AS match_cues
+  FROM (SELECT doc_id, tok_id, token, CASE {_STARTS} ELSE 0 END AS cue_length FROM tok)""")
+G = "ORDER BY doc_id, tok_id"
+WHOLE = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+ORACLE["prev_next_lemma_corpus"] = q(f"""SELECT doc_id, tok_id, row_number() OVER ({G}) - 1 AS corpus_pos, lemma,
+  coalesce(lag(lemma) OVER ({G}), '') AS prev, coalesce(lead(lemma) OVER ({G}), '') AS next FROM ann""")
+ORACLE["context_tokens_corpus"] = q(f"""SELECT doc_id, tok_id,
+  coalesce(lag(lower(token)) OVER ({G}), last_value(lower(token)) OVER ({G} {WHOLE})) AS prev_token,
+  coalesce(lead(lower(token)) OVER ({G}), nth_value(lower(token), 2) OVER ({G} {WHOLE})) AS next_token FROM rawtok""")
+_SHIFTS = ", ".join([f"coalesce(lag(token, {k}) OVER o, '') AS p{k}, coalesce(lead(token, {k}) OVER o, '') AS f{k}" for k in (1, 2, 3)])
+ORACLE["match_multi_literal_corpus"] = q(f"""SELECT doc_id, tok_id, token,
+  {multi_sql(literal_forms_sql(), TEST_MULTI_WORD_CUES)} AS match_multi,
+  {multi_sql(literal_forms_sql(), MULTI_WORD_CUES)} AS match_multi_ref
+  FROM (SELECT *, {_SHIFTS}
+        FROM (SELECT row_number() OVER ({G}) AS i, doc_id, tok_id, token FROM tok
+              UNION ALL SELECT * FROM (SELECT 1 - row_number() OVER (ORDER BY doc_id DESC, tok_id DESC) AS i, doc_id, tok_id, token FROM tok) WHERE i > -3)
+        WINDOW o AS (ORDER BY i)) WHERE i > 0""")
+
 ORACLE["lexicon"] = q("SELECT gram, pos, n FROM lex")
 ORACLE["lexicon_nopos"] = q("SELECT gram, n FROM lex_nopos")
 ORACLE["sbs_count"] = q("""SELECT a.doc_id, a.tok_id, a.token, a.pos, coalesce(s.sbs_count, CAST(0 AS BIGINT)) AS sbs_count

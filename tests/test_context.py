@@ -88,3 +88,55 @@ def test_corpus_position_dense(spark):
     out = C.corpus_position(df).orderBy("corpus_pos").collect()
     assert [(r.doc_id, r.tok_id) for r in out] == [(0, 0), (0, 1), (0, 2), (3, 0), (3, 1), (7, 0)]
     assert [r.corpus_pos for r in out] == list(range(6))
+
+
+def _texts(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+
+
+def test_match_cues_of_any_length_equals_brute_force(spark):
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choices("abc", k=n)) for n in (0, 1, 2, 5, 40, 400)] + [None, "", "a b c a b c a"]
+    cues = ["a b", "b c a b c", "c c", "a", "b b b a a c", "", "  ", "x y"] + [f"q{i} r{i} s{i}" for i in range(2000)]
+    known = {tuple(c.split()) for c in cues if c.split()}
+    want = []
+    for d, text in enumerate(texts):
+        t = (text or "").split()
+        longest = [max([n for n in range(1, 7) if i + n <= len(t) and tuple(t[i:i + n]) in known], default=0) for i in range(len(t))]
+        want += [(d, i, w, int(any(longest[j] > i - j for j in range(i + 1))), longest[i]) for i, w in enumerate(t)]
+    df = _texts(spark, texts).selectExpr("*", "1 as _t", "2 as _m", "3 as token")
+    got = C.match_cues(df, cues)
+    assert got.columns == ["doc_id", "tok_id", "token", "match_cues", "cue_length"]
+    assert sorted(map(tuple, got.collect())) == want
+    assert "Exchange" not in C.match_cues(spark.range(3).selectExpr("id doc_id", "'a b' text"), cues)._jdf.queryExecution().executedPlan().toString()
+    assert C.match_cues(df, []).where("match_cues > 0 or cue_length > 0").count() == 0
+
+
+def _corpus_brute(texts, reach, wrap, after):
+    flat = [(d, i, w) for d, t in enumerate(texts) for i, w in enumerate((t or "").lower().split())]
+    n, out = len(flat), []
+    for at, (d, i, w) in enumerate(flat):
+        row = [d, i, at, w]
+        for k in range(1, reach + 1):
+            p, f = at - k, at + k
+            row.append(flat[p][2] if p >= 0 or (wrap and p >= -n) else "")
+            again = f - n + min(after or 0, n - 1)
+            row.append(flat[f][2] if f < n else flat[again][2] if after is not None and again < n else "")
+        out.append(tuple(row))
+    return out
+
+
+def test_corpus_context_crosses_document_borders(spark):
+    rnd = random.Random(5)
+    for texts in ([" ".join(f"W{rnd.randint(0, 99)}" for _ in range(n)) for n in (1, 0, 2, 9, 1, 1, 0, 30, 2)] + [None, "", "end"],
+                  ["one"], ["a b", "", "c"]):
+        for wrap, after in ((False, None), (True, None), (True, 1)):
+            got = C.corpus_context(_texts(spark, texts).selectExpr("*", "1 as _before", "2 as _tok"), 3, wrap, after)
+            assert sorted(map(tuple, got.collect())) == _corpus_brute(texts, 3, wrap, after)
+    assert C.corpus_context(_texts(spark, ["", None]), 2, True, 1).count() == 0
+
+
+def test_cue_flag_crosses_document_borders(spark):
+    tok = C.corpus_context(_texts(spark, ["he said by no", "means at all"]))
+    got = [r.f for r in tok.select("corpus_pos", C.cue_flag(MULTI_WORD_CUES).alias("f")).orderBy("corpus_pos").collect()]
+    assert got == [0, 0, 1, 1, 1, 0, 0]
