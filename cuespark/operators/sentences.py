@@ -21,10 +21,20 @@ DENSE_TRAIN = ("token", "lemma", "prev", "next")
 DENSE_PREDICT = ("prev", "next")
 
 
+# The value of a feature that a row does not have.
+MISSING = "<none>"
+
+
+def feature_value(name: str) -> F.Column:
+    """A feature column as a categorical value: its string, ``MISSING`` where
+    it is null."""
+    return F.coalesce(F.col(name).cast("string"), F.lit(MISSING))
+
+
 def feature_pairs(names) -> F.Column:
     """``array('name=value', ...)`` over the chosen feature columns; every
-    value is categorical (cast to string)."""
-    return F.array(*[F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in names])
+    value is categorical."""
+    return F.array(*[F.concat(F.lit(f"{n}="), feature_value(n)) for n in names])
 
 
 def features_and_labels(df: DataFrame, names, label: str = "negcuelabel", keys=("doc_id", "token_id")) -> DataFrame:

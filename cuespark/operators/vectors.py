@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sentences import feature_pairs
+from .sentences import feature_value
 
 
 def vectors_by_frequency(tokens: DataFrame, vectors: DataFrame, token: str = "token",
@@ -130,7 +130,7 @@ def rank_sorted(df: DataFrame, order, name: str = "idx") -> DataFrame:
 def distinct_terms(df: DataFrame, names) -> DataFrame:
     """Every distinct ``name=value`` term: a distinct per column (only that
     column is read) with the name prefixed afterwards, then a union."""
-    parts = [df.select(F.col(n).cast("string").alias("_v")).distinct()
+    parts = [df.select(feature_value(n).alias("_v")).distinct()
                .select(F.concat(F.lit(f"{n}="), F.col("_v")).alias("term")) for n in names]
     out = parts[0]
     for p in parts[1:]:

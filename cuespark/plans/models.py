@@ -107,15 +107,17 @@ class TokenModel:
 
 
 def _labels(df: DataFrame, label: str) -> list:
-    rows = df.select(label).distinct().limit(1001).collect()
+    """The classes, sorted; a null label is none."""
+    rows = df.select(label).where(F.col(label).isNotNull()).distinct().limit(1001).collect()
     if len(rows) > 1000:
         raise ValueError("label column has more than 1000 classes")
     return sorted(r[0] for r in rows)
 
 
 def _indexed(df: DataFrame, labels: list, label: str) -> DataFrame:
+    """Labelled rows with the place of their class as ``y``."""
     idx = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(label)) - 1
-    return df.withColumn("y", idx.cast("double"))
+    return df.where(F.col(label).isNotNull()).withColumn("y", idx.cast("double"))
 
 
 def _with_ids(df: DataFrame, encoder, names, out: str = "ids") -> DataFrame:

@@ -61,6 +61,17 @@ def test_linear_models_learn(spark):
         assert acc == 1.0, kind
 
 
+def test_missing_features_are_a_value_and_missing_labels_no_class(spark):
+    df = _toy(spark).withColumn("pos", F.when(F.col("lemma") != "not", F.col("pos")))
+    unlabelled = df.where("lemma = 'not'").withColumn("negcuelabel", F.lit(None).cast("string"))
+    terms = [r.feats for r in df.select(M.feature_pairs(["pos"]).alias("feats")).distinct().collect()]
+    assert sorted(terms) == [["pos=<none>"], ["pos=NN"]]
+    for kind in ("nb", "svm"):
+        m = M.train(df.unionByName(unlabelled), ["lemma", "pos"], kind=kind, max_iter=20)
+        assert m.labels == ["B-NEG", "O"]
+        assert m.predict(df).where("predicted <> negcuelabel or predicted is null").count() == 0, kind
+
+
 def test_tagger_learns(spark):
     df = _toy(spark, 10)
     m = TG.train_tagger(df, ["lemma"], max_iter=30, l2=0.1)
