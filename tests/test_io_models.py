@@ -256,3 +256,27 @@ def test_tables_without_keys_are_paired_by_position(spark, tmp_path):
         assert tuple(Ev.unpaired(gold, runs, ["run-x"], keys=("line",)).first()) == ("run-x", 4000, 1000, 0)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_naive_bayes_keeps_its_terms_off_the_driver(spark, monkeypatch):
+    """No vocabulary is collected or encoded; scores are those of the counts,
+    unknown values add nothing and equal scores go to the first class."""
+    import math
+    monkeypatch.setattr(M, "fit_one_hot", None)
+    df = _varied(spark)
+    names = ["lemma", "pos"]
+    rows = [r.asDict() for r in df.collect()]
+    m = M.train(df, names, kind="nb")
+    new = df.limit(1).selectExpr("'new' doc_id", "token_id", "token", "'unheard' lemma", "'of' pos", "negcuelabel")
+    got = {(r.doc_id, r.token_id): r.predicted for r in m.predict(df.unionByName(new)).collect()}
+    terms = {(n, r[n]) for r in rows for n in names}
+
+    def weight(term, label):
+        rest = [r for r in rows if r["negcuelabel"] != label]
+        return math.log(len(rest) * len(names) + len(terms)) - math.log(sum(r[term[0]] == term[1] for r in rest) + 1)
+
+    for r in rows:
+        score = {c: sum(weight((n, r[n]), c) for n in names) for c in m.labels}
+        assert score[got[r["doc_id"], r["token_id"]]] >= max(score.values()) - 1e-9
+    assert got["new", rows[0]["token_id"]] == m.labels[0] and len(got) == len(rows) + 1
+    assert [r[0] for r in m.counts.groupBy("name", "value").count().select("count").collect()] == [1] * len(terms)
