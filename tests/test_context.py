@@ -140,3 +140,37 @@ def test_cue_flag_crosses_document_borders(spark):
     tok = C.corpus_context(_texts(spark, ["he said by no", "means at all"]))
     got = [r.f for r in tok.select("corpus_pos", C.cue_flag(MULTI_WORD_CUES).alias("f")).orderBy("corpus_pos").collect()]
     assert got == [0, 0, 1, 1, 1, 0, 0]
+
+
+def test_context_tokens_wrap_over_blocks_without_a_join(spark, monkeypatch):
+    """Scopes of one block, of several and of one token; a null scope has no
+    edges to wrap to; the tokens are joined with nothing."""
+    monkeypatch.setattr(C, "BLOCK", 4)
+    monkeypatch.setattr(C.ordered_context, "__defaults__", tuple(4 if d == 4096 else d for d in C.ordered_context.__defaults__))
+    texts = {1: "A", 2: "a B", 3: "a b C d", 4: "a b c d E", 5: "a b c d e f g h i j k L", None: "x y z"}
+    rows = [(d, i, t) for d, s in texts.items() for i, t in enumerate(s.split())]
+    out = C.context_tokens(spark.createDataFrame(rows, "doc_id long, tok_id int, token string"), wrap=True)
+    got = {(r.doc_id, r.tok_id): (r.prev_token, r.next_token) for r in out.collect()}
+    assert len(got) == len(rows)
+    for d, s in texts.items():
+        w = s.lower().split()
+        for i in range(len(w)):
+            prev, nxt = w[i - 1], w[i + 1] if i + 1 < len(w) else w[min(1, len(w) - 1)]
+            if d is None:
+                prev, nxt = prev if i else None, nxt if i + 1 < len(w) else None
+            assert got[d, i] == (prev, nxt), (d, i)
+
+
+def test_context_tokens_reads_long_scopes_only_for_the_edges(spark):
+    df = _doc(spark, ["A", "B", "C"])
+    plan = C.context_tokens(df, wrap=True)._jdf.queryExecution().optimizedPlan().toString()
+    kept = [x for x in plan.splitlines() if "Join" in x]
+    assert all("Inner" not in x for x in kept) and plan.count("Window") == 1 and plan.index("Window") < plan.index("Join")
+
+
+def test_span_cues_are_found_behind_the_gate(spark):
+    """Only tokens that are words of a cue build forms, also tokens that hold
+    a space themselves."""
+    df = _doc(spark, ["by", "no means", "x", "by", "no", "means", "no", "", "by", "means"])
+    out = C.match_multi(df, ["by no means", "no means x"]).orderBy("tok_id")
+    assert [r.match_multi for r in out.collect()] == [1, 1, 1, 1, 1, 1, 0, 0, 0, 0]
