@@ -58,3 +58,15 @@ def test_unpaired_and_errors(spark):
     bio = spark.createDataFrame([(i, l) for i, l in enumerate(["B-NEG", "O", "X", "I-NEG"])], "i int, label string")
     counts = {r.label: r.n for r in Ev.label_counts(bio).collect()}
     assert counts == {"B-NEG": 1, "I-NEG": 1, "O": 2}
+
+
+def test_unpaired_counts_repeated_null_and_foreign_rows_as_a_full_join(spark):
+    gold = [(1, 0), (1, 0), (1, 1), (2, 5000), (None, 3)]
+    rows = [(1, 0, "s"), (1, 0, "s"), (1, 0, "t"), (2, 5000, "t"), (2, 7, "s"), (None, 3, "s"), (1, 1, "u"), (9, 9, None)]
+    g = spark.createDataFrame(gold, "doc_id long, tok_id int")
+    s = spark.createDataFrame(rows, "doc_id long, tok_id int, system string")
+    out = Ev.unpaired(g, s, ["s", "t", "v"])
+    got = {r.system: (r.paired, r.gold_only, r.sys_only) for r in out.collect()}
+    assert got == {"s": (4, 3, 2), "t": (3, 2, 0), "v": (0, 5, 0), "u": (0, 0, 1), None: (0, 0, 1)}
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert Ev.unpaired(g.limit(0), s.limit(0), ["s"]).count() == 0
