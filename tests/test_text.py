@@ -52,3 +52,13 @@ def test_affix_ngrams(spark):
 
 def test_ngrams_use_code_points(spark):
     assert _one(spark, ["héllo"], F.size(T.start_ngrams("token"))) == [5]
+
+
+def test_ngrams_are_plain_expressions_and_keep_odd_tokens(spark):
+    df = spark.createDataFrame([("unhappy",), ("",), ("less",), ("ab",), (None,), ("a😀cdef",)], "t string")
+    out = df.select(T.start_ngrams("t").alias("s"), T.end_ngrams("t", 2).alias("e"), T.affix_ngrams("t")["start"].alias("a"))
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in out.collect()] == [
+        (["unhap", "unha", "unh", "un", "u"], ["py", "y"], ["happy", "happ", "hap", "ha", "h"]), ([], [], []),
+        (["less", "les", "le", "l"], ["ss", "s"], ["less", "les", "le", "l"]), (["ab", "a"], ["ab", "b"], ["ab", "a"]), ([], [], []),
+        (["a😀cde", "a😀cd", "a😀c", "a😀", "a"], ["ef", "f"], ["a😀cde", "a😀cd", "a😀c", "a😀", "a"])]
