@@ -40,3 +40,20 @@ def test_selected_queries_match_duckdb(spark):
         exp = sorted(tuple(None if v is None else (round(v, 6) if isinstance(v, float) else v) for v in r)
                      for r in rel.fetchall())
         assert got == exp, name
+
+
+def test_feature_table_makes_token_rows_once(spark):
+    """Substring counts meet the texts, not the token rows: no second branch
+    of token rows for those with an affix, and one set of type counts."""
+    docs = spark.createDataFrame([(1, "en", "unless unhappy in. Careless"), (1, "en", "unhappy happy"), (None, "en", "unless unhappy in. Careless"),
+                                  (2, "en", None), (3, "de", ""), (4, "de", "less un un unhappy . . x")], "doc_id long, lang string, text string")
+    out = R.features_from_documents(docs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Generate posexplode") == 3  # the rows, and the types read twice (one exchange)
+    tok = R.annotate_rules(R.tokenize(docs.where("doc_id != 1"), keep=("doc_id", "lang")))
+    one = R.features_from_documents(docs.where("doc_id != 1"))
+    two = R.features_from_tokens(tok)
+    cols = R.FEATURE_COLUMNS
+    assert sorted(map(tuple, one.select(*cols).collect())) == sorted(map(tuple, two.select(*cols).collect()))
+    got = sorted((r.token, r.sbs_count) for r in out.where("sbs_count > 0").collect())
+    assert [t for t, _ in got] == ["careless"] * 2 + ["unhappy"] * 4 + ["unless"] * 2 and len({n for t, n in got if t == "unhappy"}) == 1
