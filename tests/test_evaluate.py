@@ -70,3 +70,15 @@ def test_unpaired_counts_repeated_null_and_foreign_rows_as_a_full_join(spark):
     assert got == {"s": (4, 3, 2), "t": (3, 2, 0), "v": (0, 5, 0), "u": (0, 0, 1), None: (0, 0, 1)}
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert Ev.unpaired(g.limit(0), s.limit(0), ["s"]).count() == 0
+
+
+def test_label_pairs_are_not_sent_through_the_driver(spark, tmp_path):
+    """Label tables have less than a byte a row: by its bytes any of them is small."""
+    rows = spark.range(20000).selectExpr("id AS line", "'O' AS gold_label", "'s' AS system")
+    rows.write.parquet(str(tmp_path / "labels"))
+    t = spark.read.parquet(str(tmp_path / "labels"))
+    pairs = Ev.pair(t, t, keys=("line",), gold_col="gold_label", pred_col="gold_label")
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert pairs.count() == 20000
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
