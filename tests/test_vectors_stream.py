@@ -94,3 +94,42 @@ def test_encoder_columns_are_the_sorted_ranks(spark):
     x = enc.transform(spark.createDataFrame([("a", 10), ("zz", 3)], "lemma string, n int").withColumn("feats", feature_pairs(["lemma", "n"])))
     size, nnz, idx = V.vector_entries(F.col("onehot"))
     assert sorted(tuple(r) for r in x.select(size, nnz, idx).collect()) == [(6, 0, []), (6, 2, [ranks["lemma=a"], ranks["n=10"]])]
+
+
+def test_large_vocabularies_stay_tables(spark, monkeypatch):
+    """The encoder's lookups give the columns of the listed vocabulary, also
+    for terms sent to the tasks, and nothing lists it."""
+    from pyspark.sql import functions as F
+
+    from cuespark.operators.sentences import feature_pairs
+    rows = [(i, f"w{i % 7}" if i % 5 else None, i % 3) for i in range(40)]
+    fit = spark.createDataFrame(rows, "i int, lemma string, n int")
+    score = fit.unionByName(spark.createDataFrame([(50, "new", 1), (51, "w1", 9), (52, "n=1", None)], fit.schema))
+    x, names = score.withColumn("feats", feature_pairs(["n", "lemma"])), ["n", "lemma"]
+    listed = V.fit_one_hot(fit, ["lemma", "n"])
+    of = lambda df: {r.i: r.onehot for r in df.collect()}
+    want, ids = of(listed.transform(x)), {r.i: list(r.ids) for r in listed.numbers(score, names).collect()}
+    monkeypatch.setattr(V, "LISTED_TERMS", 0)
+    for sent in (0, 20):
+        monkeypatch.setattr(V, "SENT_TERMS", sent)
+        enc = V.fit_one_hot(fit, ["lemma", "n"])
+        assert of(enc.transform(x)) == of(enc.transform(x, names)) == want
+        assert {r.i: list(r.ids) for r in enc.numbers(score, names).collect()} == ids
+        assert "vocabulary" not in vars(enc) and enc.size == listed.size == 11
+    plan = enc.transform(x, names)._jdf.queryExecution().executedPlan().toString()
+    assert F.col and "BroadcastHashJoin" in plan
+
+
+def test_vectors_are_sent_in_pieces_or_meet_the_rows(spark, monkeypatch):
+    """Rows with vectors are not shuffled while the vectors can be sent."""
+    emb = spark.createDataFrame([(f"w{i}", [float(i), -float(i)]) for i in range(50)] + [(None, [9.0, 9.0])], "word string, embedding array<float>")
+    df = spark.createDataFrame([(i, f"w{i % 70}" if i % 9 else None, f"w{(i * 7) % 60}", "w3") for i in range(300)], "i int, lemma string, prev string, next string")
+    results = []
+    for sent, piece in ((1 << 20, 1 << 20), (1 << 20, 600), (0, 1)):
+        monkeypatch.setattr(V, "SENT", sent)
+        monkeypatch.setattr(V, "SENT_PIECE", piece)
+        out = V.embed_context(df, emb, ["lemma", "prev", "next"], 2)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sent == 0 or "hashpartitioning" not in plan
+        results.append(sorted((r.i, list(r.dense)) for r in out.collect()))
+    assert results[0] == results[1] == results[2] and len(results[0]) == 300
