@@ -43,3 +43,20 @@ def test_token_list_shuffles_runs(spark):
     items = F.array_sort(F.collect_list(F.struct("tok_id", "token")))
     plain = df.groupBy("doc_id", F.floor(F.col("tok_id") / 4).cast("int").alias("block")).agg(F.count(F.lit(1)).alias("n_tokens"), items.alias("i"))
     assert _rows(out) == _rows(plain.select("doc_id", "block", "n_tokens", F.col("i")["token"].alias("tokens")))
+
+
+def test_sentences_over_block_borders_and_pieces(spark):
+    """Against a plain walk over the tokens, two of the documents longer than a block."""
+    docs = {1: [("." if i % 37 == 36 else f"w{i}") for i in range(9000)], 2: ["w"] * 5000 + ["."] + ["v"] * 10, 3: ["a", "."], 4: ["a"]}
+    df = spark.createDataFrame([(d, i, t) for d, ts in docs.items() for i, t in enumerate(ts)], "doc_id long, tok_id int, token string").repartition(3, "doc_id")
+    for keep in (True, False):
+        want = []
+        for d, ts in docs.items():
+            seq, start = 0, 0
+            for end in [i for i, t in enumerate(ts) if t == "."] + ([len(ts)] if keep else []):
+                got = list(range(start, min(end + 1, len(ts))))
+                want += [(d, seq, p, got[a], len(got[a: a + 100]), [ts[i] for i in got[a: a + 100]]) for p, a in enumerate(range(0, len(got), 100))]
+                seq, start = seq + 1, end + 1
+        out = S.sentences(df, ["token"], keep, max_len=100)
+        assert _exchanged(out)
+        assert _rows(out) == sorted(map(repr, want))
