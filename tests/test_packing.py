@@ -60,3 +60,12 @@ def test_sentences_over_block_borders_and_pieces(spark):
         out = S.sentences(df, ["token"], keep, max_len=100)
         assert _exchanged(out)
         assert _rows(out) == sorted(map(repr, want))
+
+
+def test_annotations_join_as_blocks(spark):
+    df = _odd(spark)
+    ann = df.where("doc_id <> 1 or tok_id <> 1").select("doc_id", "tok_id", F.upper("token").alias("lemma"))
+    for right in (ann, df.select("doc_id", "tok_id", F.upper("token").alias("lemma"))):
+        out = An.join_annotations(df, right)
+        assert _exchanged(out)
+        assert _rows(out) == _rows(df.join(right, ["doc_id", "tok_id"]))
