@@ -69,3 +69,17 @@ def test_annotations_join_as_blocks(spark):
         out = An.join_annotations(df, right)
         assert _exchanged(out)
         assert _rows(out) == _rows(df.join(right, ["doc_id", "tok_id"]))
+
+
+def test_system_predictions_are_written_once(spark, tmp_path):
+    """A written row for each token; rows of repeated ids meet as in a join by key."""
+    from cuespark.plans import catalog as Q
+    from cuespark.plans import relations as R
+    docs = spark.createDataFrame([(1, "en", "no the cat ."), (2, "en", "is the"), (2, "en", "was a dog"), (None, "en", "lost")], "doc_id long, lang string, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = Q._predictions(spark, str(tmp_path))
+    assert spark.read.parquet(*out.inputFiles()).count() == 4 + 2 * 2 + 2 * 2 + 1
+    g = R.gold(spark, str(tmp_path)).select("doc_id", F.col("tok_id").alias("token_id"), "sys_a", "sys_b")
+    each = F.array(*[F.struct(F.lit(n).alias("system"), F.col(c).alias("predicted")) for n, c in Q.SYSTEMS.items()])
+    plain = R.features(spark, str(tmp_path)).join(g, ["doc_id", "token_id"]).select(*R.FEATURE_COLUMNS, F.inline(each))
+    assert _rows(out) == _rows(plain)
