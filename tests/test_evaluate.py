@@ -82,3 +82,16 @@ def test_label_pairs_are_not_sent_through_the_driver(spark, tmp_path):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert pairs.count() == 20000
     assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_error_rows_are_not_sent_through_the_driver(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "no a"), (2, None), (None, "no"), (1, "is")], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    rows = docs.selectExpr("doc_id", "posexplode(split(text, ' ')) as (tok_id, token)")
+    gold = rows.selectExpr("*", "'O' as negcuelabel")
+    pred = rows.selectExpr("doc_id", "tok_id", "if(token = 'no', 'B-NEG', 'O') as pred")
+    out = Ev.error_rows(gold, pred)
+    # position 0 of document 1 is there twice on both sides; a null id meets nothing
+    assert sorted(map(tuple, out.collect())) == [(1, 0, "is", "O", "B-NEG"), (1, 0, "no", "O", "B-NEG")]
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
