@@ -33,3 +33,18 @@ def test_sbs_count_exact(spark):
     out = {r.token: r.sbs_count_exact for r in L.with_sbs_count_exact(t).collect()}
     # 'cat' counts 2 (itself + its 3-gram), 'care' 2 (+ 'careless' starts with 'care')
     assert out["uncat"] == 2 and out["careless"] == 3 and out["cat"] == 0
+
+
+def test_sbs_counts_leave_out_whole_words(spark):
+    t = _tok(spark, [("catering", "NN"), ("catering", "NN"), ("cater", "NN"), ("uncatering", "NN"), ("un", "NN")])
+    per = L.sbs_counts(t)
+    out = {r.token: r.sbs_count for r in per.collect()}
+    # c, ca, cat, cate: 2 + 1 each; cater also as the word itself
+    assert out == {"uncatering": 4 * 3 + 4}
+    given = L.sbs_counts(t, lex=L.lexicon(t))
+    assert {r.token: r.sbs_count for r in given.collect()} == out
+    plan = per._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # words longer than any n-gram go before the lexicon is summed, so below an Aggregate of it
+    sums = [i for i, x in enumerate(plan) if "Aggregate [gram" in x]
+    cut = [i for i, x in enumerate(plan) if "length(gram" in x and "<= 5" in x]
+    assert sums and cut and min(sums) < max(cut), plan
