@@ -83,3 +83,18 @@ def test_system_predictions_are_written_once(spark, tmp_path):
     each = F.array(*[F.struct(F.lit(n).alias("system"), F.col(c).alias("predicted")) for n, c in Q.SYSTEMS.items()])
     plain = R.features(spark, str(tmp_path)).join(g, ["doc_id", "token_id"]).select(*R.FEATURE_COLUMNS, F.inline(each))
     assert _rows(out) == _rows(plain)
+
+
+def test_ordered_context_shuffles_runs(spark):
+    """Neighbours, running sums and wrapped edges as without packing, tokens over
+    block borders, odd tokens and null ids; positions are not repeated."""
+    from cuespark.operators import context as C
+    odd = [(1, 0, "a"), (1, 1, "b\x1fc"), (1, 2, None), (1, 3, ""), (1, 4, "."), (None, 0, "x"), (None, 1, "."), (2, 0, "."), (2, 1, "T")]
+    long = [(3, i, "." if i % 41 == 0 else f"w{i % 97}") for i in range(9000)]
+    df = spark.createDataFrame(odd + long, "doc_id long, tok_id int, token string")
+    for f in (lambda p: C.sentence_seq(df, packed=p), lambda p: C.context_tokens(df, packed=p), lambda p: C.context_tokens(df, wrap=True, packed=p),
+              lambda p: C.match_multi(df, ["w1 w2", "w1 w2 w3 w4"], packed=p)):
+        out, plain = f(True), f(False)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and plan.count("hashpartitioning(doc_id") == plain._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(doc_id")
+        assert _rows(out.select(*plain.columns)) == _rows(plain)
