@@ -133,3 +133,11 @@ def test_vectors_are_sent_in_pieces_or_meet_the_rows(spark, monkeypatch):
         assert sent == 0 or "hashpartitioning" not in plan
         results.append(sorted((r.i, list(r.dense)) for r in out.collect()))
     assert results[0] == results[1] == results[2] and len(results[0]) == 300
+
+
+def test_terms_are_found_in_one_pass(spark, tmp_path):
+    df = spark.createDataFrame([("b", 2, None), ("a", 1, "x"), ("b", 1, "x=y")], "lemma string, n int, tag string")
+    df.write.parquet(str(tmp_path / "rows"))
+    terms = V.distinct_terms(spark.read.parquet(str(tmp_path / "rows")), ["lemma", "n", "tag"])
+    assert sorted(r.term for r in terms.collect()) == ["lemma=a", "lemma=b", "n=1", "n=2", "tag=<none>", "tag=x", "tag=x=y"]
+    assert terms._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
