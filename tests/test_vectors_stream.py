@@ -141,3 +141,22 @@ def test_terms_are_found_in_one_pass(spark, tmp_path):
     terms = V.distinct_terms(spark.read.parquet(str(tmp_path / "rows")), ["lemma", "n", "tag"])
     assert sorted(r.term for r in terms.collect()) == ["lemma=a", "lemma=b", "n=1", "n=2", "tag=<none>", "tag=x", "tag=x=y"]
     assert terms._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
+def test_combined_vectors_are_those_of_the_assembler(spark):
+    """Sparse and dense ones, zeros and a negative zero among the entries; no
+    function runs row by row."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.linalg import Vectors
+    for size, width in ((50, 3), (4, 3), (2, 30)):
+        rows = [(i, Vectors.sparse(size, sorted({i % size, (i * 3) % size}), [1.0] * len({i % size, (i * 3) % size})) if i % 4 else Vectors.dense([0.0, 2.0] * (size // 2)),
+                 [float(i * j % 3) if j % 2 else -0.0 for j in range(width)]) for i in range(30)]
+        df = spark.createDataFrame(rows, ["i", "onehot", "dense"]).withColumn("dense", V.F.col("dense").cast("array<float>"))
+        for onehot in ("onehot", None):
+            parts = [onehot] if onehot else []
+            want = VectorAssembler(inputCols=[*parts, "_d"], outputCol="x").transform(df.withColumn("_d", array_to_vector("dense")))
+            out = V.combine(df, onehot, "dense", "x")
+            assert out.columns == ["i", "onehot", "dense", "x"] and "UDF" not in out._jdf.queryExecution().optimizedPlan().toString()
+            assert {r.i: repr(r.x) for r in out.collect()} == {r.i: repr(r.x) for r in want.select("i", "x").collect()}
+        assert V.combine(df, keep=["i"]).columns == ["i", "features"]
