@@ -98,3 +98,13 @@ def test_ordered_context_shuffles_runs(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "MapInArrow" in plan and plan.count("hashpartitioning(doc_id") == plain._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(doc_id")
         assert _rows(out.select(*plain.columns)) == _rows(plain)
+
+
+def test_only_the_labels_of_predictions_are_written_if_asked_for(spark, tmp_path):
+    from cuespark.plans import catalog as Q
+    docs = spark.createDataFrame([(1, "en", "no the cat ."), (2, "en", "is the"), (None, "en", "lost")], "doc_id long, lang string, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    keys = ("doc_id", "token_id", "negcuelabel")
+    out = Q._predictions(spark, str(tmp_path), keys)
+    assert spark.read.parquet(*out.inputFiles()).columns == [*keys, "sys_a", "sys_b"]
+    assert _rows(out) == _rows(Q._predictions(spark, str(tmp_path)).select(*keys, "system", "predicted"))
